@@ -21,6 +21,8 @@ run: it is found at plan time, without a job, and reported in ``error``.
 
 from __future__ import annotations
 
+import logging
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
@@ -115,15 +117,33 @@ def _error_text(exc: Exception) -> str:
     return str(text).strip().splitlines()[0][:500]
 
 
+# PySpark logs every analysis error it raises; probing for them is expected here.
+_QUERY_CONTEXT_LOGGERS = ("DataFrameQueryContextLogger", "SQLQueryContextLogger")
+
+
+@contextmanager
+def _quiet_analysis_errors():
+    loggers = [logging.getLogger(n) for n in _QUERY_CONTEXT_LOGGERS]
+    levels = [lg.level for lg in loggers]
+    for lg in loggers:
+        lg.setLevel(logging.CRITICAL)
+    try:
+        yield
+    finally:
+        for lg, lvl in zip(loggers, levels):
+            lg.setLevel(lvl)
+
+
 def _analysable(build) -> str | None:
     """Run Spark's analyzer on ``build()``; return the error text or None. No job runs."""
-    try:
-        build().schema
-        return None
-    except (AnalysisException, ValueError, TypeError) as exc:  # noqa: PERF203
-        return _error_text(exc)
-    except Exception as exc:  # Spark Connect / py4j wrappers
-        return _error_text(exc)
+    with _quiet_analysis_errors():
+        try:
+            build().schema
+            return None
+        except (AnalysisException, ValueError, TypeError) as exc:  # noqa: PERF203
+            return _error_text(exc)
+        except Exception as exc:  # Spark Connect / py4j wrappers
+            return _error_text(exc)
 
 
 def _row(nm: NamedMetric, value: Column, error: Column | None = None) -> Column:

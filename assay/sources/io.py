@@ -48,13 +48,13 @@ def write_metrics(metrics: DataFrame, path: str, fmt: str = "csv", mode: str = "
     out.format(fmt).save(path)
 
 
-def read_verdicts(spark: SparkSession, path: str, label: str, fmt: str = "csv") -> DataFrame:
+def read_verdicts(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """Read a stored verdict table back as ``checkName, status`` (boolean)."""
     df = read_table(spark, path, fmt)
     status = F.col("status")
     if fmt == "csv":
         status = F.lower(F.col("status")) == F.lit("true")
-    return df.select(F.col("checkName"), status.alias("status")).withMetadata("status", {"label": label})
+    return df.select(F.col("checkName"), status.alias("status"))
 
 
 def write_comparison(aligned: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite",
