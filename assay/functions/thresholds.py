@@ -19,8 +19,15 @@ def check_operator(op: str) -> str:
     return op
 
 
+def status_sql(value: str, op: str, threshold: float) -> str:
+    """SQL text of the verdict: ``value <op> threshold`` as doubles; null never passes."""
+    check_operator(op)
+    sql_op = "=" if op == "==" else op
+    return f"coalesce(try_cast(({value}) AS DOUBLE) {sql_op} CAST('{float(threshold)!r}' AS DOUBLE), false)"
+
+
 def satisfies(value: Column, op: str, threshold: float) -> Column:
-    """``value <op> threshold`` compared as doubles; null or NaN-free null stays null."""
+    """``value <op> threshold`` compared as doubles; a null value gives null."""
     v = value.cast("double")
     t = F.lit(float(threshold))
     check_operator(op)

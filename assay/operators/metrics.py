@@ -87,29 +87,33 @@ class NamedMetric:
     metric: Metric
 
 
-def _where(m: Metric) -> Column | None:
-    return F.expr(m.where) if m.where else None
-
-
-def scan_column(m: Metric) -> Column:
-    """The aggregate Column for a scan metric, filter folded into the aggregate."""
-    w = _where(m)
+def scan_sql(m: Metric) -> str:
+    """Spark SQL text of a scan metric's aggregate, its filter folded into the aggregate."""
     if m.agg == "size":
-        return F.count_if(w) if w is not None else F.count(F.lit(1))
+        return f"count_if(({m.where}))" if m.where else "count(1)"
     if m.agg == "aggregate":
-        if w is not None:
+        if m.where:
             raise ValueError("an 'aggregate' metric carries its own filter; 'where' is not allowed")
-        return F.expr(m.target[0])
-    e = F.expr(m.target[0])
-    if w is not None:
-        e = F.when(w, e)
-    fn = {"count": F.count, "min": F.min, "max": F.max, "sum": F.sum, "avg": F.avg,
-          "stddev_pop": F.stddev_pop}[m.agg]
-    return fn(e)
+        return m.target[0]
+    e = m.target[0]
+    if m.where:
+        e = f"CASE WHEN ({m.where}) THEN ({e}) END"
+    return f"{m.agg}({e})"  # count, min, max, sum, avg, stddev_pop are Spark SQL aggregates
+
+
+def scan_column(m: Metric) -> Column:
+    """The aggregate Column for a scan metric."""
+    return F.expr(scan_sql(m))
+
 
+def value_sql(text: str) -> str:
+    return f"try_cast(({text}) AS DOUBLE)"
 
-def _as_value(c: Column) -> Column:
-    return c.try_cast("double")
+
+def sql_literal(value: str | None) -> str:
+    if value is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _error_text(exc: Exception) -> str:
@@ -146,14 +150,14 @@ def _analysable(build) -> str | None:
             return _error_text(exc)
 
 
-def _row(nm: NamedMetric, value: Column, error: Column | None = None) -> Column:
-    return F.struct(
-        F.lit(nm.name).alias("metric"),
-        F.lit(nm.column).alias("column"),
-        F.lit(nm.key).alias("key"),
-        value.alias("value"),
-        (error if error is not None else F.lit(None).cast("string")).alias("error"),
-    )
+def _row_sql(nm: NamedMetric, value: str, error: str | None = None) -> str:
+    return (f"named_struct('metric', {sql_literal(nm.name)}, 'column', {sql_literal(nm.column)}, "
+            f"'key', {sql_literal(nm.key)}, 'value', {value}, 'error', {sql_literal(error)})")
+
+
+def _explode_rows(df: DataFrame, rows: list[str]) -> DataFrame:
+    """One output row per struct, from a one-row frame (a single JVM call)."""
+    return df.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def _unique(seq):
@@ -161,22 +165,35 @@ def _unique(seq):
 
 
 def _frequency_counters(df: DataFrame, keys: tuple[str, ...], where: str | None) -> DataFrame:
-    """One row of counters over the frequency table of ``keys``."""
-    src = df.where(F.expr(where)) if where else df
+    """One row of counters over the frequency table ``groupBy(keys).count()``.
+
+    The group-by is written exactly as ``SELECT keys, count(*) FROM t GROUP BY
+    keys``: Spark then reuses its shuffle for any other part of the same plan
+    that groups the same table by the same keys (e.g. SQL templates).
+    """
+    src = df.where(where) if where else df
     aliases = [f"_k{i}" for i in range(len(keys))]
-    freq = src.groupBy(*[F.expr(k).alias(a) for k, a in zip(keys, aliases)]).agg(F.count(F.lit(1)).alias("_n"))
-    all_null = reduce(lambda a, b: a & b, [F.col(a).isNull() for a in aliases])
-    keep = ~all_null
-    dup = F.col("_n") > 1
-    return freq.agg(
-        F.count_if(keep).alias("distinct"),
-        F.sum(F.when(keep, F.lit(1))).alias("distinctness"),
-        F.count(F.lit(1)).alias("distinct_keep_nulls"),
-        F.count_if(dup & keep).alias("duplicate_groups"),
-        F.count_if(dup).alias("duplicate_groups_keep_nulls"),
+    freq = (src.groupBy(*[F.expr(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+               .toDF(*aliases, "_n"))
+    keep = "NOT (" + " AND ".join(f"{a} IS NULL" for a in aliases) + ")"
+    return freq.selectExpr(
+        f"count_if({keep}) AS distinct",
+        f"sum(CASE WHEN {keep} THEN 1 END) AS distinctness",
+        "count(1) AS distinct_keep_nulls",
+        f"count_if(_n > 1 AND {keep}) AS duplicate_groups",
+        "count_if(_n > 1) AS duplicate_groups_keep_nulls",
     )
 
 
+def _build_or_error(build):
+    """``(frame, None)`` or ``(None, error text)``: Spark analyses eagerly, no job runs."""
+    with _quiet_analysis_errors():
+        try:
+            return build(), None
+        except Exception as exc:  # AnalysisException, ParseException, py4j wrappers
+            return None, _error_text(exc)
+
+
 def compute_metrics(
     df: DataFrame,
     named: list[NamedMetric],
@@ -201,55 +218,53 @@ def compute_metrics(
         by_metric.setdefault(nm.metric, []).append(nm)
 
     errors: dict[Metric, str] = {}
+    pieces: list[DataFrame] = []
+
+    # Scan metrics: chunks of one fused aggregate each (usually a single chunk).
+    def scan_chunk(chunk):
+        return df.selectExpr(*[f"{value_sql(scan_sql(m))} AS _m{i}" for i, m in enumerate(chunk)])
+
     scan_specs = [m for m in by_metric if m.kind == "scan"]
-    if scan_specs and _analysable(lambda: df.agg(*[_as_value(scan_column(m)) for m in scan_specs])):
-        for m in scan_specs:
-            err = _analysable(lambda m=m: df.agg(_as_value(scan_column(m))))
-            if err:
+    step = max(1, int(max_metrics_per_pass))
+    for start in range(0, len(scan_specs), step):
+        chunk = scan_specs[start:start + step]
+        wide, err = _build_or_error(lambda c=chunk: scan_chunk(c))
+        if err is not None:  # isolate the definitions Spark cannot analyse
+            for m in chunk:
+                bad = _build_or_error(lambda m=m: scan_chunk([m]))[1]
+                if bad is not None:
+                    errors[m] = bad
+            chunk = [m for m in chunk if m not in errors]
+            if not chunk:
+                continue
+            wide = scan_chunk(chunk)
+        rows = [_row_sql(nm, f"_m{i}") for i, m in enumerate(chunk) for nm in by_metric[m]]
+        pieces.append(_explode_rows(wide, rows))
+
+    # Frequency metrics: one group-by per (keys, filter), shared by all metrics on it.
+    for keys_, where in _unique((m.target, m.where) for m in by_metric if m.kind == "frequency"):
+        members = [m for m in by_metric if m.kind == "frequency" and (m.target, m.where) == (keys_, where)]
+        counters, err = (None, "no grouping keys") if not keys_ else _build_or_error(
+            lambda k=keys_, w=where: _frequency_counters(df, k, w))
+        if err is not None:
+            for m in members:
                 errors[m] = err
-    scan_specs = [m for m in scan_specs if m not in errors]
-
-    freq_sets = _unique((m.target, m.where) for m in by_metric if m.kind == "frequency")
-    ok_sets = []
-    for keys_, where in freq_sets:
-        err = _analysable(lambda k=keys_, w=where: _frequency_counters(df, k, w)) if keys_ else "no grouping keys"
-        if err:
-            for m in by_metric:
-                if m.kind == "frequency" and (m.target, m.where) == (keys_, where):
-                    errors[m] = err
-        else:
-            ok_sets.append((keys_, where))
+            continue
+        rows = [_row_sql(nm, f"CAST({m.agg} AS DOUBLE)") for m in members for nm in by_metric[m]]
+        pieces.append(_explode_rows(counters, rows))
 
-    pieces: list[DataFrame] = []
     # Literal rows (schema metrics, analysis failures) ride on a one-row carrier.
     literal_rows = []
     for m, nms in by_metric.items():
         if m in errors:
-            literal_rows += [_row(nm, F.lit(None).cast("double"), F.lit(errors[m])) for nm in nms]
+            literal_rows += [_row_sql(nm, "CAST(NULL AS DOUBLE)", errors[m]) for nm in nms]
         elif m.kind == "schema":
             value = float(duplicate_column_names(df))
-            literal_rows += [_row(nm, F.lit(value)) for nm in nms]
+            literal_rows += [_row_sql(nm, f"CAST({value!r} AS DOUBLE)") for nm in nms]
     if literal_rows:
-        pieces.append(spark.range(1).select(F.inline(F.array(*literal_rows))))
+        pieces.append(_explode_rows(spark.range(1), literal_rows))
 
-    step = max(1, int(max_metrics_per_pass))
-    for start in range(0, len(scan_specs), step):
-        chunk = scan_specs[start:start + step]
-        wide = df.agg(*[_as_value(scan_column(m)).alias(f"_m{i}") for i, m in enumerate(chunk)])
-        rows = [_row(nm, F.col(f"_m{i}")) for i, m in enumerate(chunk) for nm in by_metric[m]]
-        pieces.append(wide.select(F.inline(F.array(*rows))))
-
-    for keys_, where in ok_sets:
-        counters = _frequency_counters(df, keys_, where)
-        rows = [
-            _row(nm, F.col(m.agg).cast("double"))
-            for m, nms in by_metric.items()
-            if m.kind == "frequency" and m not in errors and (m.target, m.where) == (keys_, where)
-            for nm in nms
-        ]
-        pieces.append(counters.select(F.inline(F.array(*rows))))
-
-    return reduce(DataFrame.unionByName, pieces)
+    return reduce(DataFrame.union, pieces)
 
 
 def wide_metrics(metrics: DataFrame, keys: list[str]) -> DataFrame:

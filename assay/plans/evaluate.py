@@ -12,17 +12,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assay.functions.predicates import quote
-from assay.functions.thresholds import ConfigError, check_operator, status
+from assay.functions.thresholds import ConfigError, check_operator, status, status_sql
 from assay.operators.metrics import (
     DEFAULT_MAX_METRICS_PER_PASS,
     NamedMetric,
     _analysable,
+    _build_or_error,
     compute_metrics,
+    sql_literal,
+    value_sql,
     wide_metrics,
 )
 
@@ -71,12 +75,35 @@ def metrics_of(plans: list[CheckPlan]) -> list[NamedMetric]:
     return list(out.values())
 
 
-def _value_column(plan: CheckPlan, wide: DataFrame) -> Column:
+def _value_column(plan: CheckPlan) -> Column:
     if callable(plan.value):
         return plan.value({nm.key: F.col(quote(nm.key)) for nm in plan.metrics})
     return F.expr(plan.value)
 
 
+def _verdict_struct_sql(p: CheckPlan, err: str | None, with_strategy: bool) -> str:
+    head = f"'strategy', {sql_literal(p.strategy)}, " if with_strategy else ""
+    if err is not None:
+        value, status_, error = "CAST(NULL AS DOUBLE)", "false", sql_literal(err)
+    else:
+        value = value_sql(p.value)
+        status_ = status_sql(p.value, p.operator, p.threshold)
+        error = f"CASE WHEN {value} IS NULL THEN 'no value' END"
+    return (f"named_struct({head}'checkName', {sql_literal(p.name)}, 'value', {value}, "
+            f"'status', {status_}, 'error', {error})")
+
+
+def _verdict_struct(p: CheckPlan, value: Column | None, err: str | None, with_strategy: bool) -> Column:
+    if err is not None:
+        value, err_col = F.lit(None).cast("double"), F.lit(err)
+    else:
+        err_col = F.when(value.isNull(), F.lit("no value"))
+    head = [F.lit(p.strategy).alias("strategy")] if with_strategy else []
+    return F.struct(*head, F.lit(p.name).alias("checkName"), value.alias("value"),
+                    status(value, p.operator, p.threshold).alias("status"),
+                    err_col.cast("string").alias("error"))
+
+
 def evaluate(
     df: DataFrame,
     plans: list[CheckPlan],
@@ -97,31 +124,55 @@ def evaluate(
     metrics = compute_metrics(df, named, max_metrics_per_pass=max_metrics_per_pass)
     wide = wide_metrics(metrics, [nm.key for nm in named])
 
-    rows = []
-    for p in plans:
-        err = p.error
-        value = None
-        if err is None:
+    # Checks whose value is SQL text are evaluated in one SQL projection (one JVM
+    # call); checks with a Python value builder go through the Column API.
+    errors: list[str | None] = [p.error for p in plans]
+    values: list[Column | None] = [None] * len(plans)
+    for i, p in enumerate(plans):
+        if errors[i] is None and callable(p.value):
             try:
-                value = _value_column(p, wide).try_cast("double")
-            except Exception as exc:  # bad Python callable or unparsable SQL text
-                err = str(exc).splitlines()[0][:500]
-        if err is None:
-            err = _analysable(lambda v=value: wide.select(v))
-        if err is not None:
-            value, err_col = F.lit(None).cast("double"), F.lit(err)
-        else:
-            err_col = F.when(value.isNull(), F.lit("no value"))
-        head = [F.lit(p.strategy).alias("strategy")] if with_strategy else []
-        rows.append(F.struct(
-            *head,
-            F.lit(p.name).alias("checkName"),
-            value.alias("value"),
-            status(value, p.operator, p.threshold).alias("status"),
-            err_col.cast("string").alias("error"),
-        ))
+                values[i] = _value_column(p).try_cast("double")
+            except Exception as exc:  # a failing Python value builder
+                errors[i] = str(exc).splitlines()[0][:500]
+
+    def probe(i):
+        p = plans[i]
+        if callable(p.value):
+            return _analysable(lambda: wide.select(values[i]))
+        return _analysable(lambda: wide.selectExpr(value_sql(p.value)))
+
+    live = [i for i, e in enumerate(errors) if e is None]
+    text = [i for i in live if not callable(plans[i].value)]
+    cols = [i for i in live if callable(plans[i].value)]
+
+    def build():
+        parts = []
+        if text:
+            parts.append(wide.selectExpr("inline(array(" + ", ".join(
+                _verdict_struct_sql(plans[i], None, with_strategy) for i in text) + "))"))
+        if cols:
+            parts.append(wide.select(F.inline(F.array(*[
+                _verdict_struct(plans[i], values[i], None, with_strategy) for i in cols]))))
+        return parts
+
+    built = None
+    if live:
+        built, err = _build_or_error(build)
+        if err is not None:  # find the checks that do not analyse, then rebuild
+            for i in live:
+                errors[i] = probe(i)
+            live = [i for i, e in enumerate(errors) if e is None]
+            text = [i for i in live if not callable(plans[i].value)]
+            cols = [i for i in live if callable(plans[i].value)]
+            built = build() if live else None
+    parts = list(built or [])
+    failed = [i for i, e in enumerate(errors) if e is not None]
+    if failed:
+        parts.append(wide.selectExpr("inline(array(" + ", ".join(
+            _verdict_struct_sql(plans[i], errors[i], with_strategy) for i in failed) + "))"))
+    rows = parts
     if not rows:
         schema = ("strategy string, " if with_strategy else "") + VERDICT_SCHEMA
         return metrics, df.sparkSession.createDataFrame([], schema)
-    verdicts = wide.select(F.inline(F.array(*rows)))
+    verdicts = reduce(DataFrame.unionByName, rows)
     return metrics, verdicts

@@ -4,7 +4,7 @@ A template names the table ``{table}`` and the column ``{column}`` (for
 ``Dataset`` templates: every declared column, comma separated) and returns
 exactly one row with a column ``metricName``.  The table is registered once
 as a temp view with a unique name; every expanded template becomes a
-one-row subplan and all of them are unioned into a single DataFrame, so one
+one-row subquery and all of them are unioned into a single statement, so one
 action runs every check (instead of one blocking job per check).  A template
 that does not analyse, or does not return exactly one row, fails its own
 check and nothing else.
@@ -13,14 +13,13 @@ check and nothing else.
 from __future__ import annotations
 
 import uuid
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assay.functions.predicates import as_of_sql, quote
-from assay.functions.thresholds import check_operator, status
-from assay.operators.metrics import _analysable
+from assay.functions.thresholds import ConfigError, check_operator, status_sql
+from assay.operators.metrics import _analysable, _build_or_error, sql_literal
 from assay.operators.schema import COLUMN_PLACEHOLDER, declared_columns, matching_columns
 from assay.plans.catalogue import SQL_CONFIG
 from assay.plans.evaluate import VERDICT_SCHEMA
@@ -61,32 +60,42 @@ def expand_sql_checks(df: DataFrame, config: dict | None = None, types=None, as_
     return out
 
 
-def _one_check(spark, name: str, sql: str, op: str, thr: float) -> DataFrame:
-    def build():
-        return spark.sql(sql).select(F.col(METRIC_COLUMN).try_cast("double").alias("v"))
+def _check_sql(name: str, sql: str, op: str, thr: float) -> str:
+    """One verdict row for one template: exactly one result row is required."""
+    v = "first(try_cast(metricName AS DOUBLE))"
+    value = f"CASE WHEN count(1) = 1 THEN {v} END"
+    error = (f"CASE WHEN count(1) <> 1 THEN concat('expected exactly one row, got ', CAST(count(1) AS STRING)) "
+             f"WHEN {v} IS NULL THEN 'no value' END")
+    return (f"SELECT {sql_literal(name)} AS checkName, {value} AS value, "
+            f"{status_sql(value, op, thr)} AS status, {error} AS error FROM ({sql}) AS template_result")
 
-    err = _analysable(build)
-    if err is not None:
-        return spark.range(1).select(
-            F.lit(name).alias("checkName"), F.lit(None).cast("double").alias("value"),
-            F.lit(False).alias("status"), F.lit(err).alias("error"))
-    one = build().agg(F.count(F.lit(1)).alias("n"), F.first("v").alias("v"))
-    value = F.when(F.col("n") == 1, F.col("v"))
-    error = (F.when(F.col("n") != 1, F.concat(F.lit("expected exactly one row, got "), F.col("n").cast("string")))
-              .when(F.col("v").isNull(), F.lit("no value")))
-    return one.select(F.lit(name).alias("checkName"), value.alias("value"),
-                      status(value, op, thr).alias("status"), error.cast("string").alias("error"))
+
+def _failed_sql(name: str, err: str) -> str:
+    return (f"SELECT {sql_literal(name)} AS checkName, CAST(NULL AS DOUBLE) AS value, false AS status, "
+            f"{sql_literal(err)} AS error")
 
 
 def run_sql_checks(df: DataFrame, config: dict | None = None, types=None, as_of=None) -> DataFrame:
-    """Verdicts ``(checkName, value, status, error)`` of SQL-template checks."""
+    """Verdicts ``(checkName, value, status, error)`` of SQL-template checks.
+
+    All templates become one ``UNION ALL`` statement: one parse and analysis,
+    one action.  If it does not analyse, each template is analysed alone and
+    the failing ones are reported as failed checks.
+    """
     spark = df.sparkSession
     view = register_view(df)
     checks = expand_sql_checks(df, config, types, as_of, table=view)
     names = [c[0] for c in checks]
     if len(set(names)) != len(names):
-        from assay.functions.thresholds import ConfigError
         raise ConfigError("duplicate check names after expansion")
     if not checks:
         return spark.createDataFrame([], VERDICT_SCHEMA)
-    return reduce(DataFrame.unionByName, [_one_check(spark, *c) for c in checks])
+    parts = [_check_sql(*c) for c in checks]
+    result, err = _build_or_error(lambda: spark.sql("\nUNION ALL\n".join(parts)))
+    if err is None:
+        return result
+    fixed = []
+    for (name, sql, op, thr), part in zip(checks, parts):
+        bad = _analysable(lambda p=part: spark.sql(p))
+        fixed.append(part if bad is None else _failed_sql(name, bad))
+    return spark.sql("\nUNION ALL\n".join(fixed))

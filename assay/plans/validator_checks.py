@@ -13,6 +13,7 @@ counts *keep* the null group here (a null is a value).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -26,6 +27,7 @@ from assay.plans.catalogue import VALIDATOR_CONFIG
 from assay.plans.evaluate import CheckPlan, evaluate
 
 STRATEGY = "validator"
+_ALIAS = re.compile(r"\{(\w+)\}")
 
 
 @dataclass(frozen=True)
@@ -38,7 +40,8 @@ class ValidatorContext:
 class Uses:
     """Metrics a validator needs (alias -> Metric) and its value over them.
 
-    ``value`` is an alias (the value is that metric) or a callable
+    ``value`` is an alias (the value is that metric), Spark SQL text naming
+    metrics as ``{alias}`` (e.g. ``"{rows} - {values}"``), or a callable
     ``{alias: Column} -> Column``; it defaults to the only metric.
     """
 
@@ -104,13 +107,13 @@ def _not_constant(column, ctx):
 @validator("NoDuplicatesInRowsValidator")
 def _no_duplicate_rows(column, ctx):
     return Uses({"rows": _rows(), "distinct_rows": Metric("distinct_keep_nulls", _all_keys(ctx))},
-                lambda m: m["rows"] - m["distinct_rows"])
+                "{rows} - {distinct_rows}")
 
 
 @validator("NoDuplicatesInSpecificColumnValidator")
 def _no_duplicate_values(column, ctx):
     return Uses({"rows": _rows(), "values": Metric("distinct_keep_nulls", (quote(column.name),))},
-                lambda m: m["rows"] - m["values"])
+                "{rows} - {values}")
 
 
 @validator("NoDuplicatesColumnsNamesValidator")
@@ -140,8 +143,10 @@ def _plan(name: str, description: str, column: DeclaredColumn | None, ctx: Valid
             raise ConfigError(f"validator {name!r} uses several metrics but gives no value")
         value = next(iter(uses.metrics))
     if isinstance(value, str):
-        alias = value
-        builder = lambda cols, k=keyed[alias]: cols[k]
+        if value in keyed:
+            builder = quote(keyed[value])
+        else:
+            builder = _ALIAS.sub(lambda m: quote(keyed[m.group(1)]), value)
     else:
         builder = lambda cols, f=value, kk=keyed: f({a: cols[k] for a, k in kk.items()})
     return CheckPlan(description, named, builder, op, thr, STRATEGY)
