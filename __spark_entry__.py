@@ -989,6 +989,25 @@ def o_odd_column_names():
     return _union(parts)
 
 
+def q_stream_batch_verdicts(spark, sf):
+    """lineitem read as a file stream; every micro-batch is checked by all three strategies."""
+    from assay.streaming.checks import check_stream
+
+    schema = load(spark, sf, "lineitem").schema
+    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet")
+              .option("maxFilesPerTrigger", 1).parquet(sf))
+    sink = _scratch(spark, "stream-verdicts")
+    query = check_stream(stream, sink, as_of=AS_OF, trigger={"availableNow": True})
+    query.awaitTermination()
+    out = spark.read.parquet(sink)
+    return out.select("batch_id", "strategy", "checkName", F.round("value", 6).alias("value"), "status")
+
+
+def o_stream_batch_verdicts():
+    parts = [f"SELECT 0 AS batch_id, * FROM ({_verdict_sql('lineitem', s)}) v" for s in ("sql", "expression", "validator")]
+    return _union(parts)
+
+
 # --------------------------------------------------------------------------- contract
 _QUERIES: dict[str, tuple[Callable, Callable | None]] = {
     "row_counts": (q_row_counts, o_row_counts),
@@ -1028,6 +1047,7 @@ _QUERIES: dict[str, tuple[Callable, Callable | None]] = {
     "verdict_sink_roundtrip": (q_verdict_sink_roundtrip, o_verdict_sink_roundtrip),
     "metric_sink_roundtrip": (q_metric_sink_roundtrip, o_metric_sink_roundtrip),
     "odd_column_names": (q_odd_column_names, o_odd_column_names),
+    "stream_batch_verdicts": (q_stream_batch_verdicts, o_stream_batch_verdicts),
 }
 
 

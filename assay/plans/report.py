@@ -49,8 +49,18 @@ def check_report(
     sql_config: dict | None = None,
     strategies=STRATEGIES,
     max_metrics_per_pass: int = DEFAULT_MAX_METRICS_PER_PASS,
+    stage_input: bool = False,
 ) -> Report:
-    """Run every requested strategy's checks over ``df`` and align the verdicts."""
+    """Run every requested strategy's checks over ``df`` and align the verdicts.
+
+    ``stage_input=True`` first writes ``df`` to parquet under
+    ``spark.checkpoint.dir`` (see :func:`assay.sources.io.stage`); use it for
+    row-oriented sources such as CSV, which every scan would re-parse.
+    """
+    if stage_input:
+        from assay.sources.io import stage
+
+        df = stage(df)
     plans = []
     if EXPRESSION in strategies:
         plans += plan_expression_checks(df, expression_config, types, as_of)

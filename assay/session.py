@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -38,3 +39,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.sparkContext.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)
     return path
+
+
+@contextmanager
+def job_label(spark: SparkSession, text: str):
+    """Label the Spark jobs started inside the block (shown in logs and event logs)."""
+    sc = spark.sparkContext
+    previous = sc.getLocalProperty("spark.job.description")
+    sc.setJobDescription(text)
+    try:
+        yield
+    finally:
+        sc.setJobDescription(previous)

@@ -10,6 +10,8 @@ coalesced.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,3 +81,27 @@ def amplify(df: DataFrame, copies: int) -> DataFrame:
     cols = df.columns
     tag = "__assay_copy"
     return df.withColumn(tag, F.explode(F.sequence(F.lit(1), F.lit(int(copies))))).select(*[F.col(quote(c)) for c in cols])
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``)."""
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not path:
+        raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder (HDFS, S3, ...)")
+    return str(path).rstrip("/")
+
+
+def stage(df: DataFrame, fmt: str = "parquet") -> DataFrame:
+    """Write ``df`` once to a fresh folder under ``spark.checkpoint.dir`` and read it back.
+
+    A check report scans its input once per group-by and once per SQL
+    template.  For a columnar source that is cheap (each scan reads only its
+    columns); for CSV/JSON every scan re-parses every row.  Staging converts
+    the input to parquet once, cuts the lineage (a lost executor re-reads the
+    staged files instead of re-parsing the source), and lets each later scan
+    prune columns.  The folder is shared storage, never a machine-local path.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/assay-stage-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").format(fmt).save(path)
+    return spark.read.format(fmt).load(path)

@@ -57,3 +57,18 @@ def test_align_and_disagreements(frame, spark):
     d = tempfile.mkdtemp(prefix="assay-test-")
     write_comparison(aligned, os.path.join(d, "cmp"))
     assert read_table(spark, os.path.join(d, "cmp"), "csv").count() == 3
+
+
+def test_cli_run_and_compare(spark):
+    from assay.cli import main
+
+    d = tempfile.mkdtemp(prefix="assay-test-")
+    with open(os.path.join(d, "t.csv"), "w") as fh:
+        fh.write("id,name\n1,a\n2,b\n2,b\n")
+    main(["run", "--input", os.path.join(d, "t.csv"), "--format", "csv", "--stage", "--output", os.path.join(d, "out")])
+    for s in ("sql", "expression", "validator", "metrics", "comparison"):
+        assert read_table(spark, os.path.join(d, "out", s), "csv").count() > 0
+    main(["compare", "--sql", os.path.join(d, "out", "sql"), "--expression", os.path.join(d, "out", "expression"),
+          "--validator", os.path.join(d, "out", "validator"), "--output", os.path.join(d, "cmp")])
+    diff = read_table(spark, os.path.join(d, "cmp", "disagreements"), "csv").collect()
+    assert {r["checkName"] for r in diff} == {"No Duplicate column names"}
