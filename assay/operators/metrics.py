@@ -267,6 +267,43 @@ def compute_metrics(
     return reduce(DataFrame.union, pieces)
 
 
+def compute_metrics_isolated(
+    df: DataFrame,
+    named: list[NamedMetric],
+    max_metrics_per_pass: int = DEFAULT_MAX_METRICS_PER_PASS,
+) -> DataFrame:
+    """Eager :func:`compute_metrics` that also survives *run-time* metric errors.
+
+    Analysis errors are isolated by :func:`compute_metrics` without a job.  A
+    definition that analyses but fails while running (e.g. an ANSI cast of
+    bad text inside a user aggregate) would abort the whole fused pass; here
+    the pass is retried on halves of the metric list until every failing
+    definition stands alone and is reported in ``error``.  Only metric values
+    (one row per metric, independent of the data size) reach the driver.
+    """
+    spark = df.sparkSession
+
+    def attempt(group: list[NamedMetric]) -> list[tuple]:
+        try:
+            rows = compute_metrics(df, group, max_metrics_per_pass).collect()
+            return [tuple(r) for r in rows]
+        except Exception as exc:  # a run-time failure inside the fused pass
+            if len(group) == 1:
+                nm = group[0]
+                return [(nm.name, nm.column, nm.key, None, _error_text(exc))]
+            # Equal definitions fail together; split on distinct definitions.
+            specs = _unique(nm.metric for nm in group)
+            if len(specs) == 1:
+                return [(nm.name, nm.column, nm.key, None, _error_text(exc)) for nm in group]
+            half = set(specs[: len(specs) // 2])
+            left = [nm for nm in group if nm.metric in half]
+            right = [nm for nm in group if nm.metric not in half]
+            return attempt(left) + attempt(right)
+
+    rows = attempt(list(named)) if named else []
+    return spark.createDataFrame(rows, METRICS_SCHEMA)
+
+
 def wide_metrics(metrics: DataFrame, keys: list[str]) -> DataFrame:
     """Pivot the long metrics table into one row with a column per metric key."""
     keys = _unique(keys)

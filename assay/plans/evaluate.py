@@ -25,6 +25,7 @@ from assay.operators.metrics import (
     _analysable,
     _build_or_error,
     compute_metrics,
+    compute_metrics_isolated,
     sql_literal,
     value_sql,
     wide_metrics,
@@ -109,6 +110,7 @@ def evaluate(
     plans: list[CheckPlan],
     max_metrics_per_pass: int = DEFAULT_MAX_METRICS_PER_PASS,
     with_strategy: bool = False,
+    isolate_runtime_errors: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Return ``(metrics, verdicts)`` for ``plans`` over ``df`` (both lazy).
 
@@ -116,12 +118,17 @@ def evaluate(
     A null value (empty input, failed metric, unresolved expression) fails.
     With ``with_strategy`` a leading ``strategy`` column tells the plans'
     strategies apart, so several strategies share one metric pass.
+    ``isolate_runtime_errors`` computes the metrics eagerly and isolates
+    definitions that fail while running (see ``compute_metrics_isolated``).
     """
     _reject_duplicate_names(plans)
     for p in plans:
         check_operator(p.operator)
     named = metrics_of(plans)
-    metrics = compute_metrics(df, named, max_metrics_per_pass=max_metrics_per_pass)
+    if isolate_runtime_errors:
+        metrics = compute_metrics_isolated(df, named, max_metrics_per_pass=max_metrics_per_pass)
+    else:
+        metrics = compute_metrics(df, named, max_metrics_per_pass=max_metrics_per_pass)
     wide = wide_metrics(metrics, [nm.key for nm in named])
 
     # Checks whose value is SQL text are evaluated in one SQL projection (one JVM

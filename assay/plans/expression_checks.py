@@ -89,12 +89,15 @@ def run_expression_checks(
     types=None,
     as_of=None,
     max_metrics_per_pass: int = DEFAULT_MAX_METRICS_PER_PASS,
+    isolate_runtime_errors: bool = False,
 ) -> DataFrame:
     """Verdicts ``(checkName, value, status, error)`` of metric-expression checks."""
-    return expression_report(df, config, types, as_of, max_metrics_per_pass)[1]
+    return expression_report(df, config, types, as_of, max_metrics_per_pass, isolate_runtime_errors)[1]
 
 
 def expression_report(df, config=None, types=None, as_of=None,
-                      max_metrics_per_pass: int = DEFAULT_MAX_METRICS_PER_PASS):
+                      max_metrics_per_pass: int = DEFAULT_MAX_METRICS_PER_PASS,
+                      isolate_runtime_errors: bool = False):
     """``(metrics, verdicts)`` for metric-expression checks."""
-    return evaluate(df, plan_expression_checks(df, config, types, as_of), max_metrics_per_pass)
+    return evaluate(df, plan_expression_checks(df, config, types, as_of), max_metrics_per_pass,
+                    isolate_runtime_errors=isolate_runtime_errors)

@@ -50,6 +50,7 @@ def check_report(
     strategies=STRATEGIES,
     max_metrics_per_pass: int = DEFAULT_MAX_METRICS_PER_PASS,
     stage_input: bool = False,
+    isolate_runtime_errors: bool = False,
 ) -> Report:
     """Run every requested strategy's checks over ``df`` and align the verdicts.
 
@@ -66,7 +67,8 @@ def check_report(
         plans += plan_expression_checks(df, expression_config, types, as_of)
     if VALIDATOR in strategies:
         plans += plan_validator_checks(df, validator_config, types, as_of)
-    metrics, verdicts = evaluate(df, plans, max_metrics_per_pass, with_strategy=True)
+    metrics, verdicts = evaluate(df, plans, max_metrics_per_pass, with_strategy=True,
+                                 isolate_runtime_errors=isolate_runtime_errors)
     if SQL in strategies:
         sql = run_sql_checks(df, sql_config, types, as_of)
         verdicts = verdicts.unionByName(sql.select(F.lit(SQL).alias("strategy"), *sql.columns))

@@ -30,7 +30,7 @@ METRIC_COLUMN = "metricName"
 
 def register_view(df: DataFrame, prefix: str = "assay_table") -> str:
     """Register ``df`` as a temp view under a fresh name; return the quoted name."""
-    name = f"{prefix}_{uuid.uuid4().hex[:12]}"
+    name = f"{prefix}_{uuid.uuid4().hex}"
     df.createOrReplaceTempView(name)
     return quote(name)
 
@@ -91,11 +91,15 @@ def run_sql_checks(df: DataFrame, config: dict | None = None, types=None, as_of=
     if not checks:
         return spark.createDataFrame([], VERDICT_SCHEMA)
     parts = [_check_sql(*c) for c in checks]
-    result, err = _build_or_error(lambda: spark.sql("\nUNION ALL\n".join(parts)))
-    if err is None:
-        return result
-    fixed = []
-    for (name, sql, op, thr), part in zip(checks, parts):
-        bad = _analysable(lambda p=part: spark.sql(p))
-        fixed.append(part if bad is None else _failed_sql(name, bad))
-    return spark.sql("\nUNION ALL\n".join(fixed))
+    try:
+        result, err = _build_or_error(lambda: spark.sql("\nUNION ALL\n".join(parts)))
+        if err is not None:
+            fixed = []
+            for (name, sql, op, thr), part in zip(checks, parts):
+                bad = _analysable(lambda p=part: spark.sql(p))
+                fixed.append(part if bad is None else _failed_sql(name, bad))
+            result = spark.sql("\nUNION ALL\n".join(fixed))
+    finally:
+        # The analysed plan already holds the table; the name is no longer needed.
+        spark.catalog.dropTempView(view.strip("`"))
+    return result

@@ -170,12 +170,15 @@ def plan_validator_checks(df: DataFrame, config: dict | None = None, types=None,
 
 
 def validator_report(df, config=None, types=None, as_of=None,
-                     max_metrics_per_pass: int = DEFAULT_MAX_METRICS_PER_PASS):
+                     max_metrics_per_pass: int = DEFAULT_MAX_METRICS_PER_PASS,
+                     isolate_runtime_errors: bool = False):
     """``(metrics, verdicts)`` for validator checks."""
-    return evaluate(df, plan_validator_checks(df, config, types, as_of), max_metrics_per_pass)
+    return evaluate(df, plan_validator_checks(df, config, types, as_of), max_metrics_per_pass,
+                    isolate_runtime_errors=isolate_runtime_errors)
 
 
 def run_validator_checks(df: DataFrame, config: dict | None = None, types=None, as_of=None,
-                         max_metrics_per_pass: int = DEFAULT_MAX_METRICS_PER_PASS) -> DataFrame:
+                         max_metrics_per_pass: int = DEFAULT_MAX_METRICS_PER_PASS,
+                         isolate_runtime_errors: bool = False) -> DataFrame:
     """Verdicts ``(checkName, value, status, error)`` of validator checks."""
-    return validator_report(df, config, types, as_of, max_metrics_per_pass)[1]
+    return validator_report(df, config, types, as_of, max_metrics_per_pass, isolate_runtime_errors)[1]

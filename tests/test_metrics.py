@@ -101,3 +101,30 @@ def test_duplicate_column_names_metric(spark, frame):
     m = values(compute_metrics(joined, [NamedMetric("dup", "*", "dup", Metric("duplicate_columns"))]))
     assert m == {"dup": 1}
     assert values(compute_metrics(a, [NamedMetric("dup", "*", "dup", Metric("duplicate_columns"))])) == {"dup": 0}
+
+
+def test_runtime_errors_isolated_eagerly(frame):
+    from assay.operators.metrics import compute_metrics_isolated
+
+    df = frame([("1",), ("x",)], "s string")
+    named = [NamedMetric("rows", "*", "rows", Metric("size")),
+             NamedMetric("bad", "s", "bad", Metric("aggregate", ("sum(CAST(s AS INT))",))),
+             NamedMetric("len", "s", "len", Metric("max", ("length(s)",)))]
+    m = compute_metrics_isolated(df, named)
+    v, e = values(m), errors(m)
+    assert v["rows"] == 2 and v["len"] == 1 and e["rows"] is None
+    assert v["bad"] is None and e["bad"]
+
+
+def test_runtime_error_isolation_in_checks(frame):
+    from assay.plans.expression_checks import run_expression_checks
+
+    df = frame([("1",), ("x",)], "s string")
+    cfg = {"metrics": [{"metricName": "rows", "definitionName": "count rows", "metricType": "Dataset"},
+                       {"metricName": "total", "aggFunction": "sum", "columnExpr": "CAST(s AS INT)",
+                        "metricType": "Dataset"}],
+           "checks": [{"checkName": "rows", "expression": "rows", "operator": ">", "threshold": 0, "types": []},
+                      {"checkName": "total", "expression": "total", "operator": ">", "threshold": 0, "types": []}]}
+    v = {r["checkName"]: r for r in run_expression_checks(df, cfg, isolate_runtime_errors=True).collect()}
+    assert v["rows"]["status"] is True
+    assert v["total"]["status"] is False
