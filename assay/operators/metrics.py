@@ -176,10 +176,12 @@ def _frequency_counters(df: DataFrame, keys: tuple[str, ...], where: str | None)
     freq = (src.groupBy(*[F.expr(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
                .toDF(*aliases, "_n"))
     keep = "NOT (" + " AND ".join(f"{a} IS NULL" for a in aliases) + ")"
+    # Every counter reads the group count (``_n > 0`` holds for every group), so
+    # the optimizer never prunes it and the group-by keeps one canonical shape.
     return freq.selectExpr(
-        f"count_if({keep}) AS distinct",
-        f"sum(CASE WHEN {keep} THEN 1 END) AS distinctness",
-        "count(1) AS distinct_keep_nulls",
+        f"count_if(_n > 0 AND {keep}) AS distinct",
+        f"sum(CASE WHEN _n > 0 AND {keep} THEN 1 END) AS distinctness",
+        "count_if(_n > 0) AS distinct_keep_nulls",
         f"count_if(_n > 1 AND {keep}) AS duplicate_groups",
         "count_if(_n > 1) AS duplicate_groups_keep_nulls",
     )
