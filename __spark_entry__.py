@@ -125,6 +125,8 @@ TABLE_COLUMNS = {
                ("value", "Double"), ("props", "String")],
     "constant_with_nulls": [("state", "String"), ("nothing", "Int"), ("size_band", "String"),
                             ("o_orderdate", "Date")],
+    "orders": [("o_orderkey", "Int"), ("o_custkey", "Int"), ("o_orderstatus", "String"),
+               ("o_totalprice", "Double"), ("o_orderdate", "Date"), ("o_orderpriority", "String")],
     "lineitem": [("l_orderkey", "Int"), ("l_partkey", "Int"), ("l_suppkey", "Int"), ("l_linenumber", "Int"),
                  ("l_quantity", "Double"), ("l_extendedprice", "Double"), ("l_discount", "Double"),
                  ("l_tax", "Double"), ("l_returnflag", "String"), ("l_linestatus", "String"),
@@ -1008,6 +1010,20 @@ def o_stream_batch_verdicts():
     return _union(parts)
 
 
+def q_csv_source_checks(spark, sf):
+    """orders written as CSV, read back as all-string columns with a sidecar schema, staged, checked."""
+    path = _scratch(spark, "orders-csv")
+    load(spark, sf, "orders").write.option("header", "true").csv(path)
+    text = read_table(spark, path, "csv")
+    sidecar = [{"columnName": c, "columnType": t} for c, t in TABLE_COLUMNS["orders"]]
+    report = check_report(text, types=sidecar, as_of=AS_OF, stage_input=True)
+    return report.verdicts.select("strategy", "checkName", F.round("value", 6).alias("value"), "status")
+
+
+def o_csv_source_checks():
+    return _union([_verdict_sql("orders", s) for s in ("sql", "expression", "validator")])
+
+
 # --------------------------------------------------------------------------- contract
 _QUERIES: dict[str, tuple[Callable, Callable | None]] = {
     "row_counts": (q_row_counts, o_row_counts),
@@ -1048,6 +1064,7 @@ _QUERIES: dict[str, tuple[Callable, Callable | None]] = {
     "metric_sink_roundtrip": (q_metric_sink_roundtrip, o_metric_sink_roundtrip),
     "odd_column_names": (q_odd_column_names, o_odd_column_names),
     "stream_batch_verdicts": (q_stream_batch_verdicts, o_stream_batch_verdicts),
+    "csv_source_checks": (q_csv_source_checks, o_csv_source_checks),
 }
 
 

@@ -4,7 +4,9 @@ Prints one JSON line:
   {"metric": "fused_report_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 
 ``value`` is the total of the fused queries (everything but ``*_one_action_per_check``,
-which reproduces the reference's execution shape as the relative baseline).
+which reproduces the reference's execution shape as the relative baseline).  Each
+query is built from scratch and run twice; the faster run is reported (local
+timings of second-long jobs vary by tens of percent between runs).
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
 """
 
@@ -50,6 +52,20 @@ def sql_templates(table):
     return run
 
 
+def csv_report(table):
+    """The table as CSV text (all strings) with its declared types, staged once as parquet."""
+    def run(spark, sf):
+        from assay.sources.io import read_table, shared_folder
+        import uuid
+
+        path = f"{shared_folder(spark)}/bench-csv-{uuid.uuid4().hex}"
+        load(spark, sf, table).write.option("header", "true").csv(path)
+        df = read_table(spark, path, "csv")
+        types = {f.name: t.type for f, t in zip(df.schema.fields, declared_columns(load(spark, sf, table)))}
+        return check_report(df, types=types, as_of=AS_OF, stage_input=True).aligned.collect()
+    return run
+
+
 def one_action_per_check(table):
     """The reference's shape: every metric is its own Spark job, collected to the driver."""
     def run(spark, sf):
@@ -69,6 +85,7 @@ QUERIES = {
     "report_labelled_documents": fused_report("labelled_documents"),
     "expression_validator_lineitem": fused_expression_validator("lineitem"),
     "sql_templates_lineitem": sql_templates("lineitem"),
+    "report_orders_csv_staged": csv_report("orders"),
     "lineitem_one_action_per_check": one_action_per_check("lineitem"),
 }
 
@@ -80,9 +97,12 @@ def main():
     fused_report("dirty_customer")(spark, sf)  # warm the JVM once
     times = {}
     for name, fn in QUERIES.items():
-        t = time.time()
-        fn(spark, sf)
-        times[name] = round(time.time() - t, 3)
+        runs = []
+        for _ in range(2):
+            t = time.time()
+            fn(spark, sf)
+            runs.append(time.time() - t)
+        times[name] = round(min(runs), 3)
     headline = round(sum(v for k, v in times.items() if not k.endswith("one_action_per_check")), 3)
     m = re.search(r"sf([0-9.]+)", sf)
     print(json.dumps({"metric": "fused_report_sec", "value": headline, "unit": "sec", "queries": times,
