@@ -1024,6 +1024,32 @@ def o_csv_source_checks():
     return _union([_verdict_sql("orders", s) for s in ("sql", "expression", "validator")])
 
 
+def q_hot_key_metrics(spark, sf):
+    """Frequency metrics where one value holds about half of all rows (a skewed key)."""
+    df = load(spark, sf, "hot_key_lineitem")
+    named = []
+    for c in ("line_key", "l_returnflag"):
+        for agg in ("distinct", "distinct_keep_nulls", "duplicate_groups"):
+            named.append(NamedMetric(agg, c, f"{agg}_{c}", Metric(agg, (quote(c),))))
+    keys = tuple(quote(c) for c in ("line_key", "l_returnflag", "l_quantity"))
+    named.append(NamedMetric("duplicate_groups_keep_nulls", "*", "rows_dup", Metric("duplicate_groups_keep_nulls", keys)))
+    named.append(NamedMetric("hot_rows", "line_key", "hot_rows", Metric("size", where="line_key = 'hot'")))
+    return _long(df, named)
+
+
+def o_hot_key_metrics():
+    t = "hot_key_lineitem"
+    parts = []
+    for c in ("line_key", "l_returnflag"):
+        parts.append(f"SELECT 'distinct' AS metric, {_s(c)} AS \"column\", CAST({_ndv_drop(t, [c])} AS DOUBLE) AS value")
+        parts.append(f"SELECT 'distinct_keep_nulls', {_s(c)}, CAST({_ndv_keep(t, [c])} AS DOUBLE)")
+        parts.append(f"SELECT 'duplicate_groups', {_s(c)}, CAST({_dup_groups(t, [c], False)} AS DOUBLE)")
+    parts.append(f"SELECT 'duplicate_groups_keep_nulls', '*', "
+                 f"CAST({_dup_groups(t, ['line_key', 'l_returnflag', 'l_quantity'], True)} AS DOUBLE)")
+    parts.append(_metric_row("hot_rows", "line_key", "count(*) FILTER (WHERE line_key = 'hot')", t))
+    return _union(parts)
+
+
 # --------------------------------------------------------------------------- contract
 _QUERIES: dict[str, tuple[Callable, Callable | None]] = {
     "row_counts": (q_row_counts, o_row_counts),
@@ -1065,6 +1091,7 @@ _QUERIES: dict[str, tuple[Callable, Callable | None]] = {
     "odd_column_names": (q_odd_column_names, o_odd_column_names),
     "stream_batch_verdicts": (q_stream_batch_verdicts, o_stream_batch_verdicts),
     "csv_source_checks": (q_csv_source_checks, o_csv_source_checks),
+    "hot_key_metrics": (q_hot_key_metrics, o_hot_key_metrics),
 }
 
 

@@ -51,6 +51,13 @@ DERIVED_SQL = {
                c_mktsegment AS `seg``tick`
         FROM {customer}
     """,
+    # One value holding about half of all rows (open line items), the rest unique.
+    "hot_key_lineitem": """
+        SELECT CASE WHEN l_linestatus = 'O' THEN 'hot'
+                    ELSE CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) END AS line_key,
+               l_returnflag, l_quantity
+        FROM {lineitem}
+    """,
     # Every column as text, with fractions, zeros and junk mixed in.
     "stringly_orders": """
         SELECT CAST(o_orderkey AS STRING) AS ok,
