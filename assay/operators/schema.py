@@ -49,10 +49,15 @@ def declared_columns(df: DataFrame, overrides: dict[str, str] | list | None = No
     if isinstance(overrides, list):
         return [DeclaredColumn(e["columnName"], e["columnType"], fields.get(e["columnName"])) for e in overrides]
     overrides = overrides or {}
-    return [
-        DeclaredColumn(f.name, overrides.get(f.name, declared_type(f.dataType)), f.dataType)
-        for f in df.schema.fields
-    ]
+    out, seen = [], set()
+    for f in df.schema.fields:
+        # A repeated name (e.g. after a join) is declared once: checks on it then
+        # fail with Spark's ambiguity error, and the duplicate-column check flags it.
+        if f.name in seen:
+            continue
+        seen.add(f.name)
+        out.append(DeclaredColumn(f.name, overrides.get(f.name, declared_type(f.dataType)), f.dataType))
+    return out
 
 
 def load_declared_schema(path: str) -> list[dict]:

@@ -129,3 +129,31 @@ def test_python_value_builder(frame):
     _, v = evaluate(df, [CheckPlan("ratio", ms, lambda m: m["nn"] / m["rows"], ">=", 0.5)])
     r = v.first()
     assert r["value"] == 0.5 and r["status"] is True
+
+
+def test_report_survives_duplicate_column_names(frame):
+    a = frame([(1, "x"), (2, "y")], "k int, v string")
+    b = frame([(1, "p"), (2, "q")], "k int, w string")
+    joined = a.join(b, a["k"] == b["k"])
+    report = check_report(joined, as_of=AS_OF)
+    rows = report.verdicts.collect()
+    by = {(r["strategy"], r["checkName"]): r for r in rows}
+    assert by[("expression", "No Duplicate column names")]["status"] is False
+    assert by[("validator", "No Duplicate column names")]["value"] == 1
+    assert by[("expression", "Number of rows is larger than 0")]["status"] is True
+    # checks on the ambiguous name fail with an error instead of aborting the report
+    assert any(r["error"] for r in rows if r["checkName"].endswith("column k"))
+
+
+def test_map_and_array_columns(frame):
+    df = frame([({"a": 1}, [1.0, 2.0]), ({"b": 2}, [1.0, 2.0]), (None, None)], "m map<string,int>, arr array<float>")
+    report = check_report(df, as_of=AS_OF)
+    by = {(r["strategy"], r["checkName"]): r for r in report.verdicts.collect()}
+    # arrays group fine: two distinct values plus a null
+    assert by[("validator", "No Columns with constant values for column arr")]["value"] == 2
+    assert by[("expression", "No Columns with constant values for column arr")]["value"] == 1
+    # Spark 4 groups maps by value too
+    assert by[("expression", "No Columns with constant values for column m")]["value"] == 2
+    assert by[("validator", "No Columns with constant values for column m")]["value"] == 3
+    assert by[("expression", "No Null/Missing values in data for column m")]["value"] == 1
+    assert not any(r["error"] for r in by.values())
