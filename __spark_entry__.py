@@ -127,6 +127,10 @@ TABLE_COLUMNS = {
                             ("o_orderdate", "Date")],
     "orders": [("o_orderkey", "Int"), ("o_custkey", "Int"), ("o_orderstatus", "String"),
                ("o_totalprice", "Double"), ("o_orderdate", "Date"), ("o_orderpriority", "String")],
+    "pages": [("page_id", "Int"), ("url", "String"), ("html", "String")],
+    "conversations": [("conv_id", "Int"), ("turn", "Int"), ("role", "String"), ("text", "String")],
+    "documents": [("doc_id", "Int"), ("text", "String"), ("lang", "String"), ("source", "String"),
+                  ("n_chars", "Int")],
     "lineitem": [("l_orderkey", "Int"), ("l_partkey", "Int"), ("l_suppkey", "Int"), ("l_linenumber", "Int"),
                  ("l_quantity", "Double"), ("l_extendedprice", "Double"), ("l_discount", "Double"),
                  ("l_tax", "Double"), ("l_returnflag", "String"), ("l_linestatus", "String"),
@@ -1050,6 +1054,24 @@ def o_hot_key_metrics():
     return _union(parts)
 
 
+TEXT_TABLES = ["pages", "conversations", "documents"]
+
+
+def q_text_table_checks(spark, sf):
+    """All three strategies over whole texts: raw HTML pages, conversation turns, documents."""
+    parts = []
+    for t in TEXT_TABLES:
+        r = check_report(load(spark, sf, t), as_of=AS_OF)
+        parts.append(r.verdicts.select(F.lit(t).alias("table"), "strategy", "checkName",
+                                       F.round("value", 6).alias("value"), "status"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def o_text_table_checks():
+    return _union([_verdict_sql(t, s, with_table=True) for t in TEXT_TABLES
+                   for s in ("sql", "expression", "validator")])
+
+
 # --------------------------------------------------------------------------- contract
 _QUERIES: dict[str, tuple[Callable, Callable | None]] = {
     "row_counts": (q_row_counts, o_row_counts),
@@ -1092,6 +1114,7 @@ _QUERIES: dict[str, tuple[Callable, Callable | None]] = {
     "stream_batch_verdicts": (q_stream_batch_verdicts, o_stream_batch_verdicts),
     "csv_source_checks": (q_csv_source_checks, o_csv_source_checks),
     "hot_key_metrics": (q_hot_key_metrics, o_hot_key_metrics),
+    "text_table_checks": (q_text_table_checks, o_text_table_checks),
 }
 
 
