@@ -125,6 +125,12 @@ def _fresh(column, ctx):
     return Uses({"days": Metric("max", (days_from(quote(column.name), ctx.as_of),))})
 
 
+def definition_key(m: Metric) -> str:
+    """Readable key that identifies a metric definition, e.g. ``size WHERE `a` IS NULL``."""
+    key = m.agg + (f"({', '.join(m.target)})" if m.target else "")
+    return key + (f" WHERE {m.where}" if m.where else "")
+
+
 def _plan(name: str, description: str, column: DeclaredColumn | None, ctx: ValidatorContext,
           op: str, thr: float) -> CheckPlan:
     fn = _REGISTRY.get(name)
@@ -133,8 +139,10 @@ def _plan(name: str, description: str, column: DeclaredColumn | None, ctx: Valid
                          error=f"unknown validator {name!r}")
     uses = fn(column, ctx)
     label = column.name if column else ",".join(c.name for c in ctx.columns)
-    # Keys are namespaced by check so aliases never collide between validators.
-    keyed = {alias: f"{description}::{alias}" for alias in uses.metrics}
+    # Keys name the definition itself: checks that need the same metric (the
+    # row count, a column's distinct values) share one key, so the pivoted
+    # metric row grows with the number of distinct definitions, not of checks.
+    keyed = {alias: definition_key(m) for alias, m in uses.metrics.items()}
     named = [NamedMetric(alias, label, keyed[alias], m) for alias, m in uses.metrics.items()]
     value = uses.value
     if value is None:
