@@ -24,10 +24,10 @@ from __future__ import annotations
 import logging
 from contextlib import contextmanager
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 # Aggregates computed in the shared single pass.
@@ -42,7 +42,10 @@ FREQUENCY_AGGS = (
 )
 SCHEMA_AGGS = ("duplicate_columns",)
 
-DEFAULT_MAX_METRICS_PER_PASS = 1000
+# Spark compiles a whole stage only while its rows stay under
+# ``spark.sql.codegen.maxFields`` (100) fields; a pass keeps its aggregate
+# buffers below that so every pass runs compiled code.
+DEFAULT_MAX_METRICS_PER_PASS = 64
 
 METRICS_SCHEMA = "metric string, column string, key string, value double, error string"
 
@@ -127,7 +130,10 @@ _QUERY_CONTEXT_LOGGERS = ("DataFrameQueryContextLogger", "SQLQueryContextLogger"
 
 @contextmanager
 def _quiet_analysis_errors():
-    loggers = [logging.getLogger(n) for n in _QUERY_CONTEXT_LOGGERS]
+    # Fetch them as PySpark does, so PySpark later finds loggers of its own class.
+    from pyspark.logger import PySparkLogger
+
+    loggers = [PySparkLogger.getLogger(n) for n in _QUERY_CONTEXT_LOGGERS]
     levels = [lg.level for lg in loggers]
     for lg in loggers:
         lg.setLevel(logging.CRITICAL)
@@ -164,6 +170,19 @@ def _unique(seq):
     return list(dict.fromkeys(seq))
 
 
+def union_all(frames: list[DataFrame]) -> DataFrame:
+    """Union many frames of one schema as a balanced tree.
+
+    A left-deep chain re-checks the whole growing plan at every step
+    (quadratic in the number of pieces); a balanced tree keeps plan building
+    near-linear for reports with thousands of pieces.
+    """
+    while len(frames) > 1:
+        frames = [frames[i].union(frames[i + 1]) if i + 1 < len(frames) else frames[i]
+                  for i in range(0, len(frames), 2)]
+    return frames[0]
+
+
 def _frequency_counters(df: DataFrame, keys: tuple[str, ...], where: str | None) -> DataFrame:
     """One row of counters over the frequency table ``groupBy(keys).count()``.
 
@@ -187,6 +206,63 @@ def _frequency_counters(df: DataFrame, keys: tuple[str, ...], where: str | None)
     )
 
 
+# Single-column frequency sets beyond this many (per filter) are computed
+# stacked by value type instead of one group-by per column.
+STACK_FREQUENCY_THRESHOLD = 64
+_COUNTERS = ("distinct", "distinctness", "distinct_keep_nulls", "duplicate_groups", "duplicate_groups_keep_nulls")
+_COUNT_LIKE = {"distinct", "distinct_keep_nulls", "duplicate_groups", "duplicate_groups_keep_nulls"}
+
+
+def _value_family(dtype: T.DataType) -> str | None:
+    """Common type several columns can be stacked under without changing any value."""
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return "bigint"
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return "double"
+    if isinstance(dtype, (T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType,
+                          T.BinaryType, T.DecimalType)):
+        return dtype.simpleString()
+    return None  # nested types keep their own group-by
+
+
+def _stacked_counters(df: DataFrame, keys: list[str], family: str, where: str | None) -> DataFrame:
+    """Counters for many single-column key sets of one value type, in one group-by.
+
+    Each row is unfolded to ``(column id, value)`` pairs and grouped by both;
+    map-side partial aggregation collapses repeated (and hot) values before
+    the shuffle, so the shuffle carries the same distinct values as separate
+    per-column group-bys would, from a single scan and a single plan branch.
+    The result has one row per column id with the five counters.
+    """
+    src = df.where(where) if where else df
+    pairs = ", ".join(f"named_struct('i', {j}, 'v', CAST({k} AS {family}))" for j, k in enumerate(keys))
+    freq = src.selectExpr(f"inline(array({pairs}))").groupBy("i", "v").agg(F.count(F.lit(1)).alias("_n"))
+    keep = "v IS NOT NULL"
+    return freq.groupBy("i").agg(
+        F.expr(f"count_if(_n > 0 AND {keep})").alias("distinct"),
+        F.expr(f"sum(CASE WHEN _n > 0 AND {keep} THEN 1 END)").alias("distinctness"),
+        F.expr("count_if(_n > 0)").alias("distinct_keep_nulls"),
+        F.expr(f"count_if(_n > 1 AND {keep})").alias("duplicate_groups"),
+        F.expr("count_if(_n > 1)").alias("duplicate_groups_keep_nulls"),
+    )
+
+
+def _stack_plan(df: DataFrame, sets: list[tuple]) -> dict[tuple, list]:
+    """Group stackable single-column sets by (filter, value family) when there are many."""
+    fields = {f"`{f.name.replace('`', '``')}`": f.dataType for f in df.schema.fields}
+    single = [s for s in sets if len(s[0]) == 1 and s[0][0] in fields and _value_family(fields[s[0][0]])]
+    by_where: dict = {}
+    for s in single:
+        by_where.setdefault(s[1], []).append(s)
+    groups: dict[tuple, list] = {}
+    for where, members in by_where.items():
+        if len(members) < STACK_FREQUENCY_THRESHOLD:
+            continue
+        for s in members:
+            groups.setdefault((where, _value_family(fields[s[0][0]])), []).append(s)
+    return groups
+
+
 def _build_or_error(build):
     """``(frame, None)`` or ``(None, error text)``: Spark analyses eagerly, no job runs."""
     with _quiet_analysis_errors():
@@ -226,7 +302,9 @@ def compute_metrics(
     def scan_chunk(chunk):
         return df.selectExpr(*[f"{value_sql(scan_sql(m))} AS _m{i}" for i, m in enumerate(chunk)])
 
-    scan_specs = [m for m in by_metric if m.kind == "scan"]
+    # Passes take metrics column by column, so each pass reads its own columns and
+    # splitting a wide report into passes does not read any column twice.
+    scan_specs = sorted((m for m in by_metric if m.kind == "scan"), key=lambda m: by_metric[m][0].column)
     step = max(1, int(max_metrics_per_pass))
     for start in range(0, len(scan_specs), step):
         chunk = scan_specs[start:start + step]
@@ -243,9 +321,29 @@ def compute_metrics(
         rows = [_row_sql(nm, f"_m{i}") for i, m in enumerate(chunk) for nm in by_metric[m]]
         pieces.append(_explode_rows(wide, rows))
 
-    # Frequency metrics: one group-by per (keys, filter), shared by all metrics on it.
-    for keys_, where in _unique((m.target, m.where) for m in by_metric if m.kind == "frequency"):
-        members = [m for m in by_metric if m.kind == "frequency" and (m.target, m.where) == (keys_, where)]
+    # Frequency metrics: one group-by per (keys, filter), shared by all metrics on it;
+    # on wide tables many single-column sets are stacked into one group-by per type.
+    freq_sets = _unique((m.target, m.where) for m in by_metric if m.kind == "frequency")
+    members_of = {s: [m for m in by_metric if m.kind == "frequency" and (m.target, m.where) == s]
+                  for s in freq_sets}
+    stacked = _stack_plan(df, freq_sets)
+    in_stack = {s for group in stacked.values() for s in group}
+    for (where, family), group in stacked.items():
+        counters = _stacked_counters(df, [s[0][0] for s in group], family, where)
+        aggs, rows = [], []
+        for j, s in enumerate(group):
+            for m in members_of[s]:
+                value = f"max(CASE WHEN i = {j} THEN {m.agg} END)"
+                if m.agg in _COUNT_LIKE:  # a column with no group at all (empty input) counts 0
+                    value = f"coalesce({value}, 0)"
+                aggs.append(f"CAST({value} AS DOUBLE) AS _f{len(aggs)}")
+                rows += [_row_sql(nm, f"_f{len(aggs) - 1}") for nm in by_metric[m]]
+        pieces.append(_explode_rows(counters.selectExpr(*aggs), rows))
+
+    for keys_, where in freq_sets:
+        if (keys_, where) in in_stack:
+            continue
+        members = members_of[(keys_, where)]
         counters, err = (None, "no grouping keys") if not keys_ else _build_or_error(
             lambda k=keys_, w=where: _frequency_counters(df, k, w))
         if err is not None:
@@ -266,7 +364,7 @@ def compute_metrics(
     if literal_rows:
         pieces.append(_explode_rows(spark.range(1), literal_rows))
 
-    return reduce(DataFrame.union, pieces)
+    return union_all(pieces)
 
 
 def compute_metrics_isolated(

@@ -19,13 +19,16 @@ from pyspark.sql import functions as F
 
 from assay.functions.predicates import as_of_sql, quote
 from assay.functions.thresholds import ConfigError, check_operator, status_sql
-from assay.operators.metrics import _analysable, _build_or_error, sql_literal
+from assay.operators.metrics import _analysable, _build_or_error, sql_literal, union_all
 from assay.operators.schema import COLUMN_PLACEHOLDER, declared_columns, matching_columns
 from assay.plans.catalogue import SQL_CONFIG
 from assay.plans.evaluate import VERDICT_SCHEMA
 
 STRATEGY = "sql"
 METRIC_COLUMN = "metricName"
+# Spark's SQL parser rejects overly complex statements; very wide tables expand
+# to thousands of templates, so they are parsed in statements of this many.
+TEMPLATES_PER_STATEMENT = 100
 
 
 def register_view(df: DataFrame, prefix: str = "assay_table") -> str:
@@ -75,12 +78,25 @@ def _failed_sql(name: str, err: str) -> str:
             f"{sql_literal(err)} AS error")
 
 
+def _statement_chunk(spark, checks, parts) -> DataFrame:
+    """One ``UNION ALL`` statement; if it does not analyse, find and isolate the bad templates."""
+    result, err = _build_or_error(lambda: spark.sql("\nUNION ALL\n".join(parts)))
+    if err is None:
+        return result
+    fixed = []
+    for (name, sql, op, thr), part in zip(checks, parts):
+        bad = _analysable(lambda p=part: spark.sql(p))
+        fixed.append(part if bad is None else _failed_sql(name, bad))
+    return spark.sql("\nUNION ALL\n".join(fixed))
+
+
 def run_sql_checks(df: DataFrame, config: dict | None = None, types=None, as_of=None) -> DataFrame:
     """Verdicts ``(checkName, value, status, error)`` of SQL-template checks.
 
-    All templates become one ``UNION ALL`` statement: one parse and analysis,
-    one action.  If it does not analyse, each template is analysed alone and
-    the failing ones are reported as failed checks.
+    Templates become ``UNION ALL`` statements (up to ``TEMPLATES_PER_STATEMENT``
+    each) unioned into one DataFrame: one action.  If a statement does not
+    analyse, each of its templates is analysed alone and the failing ones are
+    reported as failed checks.
     """
     spark = df.sparkSession
     view = register_view(df)
@@ -89,16 +105,15 @@ def run_sql_checks(df: DataFrame, config: dict | None = None, types=None, as_of=
     if len(set(names)) != len(names):
         raise ConfigError("duplicate check names after expansion")
     if not checks:
+        spark.catalog.dropTempView(view.strip("`"))
         return spark.createDataFrame([], VERDICT_SCHEMA)
     parts = [_check_sql(*c) for c in checks]
     try:
-        result, err = _build_or_error(lambda: spark.sql("\nUNION ALL\n".join(parts)))
-        if err is not None:
-            fixed = []
-            for (name, sql, op, thr), part in zip(checks, parts):
-                bad = _analysable(lambda p=part: spark.sql(p))
-                fixed.append(part if bad is None else _failed_sql(name, bad))
-            result = spark.sql("\nUNION ALL\n".join(fixed))
+        chunks = [
+            _statement_chunk(spark, checks[i:i + TEMPLATES_PER_STATEMENT], parts[i:i + TEMPLATES_PER_STATEMENT])
+            for i in range(0, len(parts), TEMPLATES_PER_STATEMENT)
+        ]
+        result = union_all(chunks)
     finally:
         # The analysed plan already holds the table; the name is no longer needed.
         spark.catalog.dropTempView(view.strip("`"))

@@ -128,3 +128,24 @@ def test_runtime_error_isolation_in_checks(frame):
     v = {r["checkName"]: r for r in run_expression_checks(df, cfg, isolate_runtime_errors=True).collect()}
     assert v["rows"]["status"] is True
     assert v["total"]["status"] is False
+
+
+def test_stacked_frequency_sets_match_per_column(frame, monkeypatch):
+    import assay.operators.metrics as M
+
+    rows = [(1, 1.5, "a", None, 0.0), (1, -0.0, "a", None, float("nan")), (2, None, None, None, float("nan")),
+            (None, 1.5, "b", None, 0.0), (3, 2.5, "a", None, 1.0)]
+    df = frame(rows, "i int, d double, s string, nothing string, f double")
+    named = [NamedMetric(agg, c, f"{agg}_{c}", Metric(agg, (f"`{c}`",)))
+             for c in df.columns for agg in M.FREQUENCY_AGGS]
+    named.append(NamedMetric("rows", "*", "rows", Metric("size")))
+    direct = values(compute_metrics(df, named))
+    monkeypatch.setattr(M, "STACK_FREQUENCY_THRESHOLD", 2)
+    plan = compute_metrics(df, named)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate inline") >= 1
+    assert values(compute_metrics(df, named)) == direct
+    empty = df.where("i > 100")
+    monkeypatch.setattr(M, "STACK_FREQUENCY_THRESHOLD", 10_000)
+    direct_empty = values(compute_metrics(empty, named))
+    monkeypatch.setattr(M, "STACK_FREQUENCY_THRESHOLD", 2)
+    assert values(compute_metrics(empty, named)) == direct_empty
