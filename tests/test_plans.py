@@ -61,3 +61,14 @@ def test_hot_key_holding_half_the_rows(frame):
         NamedMetric("dgk", "k", "dgk", Metric("duplicate_groups_keep_nulls", ("k",))),
     ]).collect()}
     assert m == {"d": 501, "kn": 502, "dg": 1, "dgk": 2}
+
+
+def test_wide_table_frequency_sets_are_stacked(spark):
+    from pyspark.sql import functions as F
+
+    li = spark.read.parquet(f"{SF}/lineitem.parquet")
+    wide = li.select(*[F.col(c).alias(f"{c}_{i}") for i in range(7) for c in li.columns])  # 77 columns
+    named = [NamedMetric("d", c, f"d_{c}", Metric("distinct", (f"`{c}`",))) for c in wide.columns]
+    plan = compute_metrics(wide, named)._jdf.queryExecution().optimizedPlan().toString()
+    # one scan per value type (bigint, double, string, timestamp_ntz), not one per column
+    assert len(re.findall(r"Relation \[", plan)) == 4
