@@ -15,7 +15,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from assay.functions.predicates import as_of_sql, quote
 from assay.functions.thresholds import ConfigError, check_operator, status_sql
