@@ -24,7 +24,7 @@ DERIVED_SQL = {
                CASE WHEN c_custkey % 19 = 0 THEN 0.0 ELSE c_acctbal END AS bal
         FROM {customer}
         UNION ALL
-        SELECT c_custkey, c_mktsegment, c_acctbal FROM {customer} WHERE c_custkey % 10 = 0
+        SELECT c_custkey, c_mktsegment, c_acctbal FROM {customer} WHERE c_mktsegment = 'AUTOMOBILE'
     """,
     # Natural nulls: documents without labels.
     "labelled_documents": """
