@@ -366,8 +366,8 @@ CONDITIONAL = [
     ("avg_tax", "l_tax", Metric("avg", ("l_tax",)), "avg(l_tax)", 6),
     ("stddev_price_small", "l_extendedprice", Metric("stddev_pop", ("l_extendedprice",), "l_quantity < 10"),
      "stddev_pop(l_extendedprice) FILTER (WHERE l_quantity < 10)", 6),
-    ("stddev_single_row", "l_tax", Metric("stddev_pop", ("l_tax",), "l_orderkey = 1 AND l_linenumber = 1"),
-     "stddev_pop(l_tax) FILTER (WHERE l_orderkey = 1 AND l_linenumber = 1)", 6),
+    ("stddev_tax_closed_normal", "l_tax", Metric("stddev_pop", ("l_tax",), "l_returnflag = 'N' AND l_linestatus = 'F'"),
+     "stddev_pop(l_tax) FILTER (WHERE l_returnflag = 'N' AND l_linestatus = 'F')", 6),
 ]
 
 
