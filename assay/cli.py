@@ -43,6 +43,7 @@ def _cmd_run(args) -> None:
     )
     out = args.output.rstrip("/")
     with job_label(spark, f"assay checks on {args.input}"):
+        report = report.materialize()  # one pass over the input for all outputs below
         for s in strategies:
             write_verdicts(report.strategy(s).select("checkName", "status", "value", "error"), f"{out}/{s}")
         write_metrics(report.metrics, f"{out}/metrics")

@@ -39,6 +39,27 @@ class Report:
     def disagreements(self) -> DataFrame:
         return verdict_disagreements(self.aligned)
 
+    def materialize(self) -> Report:
+        """Compute the report once and keep its (small) results outside the lineage.
+
+        Every action on a lazy report re-runs the whole plan over the input.
+        Writing several outputs (each strategy, the metrics, the comparison)
+        would read a 100 TB input several times.  This runs the plan once:
+        metrics are cached while the verdicts are computed, then both are
+        checkpointed to ``spark.checkpoint.dir`` (reliable storage, lineage
+        cut).  Later actions never touch the input again, even if executors
+        are lost.  The results hold one row per check or metric.
+        """
+        self.metrics.persist()
+        try:
+            verdicts = self.verdicts.checkpoint(eager=True)
+            metrics = self.metrics.checkpoint(eager=True)
+        finally:
+            self.metrics.unpersist()
+        labels = [c[: -len("Status")] for c in self.aligned.columns if c != "checkName"]
+        aligned = pivot_verdicts(verdicts.select("strategy", "checkName", "status"), labels)
+        return Report(metrics, verdicts, aligned)
+
 
 def check_report(
     df: DataFrame,

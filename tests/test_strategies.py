@@ -157,3 +157,13 @@ def test_map_and_array_columns(frame):
     assert by[("validator", "No Columns with constant values for column m")]["value"] == 3
     assert by[("expression", "No Null/Missing values in data for column m")]["value"] == 1
     assert not any(r["error"] for r in by.values())
+
+
+def test_materialized_report_does_not_rescan_input(frame, spark):
+    df = frame([(1, "a"), (2, "b"), (2, "b")], "k int, s string")
+    report = check_report(df, as_of=AS_OF).materialize()
+    for plan_df in (report.metrics, report.verdicts, report.aligned):
+        plan = plan_df._jdf.queryExecution().optimizedPlan().toString()
+        assert "LocalRelation" not in plan and "LogicalRDD" in plan
+    assert report.disagreements.count() == 1
+    assert {r["checkName"] for r in report.strategy("sql").collect()} <= {r["checkName"] for r in report.aligned.collect()}
