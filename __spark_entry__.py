@@ -1072,6 +1072,42 @@ def o_text_table_checks():
                    for s in ("sql", "expression", "validator")])
 
 
+HASHED_TABLES = ["dirty_customer", "all_null_rows", "hot_key_lineitem"]
+ROW_AGGS = ("distinct", "distinctness", "distinct_keep_nulls", "duplicate_groups", "duplicate_groups_keep_nulls")
+
+
+def q_hashed_duplicate_rows(spark, sf):
+    """Row-level distinct/duplicate counters through the two-phase hashed plan (exact)."""
+    from assay.operators.metrics import ROW_HASH_CONF
+
+    previous = spark.conf.get(ROW_HASH_CONF, None)
+    spark.conf.set(ROW_HASH_CONF, "2")
+    try:
+        parts = []
+        for t in HASHED_TABLES:
+            df = load(spark, sf, t)
+            keys = tuple(quote(c) for c in df.columns)
+            parts.append(_long(df, [NamedMetric(a, t, f"{a}_{t}", Metric(a, keys)) for a in ROW_AGGS]))
+    finally:
+        if previous is None:
+            spark.conf.unset(ROW_HASH_CONF)
+        else:
+            spark.conf.set(ROW_HASH_CONF, previous)
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def o_hashed_duplicate_rows():
+    cols = {"dirty_customer": DIRTY, "all_null_rows": ["ok", "ck"],
+            "hot_key_lineitem": ["line_key", "l_returnflag", "l_quantity"]}
+    parts = []
+    for t in HASHED_TABLES:
+        c = cols[t]
+        values = {"distinct": _ndv_drop(t, c), "distinctness": _distinctness(t, c), "distinct_keep_nulls": _ndv_keep(t, c),
+                  "duplicate_groups": _dup_groups(t, c, False), "duplicate_groups_keep_nulls": _dup_groups(t, c, True)}
+        parts += [f"SELECT {_s(a)} AS metric, {_s(t)} AS \"column\", CAST({values[a]} AS DOUBLE) AS value" for a in ROW_AGGS]
+    return _union(parts)
+
+
 # --------------------------------------------------------------------------- contract
 _QUERIES: dict[str, tuple[Callable, Callable | None]] = {
     "row_counts": (q_row_counts, o_row_counts),
@@ -1115,6 +1151,7 @@ _QUERIES: dict[str, tuple[Callable, Callable | None]] = {
     "csv_source_checks": (q_csv_source_checks, o_csv_source_checks),
     "hot_key_metrics": (q_hot_key_metrics, o_hot_key_metrics),
     "text_table_checks": (q_text_table_checks, o_text_table_checks),
+    "hashed_duplicate_rows": (q_hashed_duplicate_rows, o_hashed_duplicate_rows),
 }
 
 

@@ -206,6 +206,55 @@ def _frequency_counters(df: DataFrame, keys: tuple[str, ...], where: str | None)
     )
 
 
+# Opt-in: key sets with at least this many keys (e.g. whole rows) use the
+# two-phase hashed plan below instead of grouping by the full values.
+ROW_HASH_CONF = "spark.assay.rowHash.minKeys"
+
+
+def _row_hashes(keys: tuple[str, ...]) -> tuple[str, str]:
+    """Two independent hashes (64 + 32 bits) of the key values."""
+    args = ", ".join(keys)
+    return f"xxhash64({args})", f"hash({args})"
+
+
+def _hashed_frequency_counters(df: DataFrame, keys: tuple[str, ...], where: str | None) -> DataFrame:
+    """The five counters of :func:`_frequency_counters`, exactly, without shuffling whole rows.
+
+    Phase 1 shuffles only two row hashes: ``groupBy(h1, h2).count()``.  A hash
+    group of one row is one distinct value of the keys (equal keys hash
+    equally).  Phase 2 takes the rows of the hash groups with more than one
+    row (true duplicates or, rarely, hash collisions) with a semi-join and
+    groups only those by their full values, so the result stays exact.  When
+    duplicates are rare the candidate set is small; AQE then sees its real
+    size and broadcasts it, and full rows never cross the network.
+    """
+    src = df.where(where) if where else df
+    h1, h2 = _row_hashes(keys)
+    all_null = " AND ".join(f"(({k}) IS NULL)" for k in keys)
+    census = (src.selectExpr(f"{h1} AS _h1", f"{h2} AS _h2", f"{all_null} AS _null")
+                 .groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"), F.max("_null").alias("_null")))
+    singles = census.where("_n = 1").selectExpr(
+        "count_if(NOT _null) AS distinct", "count(1) AS distinct_keep_nulls",
+        "0L AS duplicate_groups", "0L AS duplicate_groups_keep_nulls")
+    candidates = census.where("_n > 1").selectExpr("_h1 AS _c1", "_h2 AS _c2")
+    hashed = src.selectExpr(*[f"{k} AS _k{i}" for i, k in enumerate(keys)], f"{h1} AS _h1", f"{h2} AS _h2")
+    on = F.col("_h1").eqNullSafe(F.col("_c1")) & F.col("_h2").eqNullSafe(F.col("_c2"))
+    shared = hashed.join(candidates, on, "left_semi")
+    exact = _frequency_counters(shared, tuple(f"_k{i}" for i in range(len(keys))), None).select(
+        "distinct", "distinct_keep_nulls", "duplicate_groups", "duplicate_groups_keep_nulls")
+    total = singles.unionByName(exact).selectExpr(
+        "coalesce(sum(distinct), 0L) AS distinct", "coalesce(sum(distinct_keep_nulls), 0L) AS distinct_keep_nulls",
+        "coalesce(sum(duplicate_groups), 0L) AS duplicate_groups",
+        "coalesce(sum(duplicate_groups_keep_nulls), 0L) AS duplicate_groups_keep_nulls")
+    return total.selectExpr("distinct", "CASE WHEN distinct > 0 THEN distinct END AS distinctness",
+                            "distinct_keep_nulls", "duplicate_groups", "duplicate_groups_keep_nulls")
+
+
+def _row_hash_min_keys(df: DataFrame) -> int | None:
+    value = df.sparkSession.conf.get(ROW_HASH_CONF, None)
+    return int(value) if value else None
+
+
 # Single-column frequency sets beyond this many (per filter) are computed
 # stacked by value type instead of one group-by per column.
 STACK_FREQUENCY_THRESHOLD = 64
@@ -340,12 +389,14 @@ def compute_metrics(
                 rows += [_row_sql(nm, f"_f{len(aggs) - 1}") for nm in by_metric[m]]
         pieces.append(_explode_rows(counters.selectExpr(*aggs), rows))
 
+    hash_min = _row_hash_min_keys(df)
     for keys_, where in freq_sets:
         if (keys_, where) in in_stack:
             continue
         members = members_of[(keys_, where)]
+        build = _hashed_frequency_counters if hash_min and len(keys_) >= hash_min else _frequency_counters
         counters, err = (None, "no grouping keys") if not keys_ else _build_or_error(
-            lambda k=keys_, w=where: _frequency_counters(df, k, w))
+            lambda k=keys_, w=where, b=build: b(df, k, w))
         if err is not None:
             for m in members:
                 errors[m] = err

@@ -149,3 +149,32 @@ def test_stacked_frequency_sets_match_per_column(frame, monkeypatch):
     direct_empty = values(compute_metrics(empty, named))
     monkeypatch.setattr(M, "STACK_FREQUENCY_THRESHOLD", 2)
     assert values(compute_metrics(empty, named)) == direct_empty
+
+
+def _row_metrics(cols):
+    keys = tuple(f"`{c}`" for c in cols)
+    return [NamedMetric(agg, "*", agg, Metric(agg, keys)) for agg in
+            ("distinct", "distinctness", "distinct_keep_nulls", "duplicate_groups", "duplicate_groups_keep_nulls")]
+
+
+def test_hashed_row_frequencies_are_exact(frame, spark, monkeypatch):
+    import assay.operators.metrics as M
+
+    rows = ([(1, "a", 1.0)] * 5 + [(2, "b", None)] * 2 + [(None, None, None)] * 3
+            + [(i, f"u{i}", float(i)) for i in range(3, 40)])
+    df = frame(rows, "a int, b string, c double")
+    direct = values(compute_metrics(df, _row_metrics(df.columns)))
+    spark.conf.set(M.ROW_HASH_CONF, "2")
+    try:
+        hashed_df = compute_metrics(df, _row_metrics(df.columns))
+        assert "LeftSemi" in hashed_df._jdf.queryExecution().optimizedPlan().toString()
+        assert values(hashed_df) == direct
+        # a deliberately weak hash makes many different rows collide: still exact
+        monkeypatch.setattr(M, "_row_hashes", lambda keys: ("length(CAST(" + keys[0] + " AS STRING))", "1"))
+        assert values(compute_metrics(df, _row_metrics(df.columns))) == direct
+        empty = df.where("a > 1000")
+        assert values(compute_metrics(empty, _row_metrics(df.columns))) == {
+            "distinct": 0, "distinctness": None, "distinct_keep_nulls": 0, "duplicate_groups": 0,
+            "duplicate_groups_keep_nulls": 0}
+    finally:
+        spark.conf.unset(M.ROW_HASH_CONF)
