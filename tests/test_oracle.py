@@ -26,7 +26,7 @@ def con():
 
 def _norm(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else round(v, 4)
+        return "nan" if math.isnan(v) else v
     return v
 
 
