@@ -31,6 +31,10 @@ def _cmd_run(args) -> None:
     from assay.sources.io import read_table, write_comparison, write_metrics, write_verdicts
 
     spark = _session()
+    if args.row_hash_min_keys:
+        from assay.operators.metrics import ROW_HASH_CONF
+
+        spark.conf.set(ROW_HASH_CONF, str(args.row_hash_min_keys))
     df = read_table(spark, args.input, args.format)
     types = load_declared_schema(args.schema) if args.schema else None
     strategies = STRATEGIES if args.strategy == "all" else (args.strategy,)
@@ -76,6 +80,8 @@ def main(argv=None) -> None:
     r.add_argument("--sql-config")
     r.add_argument("--as-of", help="reference date for freshness (default: today)")
     r.add_argument("--stage", action="store_true", help="stage the input as parquet under spark.checkpoint.dir")
+    r.add_argument("--row-hash-min-keys", type=int,
+                   help="exact two-phase hashed plan for duplicate counts over at least this many columns")
     r.add_argument("--output", required=True)
     r.set_defaults(fn=_cmd_run)
     c = sub.add_parser("compare", help="align stored verdict tables")

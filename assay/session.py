@@ -44,7 +44,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 @contextmanager
 def job_label(spark: SparkSession, text: str):
     """Label the Spark jobs started inside the block (shown in logs and event logs)."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: tag the operations instead
+        spark.addTag(text.replace(",", " ")[:100])
+        try:
+            yield
+        finally:
+            spark.removeTag(text.replace(",", " ")[:100])
+        return
     previous = sc.getLocalProperty("spark.job.description")
     sc.setJobDescription(text)
     try:

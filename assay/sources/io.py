@@ -85,7 +85,12 @@ def amplify(df: DataFrame, copies: int) -> DataFrame:
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``)."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        try:  # classic sessions may have it set on the context only
+            path = spark.sparkContext.getCheckpointDir()
+        except Exception:  # Spark Connect: no SparkContext on the client
+            path = None
     if not path:
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder (HDFS, S3, ...)")
     return str(path).rstrip("/")
