@@ -7,6 +7,7 @@ sides (6 decimals; 2 for large sums) so summation order cannot change a hash.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
 
@@ -1161,9 +1162,26 @@ def entry(spark: SparkSession) -> DataFrame:
     return check_report(li, as_of=AS_OF).verdicts
 
 
+try:  # the training-data operators are optional: the rest works without their subpackage
+    import corpus_pipeline
+    from assay.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if not re.fullmatch(r"corpus_pipeline|assay\.llm(\..*)?", missing.name or ""):
+        raise
+    corpus_pipeline = llm_queries = None
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: q for name, (q, _) in _QUERIES.items()}
+    out = {name: q for name, (q, _) in _QUERIES.items()}
+    if llm_queries is not None:
+        out |= llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    return out
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: o() for name, (_, o) in _QUERIES.items() if o is not None}
+    out = {name: o() for name, (_, o) in _QUERIES.items() if o is not None}
+    if llm_queries is not None:
+        out |= llm_queries.ORACLE_SQL
+        if corpus_pipeline.ORACLE_SQL:
+            out["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return out
