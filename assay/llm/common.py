@@ -59,3 +59,52 @@ def with_column(df: DataFrame, **columns) -> DataFrame:
     taken = {c.lower() for c in columns}
     kept = [F.col(f"`{c.replace('`', '``')}`") for c in df.columns if c.lower() not in taken]
     return df.select(*kept, *[e.alias(c) for c, e in columns.items()])
+
+
+#: A key is hot if it holds more than this share of all rows; at most 1 / HOT_SHARE keys can be,
+#: which is the proven bound of the broadcast in :func:`join_counted`.
+HOT_SHARE = 1e-4
+
+
+def join_counted(rows: DataFrame, table: DataFrame, key: list[str], count_col: str, total: int) -> DataFrame:
+    """``rows`` joined with ``table``, which has one row per key and in ``count_col`` how many of the
+    ``total`` rows hold it.  Hot keys (bounded in number) join by broadcast, so their rows stay where
+    they are; the others join by a shuffle in which no key is large."""
+    hot = F.col(count_col) > max(1.0, total * HOT_SHARE)
+    few = F.broadcast(table.where(hot))
+    cold = rows.join(F.broadcast(table.where(hot).select(*key)), key, "left_anti")
+    return rows.join(few, key).unionByName(cold.join(table.where(~hot), key))
+
+
+def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+    """``node, component`` (the component's smallest node) for every node of ``edges`` (longs ``a, b``).
+
+    Alternates two star operations until the edges are stars around the smallest nodes: each node links
+    its larger neighbours to its smallest one, then its smaller neighbours and itself.  Only minima are
+    aggregated, no neighbourhood is gathered; hubs are joined by broadcast (:func:`join_counted`).  Each
+    round is written to the shared folder, so no lineage grows and a lost executor costs one round.
+    """
+    spark = edges.sparkSession
+    pairs = (edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    now, path = materialize_at(pairs, "edges")
+    last = None
+    for _ in range(max_rounds):
+        count, state = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
+        if (count, state) == last or not count:
+            return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
+                now.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
+        last = count, state
+        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n"))
+        large = (join_counted(both, materialize(least, "least"), ["u"], "n", 2 * count).where("v > u")
+                 .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        large, held = materialize_at(large, "edges")
+        least = materialize(large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")), "least")
+        moved = join_counted(large, least, ["u"], "n", large.count()).where("v <> m")
+        small = moved.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
+            least.select("u", F.col("m").alias("v"))).distinct()
+        before = path
+        now, path = materialize_at(small, "edges")
+        discard(spark, before)
+        discard(spark, held)
+    raise RuntimeError(f"components did not settle in {max_rounds} rounds")

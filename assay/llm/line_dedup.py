@@ -14,11 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assay.llm.common import materialize, packed
-
-#: A line is hot if it holds more than this share of all line rows: at most 1 / HOT_SHARE
-#: lines are, which is the proven bound of the broadcast below.
-HOT_SHARE = 1e-4
+from assay.llm.common import join_counted, materialize, packed
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source",
@@ -62,32 +58,21 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                .where((F.col("_s") >= min_sites) & (F.col("_t") >= min_sites)).select(*key))
     boilerplate = spread.where(sure).select(*key, "_n", "_first").unionByName(
         spread.join(counted, key, "left_semi").select(*key, "_n", "_first"))
-    removal = _occurrences(lines, materialize(boilerplate, "boilerplate"), key)
+    removal = join_counted(lines, materialize(boilerplate, "boilerplate"), key, "_n", lines.count())
     removal = (removal.where(~F.col("_id").eqNullSafe(F.col("_first")))
                .groupBy(F.col("_id").alias("_rid"), F.col("_th").alias("_rth"))
                .agg(F.collect_set("_pos").alias("_gone")))
     joined = rows.join(removal, F.col("_id").eqNullSafe(F.col("_rid")) & (F.col("_th") == F.col("_rth")), "left")
     kept = F.expr("array_join(filter(split(_text, '\n', -1), (l, i) -> NOT array_contains(_gone, i)), '\n')")
     new_text = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(kept)
-    made = {text_col: new_text,
-            "n_lines": F.coalesce(F.size(F.split("_text", "\n", -1)).cast("long"), F.lit(0)),
-            "n_removed": F.coalesce(F.size("_gone").cast("long"), F.lit(0))}
-    made["n_lines"] = F.when(F.col("_text").isNull(), F.lit(0).cast("long")).otherwise(made["n_lines"])
-    made["n_removed"] = F.when(F.col("_gone").isNull(), F.lit(0).cast("long")).otherwise(made["n_removed"])
-    return joined.select(*[made.pop(c) .alias(c) if c in made else F.col("_row").getField(c).alias(c) for c in docs.columns],
+    zero = F.lit(0).cast("long")
+    made = {"n_lines": F.when(F.col("_text").isNull(), zero).otherwise(F.size(F.split("_text", "\n", -1)).cast("long")),
+            "n_removed": F.when(F.col("_gone").isNull(), zero).otherwise(F.size("_gone").cast("long"))}
+    own = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
+    return joined.select(*[new_text.alias(c) if c == text_col else F.col("_row").getField(c).alias(c) for c in own],
                          *[e.alias(c) for c, e in made.items()])
 
 
-def _occurrences(lines: DataFrame, boilerplate: DataFrame, key: list[str]) -> DataFrame:
-    """Occurrences of boilerplate lines.  Hot lines (bounded in number) are joined by broadcast, so none
-    of their rows meet in one task; the others are joined by a shuffle on the line hash."""
-    total = lines.count()
-    hot = F.col("_n") > max(1.0, total * HOT_SHARE)
-    out = lines.join(F.broadcast(boilerplate.where(hot)), key)
-    cold = lines.join(F.broadcast(boilerplate.where(hot)).select(*key), key, "left_anti")
-    return out.unionByName(cold.join(boilerplate.where(~hot), key))
-
-
 def line_dedup_sql(min_sites: int = 5, min_chars: int = 15) -> str:
     """The same rows in DuckDB SQL, by exact counts."""
     return f"""

@@ -5,22 +5,48 @@ from __future__ import annotations
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from assay.llm.common import scratch
+from assay.llm.kd_topk import scaled_vectors, top_k, top_k_sql
 from assay.llm.line_dedup import line_dedup, line_dedup_sql
+from assay.llm.simhash import simhash_groups
+from assay.llm.warc import read_archive, write_archive
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_kd_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = scaled_vectors(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    found = top_k(vectors, vectors.where("id % 50 = 0"), k=5)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(_table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "warc")
+    write_archive(_table(spark, sf_dir, "pages"), path)
+    return read_archive(spark, path, payloads=False).select(
+        F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_kd_topk": op2_kd_topk,
+    "op3_simhash": op3_simhash,
+    "op7_warc": op7_warc,
     "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_kd_topk": top_k_sql(),
     "op10_line_dedup": line_dedup_sql(),
 }
