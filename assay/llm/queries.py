@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from typing import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from assay.llm.bpe import bpe_decode, bpe_encode, digests, read_tokenizer
 from assay.llm.common import scratch
 from assay.llm.kd_topk import scaled_vectors, top_k, top_k_sql
 from assay.llm.line_dedup import line_dedup, line_dedup_sql
+from assay.llm.packing import pack_documents
 from assay.llm.simhash import simhash_groups
 from assay.llm.warc import read_archive, write_archive
 
@@ -18,6 +21,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = read_tokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    return digests(bpe_decode(bpe_encode(_table(spark, sf_dir, "documents"), tokenizer), tokenizer))
+
+
 def op2_kd_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = scaled_vectors(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     found = top_k(vectors, vectors.where("id % 50 = 0"), k=5)
@@ -35,14 +43,21 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = read_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    return pack_documents(_table(spark, sf_dir, "documents"), tokenizer, length=1024, end_id=0).drop("ids")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bpe": op1_bpe,
     "op2_kd_topk": op2_kd_topk,
     "op3_simhash": op3_simhash,
     "op7_warc": op7_warc,
+    "op9_packing": op9_packing,
     "op10_line_dedup": op10_line_dedup,
 }
 
