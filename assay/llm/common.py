@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +49,27 @@ def task_count(spark: SparkSession, size: float, per_task: float) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(size // per_task) + 1)
 
 
+#: Rows sampled (by a hash, so a retry samples the same) to set the bounds of ranges.  Bounds only set
+#: how evenly ranges are filled; every row is dealt to its range.
+BOUND_SAMPLE = 20_000
+
+
+def sampled(rows: DataFrame, column: str) -> tuple[DataFrame, float]:
+    """About ``BOUND_SAMPLE`` rows by a hash of ``column``, and their share of all rows."""
+    share = min(1.0, BOUND_SAMPLE / max(1, rows.count()))
+    slots = int(share * (1 << 20)) + 1
+    return rows.where(F.pmod(F.xxhash64(F.lit("bounds"), column), F.lit(1 << 20)) < slots), share
+
+
+def range_bounds(keys: np.ndarray, weights: np.ndarray, ranges: int) -> np.ndarray:
+    """Upper bounds that cut weighted keys into ``ranges`` ranges of nearly equal weight."""
+    if not len(keys):
+        return np.zeros(0, np.int64)
+    order = np.argsort(keys, kind="stable")
+    heaped = np.cumsum(weights[order])
+    return keys[order][np.searchsorted(heaped, heaped[-1] * np.arange(1, ranges) / ranges)]
+
+
 def packed(df: DataFrame, name: str = "_row") -> DataFrame:
     """All columns as one struct, so an operator's own columns cannot clash with the input's."""
     return df.select(F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in df.columns]).alias(name)) \

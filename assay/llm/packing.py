@@ -19,15 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from assay.llm.common import task_count
 from assay.llm.bpe import loaded
+from assay.llm.common import range_bounds, sampled, task_count
 from assay.llm.words import sliced, word_table
 
 DIMS, BITS = 4, 8
 
-#: Documents sampled to set the bounds of the ranges (their balance only; every document is packed).
-BOUND_SAMPLE = 20_000
-
 # Fixed value: the pattern by which the byte-level tokenizer splits a text.
 SPLIT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -114,17 +111,12 @@ def pack_documents(docs: DataFrame, tokenizer: bytes, id_col: str = "doc_id", te
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    total = rows.count()
-    share = min(1.0, BOUND_SAMPLE / max(1, total))
-    sample = rows.where(F.pmod(F.xxhash64(F.lit("bounds"), "id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    sample, share = sampled(rows, "id")
     found = sample.mapInArrow(_keyed(None), "bucket int, key long, id long, text string").select(
         "key", F.octet_length("text").alias("size")).toPandas()
-    keys, weights = found["key"].to_numpy(), found["size"].to_numpy(dtype=np.float64) + 64
-    ranges = task_count(spark, weights.sum() / share if total else 0, 1 << 25)
-    order = np.argsort(keys, kind="stable")
-    heaped = np.cumsum(weights[order])
-    at = np.searchsorted(heaped, heaped[-1] * np.arange(1, ranges) / ranges) if len(keys) else []
-    bounds = keys[order][at] if len(keys) else np.zeros(0, np.int64)
+    weights = found["size"].to_numpy(dtype=np.float64) + 64
+    ranges = task_count(spark, weights.sum() / share, 1 << 25)
+    bounds = range_bounds(found["key"].to_numpy(), weights, ranges)
     keyed = rows.mapInArrow(_keyed(bounds), "bucket int, key long, id long, text string")
     shared = spark.sparkContext.broadcast(tokenizer)
 

@@ -12,6 +12,7 @@ from assay.llm.bpe import bpe_decode, bpe_encode, digests, read_tokenizer
 from assay.llm.common import scratch
 from assay.llm.kd_topk import scaled_vectors, top_k, top_k_sql
 from assay.llm.line_dedup import line_dedup, line_dedup_sql
+from assay.llm.lz_fingerprint import compare_with_edits
 from assay.llm.packing import pack_documents
 from assay.llm.simhash import simhash_groups
 from assay.llm.warc import read_archive, write_archive
@@ -36,6 +37,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(_table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op4_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_with_edits(_table(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "warc")
     write_archive(_table(spark, sf_dir, "pages"), path)
@@ -56,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_kd_topk": op2_kd_topk,
     "op3_simhash": op3_simhash,
+    "op4_lz_fingerprint": op4_lz_fingerprint,
     "op7_warc": op7_warc,
     "op9_packing": op9_packing,
     "op10_line_dedup": op10_line_dedup,
