@@ -146,12 +146,13 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
     groups = slim.groupBy("sha").agg(F.max("id").alias("best"), F.count(F.lit(1)).alias("n")).where("n > 1")
     groups = materialize(groups, "payload-groups")
     size = pages.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(payload)), F.lit(0))).first()
-    revisits = (join_counted(slim, groups, ["sha"], "n", size[0]).where(~F.col("id").eqNullSafe(F.col("best")))
-                .select(F.col("id").alias("rid"), F.col("sha").alias("rsha"), "best").distinct())
-    placed = (rows.join(revisits, F.col("id").eqNullSafe(F.col("rid")) & (F.col("sha") == F.col("rsha")), "left")
-              .select("id", "url", "payload", "sha", "best", F.col("rsha").isNotNull().alias("revisit")))
+    revisits = join_counted(slim, groups, ["sha"], "n", size[0]).where(~F.col("id").eqNullSafe(F.col("best")))
+    # One key of 128 bits on both sides: the payloads are shuffled once, for the join and the bundles alike.
+    key = F.struct(F.xxhash64("id", "sha"), F.xxhash64(F.lit("second"), "id", "sha")).alias("k")
     tasks = task_count(spark, size[1], bundle_bytes)
-    placed = placed.repartition(tasks, F.xxhash64("id", "sha")).sortWithinPartitions("id", "sha", "url")
+    placed = (rows.select("*", key).repartition(tasks, "k").join(revisits.select(key, "best").distinct(), "k", "left")
+              .select("id", "url", "payload", "sha", "best", F.col("best").isNotNull().alias("revisit"))
+              .sortWithinPartitions("id", "sha", "url"))
 
     def write(batches):
         part, count, bundle, held = TaskContext.get().partitionId(), 0, None, 0
