@@ -15,6 +15,7 @@ from assay.llm.line_dedup import line_dedup, line_dedup_sql
 from assay.llm.lz_fingerprint import compare_with_edits
 from assay.llm.packing import pack_documents
 from assay.llm.simhash import simhash_groups
+from assay.llm.toxicity import fit, score
 from assay.llm.warc import read_archive, write_archive
 
 
@@ -48,6 +49,12 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = score(docs, fit(docs, _table(spark, sf_dir, "labels")))
+    return scored.select(F.col("id").alias("doc_id"), "severity", "grade", "p_toxic", (F.col("p_toxic") > 0.5).alias("toxic"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = read_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
     return pack_documents(_table(spark, sf_dir, "documents"), tokenizer, length=1024, end_id=0).drop("ids")
@@ -63,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_lz_fingerprint": op4_lz_fingerprint,
     "op7_warc": op7_warc,
+    "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_line_dedup": op10_line_dedup,
 }
