@@ -14,6 +14,7 @@ from assay.llm.kd_topk import scaled_vectors, top_k, top_k_sql
 from assay.llm.line_dedup import line_dedup, line_dedup_sql
 from assay.llm.lz_fingerprint import compare_with_edits
 from assay.llm.packing import pack_documents
+from assay.llm.pii import KINDS, find_spans, train
 from assay.llm.simhash import simhash_groups
 from assay.llm.toxicity import fit, score
 from assay.llm.warc import read_archive, write_archive
@@ -42,6 +43,21 @@ def op4_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_edits(_table(spark, sf_dir, "documents"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = find_spans(docs, train(docs))
+    base = F.filter("spans", lambda s: s["rule"])
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(F.col("id").alias("doc_id"), *map(count, KINDS), F.sha2(listed(base), 256).alias("base_sha256"),
+                        listed(F.col("spans")).alias("spans"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "warc")
     write_archive(_table(spark, sf_dir, "pages"), path)
@@ -69,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_kd_topk": op2_kd_topk,
     "op3_simhash": op3_simhash,
     "op4_lz_fingerprint": op4_lz_fingerprint,
+    "op5_pii": op5_pii,
     "op7_warc": op7_warc,
     "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
