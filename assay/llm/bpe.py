@@ -10,15 +10,22 @@ by position.
 from __future__ import annotations
 
 import functools
+import hashlib
 import json
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from assay.llm.words import BLOCK_SCHEMA, block_key, block_row, by_frequency, runs, sliced, unpack_places, word_table
+from assay.llm.common import task_count
+from assay.llm.words import BLOCK_BYTES, block_rows, packed_numbers, runs, unpacked_numbers, unpacked_words, word_rows
+
+#: Words laid out at a time in a block.
+LAID_WORDS = 1 << 19
 
 
 #: Tokens decoded at a time.
@@ -45,25 +52,9 @@ def loaded(data: bytes):
     return tokenizer
 
 
-def _blocks(docs: DataFrame, as_words: bool) -> DataFrame:
-    def run(batches):
-        for batch in sliced(batches):
-            sizes, places, distinct = word_table(batch.column("text"))
-            places, distinct = by_frequency(places, distinct)
-            key = block_key(batch.column("id"), sizes, places, distinct)
-            if as_words:
-                n = len(distinct)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, key)), pa.array(np.arange(n, dtype=np.int32)), distinct],
-                                                 ["block", "place", "word"])
-            else:
-                yield block_row(batch.column("id"), sizes, places, key)
-
-    return docs.mapInArrow(run, "block long, place int, word string" if as_words else BLOCK_SCHEMA)
-
-
 def bpe_encode(docs: DataFrame, tokenizer: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, ids``: the token ids (array<int>) of every row's whole text, as the tokenizers library
-    encodes it with ``add_special_tokens=False``, truncation and padding unused.
+    """``id, ids, ids_sha256``: the token ids (array<int>) of every row's whole text, and the digest of the
+    ids as little-endian unsigned 32-bit integers, as the tokenizers library encodes it with ``add_special_tokens=False``, truncation and padding unused.
 
     For tokenizers whose splitting ends every piece at an ASCII blank and drops blanks (word-level BPE);
     the strings of special tokens must hold no blank.
@@ -71,52 +62,67 @@ def bpe_encode(docs: DataFrame, tokenizer: bytes, id_col: str = "doc_id", text_c
     Edge cases: a null text counts as empty, an empty or blank text has no ids; null and repeated ids are
     kept, one row per input row; an empty table gives an empty table.  Other columns are not read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(tokenizer)
-    small = np.dtype("<u2" if json.loads(tokenizer)["model"]["vocab"].__len__() < 60_000 else "<u4")
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(tokenizer)
+    small = np.dtype("<u2" if len(json.loads(tokenizer)["model"]["vocab"]) < 60_000 else "<u4")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    parts = task_count(spark, size, BLOCK_BYTES)
 
-    def encode(batches):
-        tok, last, last_ids = loaded(shared.value), None, b""
-        for batch in batches:  # sorted by word: equal words are neighbours, and each is encoded once
-            coded = batch.column("word").dictionary_encode()
-            words = coded.dictionary.to_pylist()
-            fresh = words[1:] if words and words[0] == last else words
-            made = [np.array(e.ids, dtype=small).tobytes() for e in tok.encode_batch(fresh, add_special_tokens=False)]
-            ids = ([last_ids] if len(fresh) < len(words) else []) + made
-            if words:
-                last, last_ids = words[-1], ids[-1]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("block"), batch.column("place"), pa.array(ids, pa.binary()).take(coded.indices)],
-                ["block", "place", "ids"])
+    def encode(batches):  # a task has all rows of its part: each distinct word is encoded once
+        tok, table = loaded(shared.value), {}
+        for batch in batches:
+            ids, sizes = [], []
+            for data in batch.column("words").to_pylist():
+                words = unpacked_words(data)
+                fresh = [w for w in words if w not in table]
+                for w, e in zip(fresh, tok.encode_batch(fresh, add_special_tokens=False)):
+                    table[w] = np.array(e.ids, dtype=small).tobytes()
+                found = [table[w] for w in words]
+                sizes.append(packed_numbers(np.array([len(f) // small.itemsize for f in found])))
+                ids.append(zstandard.ZstdCompressor(level=1).compress(b"".join(found)))
+            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("places"), pa.array(sizes, pa.binary()),
+                                              pa.array(ids, pa.binary())], ["block", "places", "sizes", "ids"])
 
     def lay_out(key, words: pa.Table, blocks: pa.Table):
-        place, first = np.unique(words.column("place").to_numpy(), return_index=True)
-        per_word = words.column("ids").combine_chunks().take(pa.array(first))
-        lengths = pc.binary_length(per_word).to_numpy().astype(np.int64) // small.itemsize
-        flat = np.frombuffer(b"".join(per_word.to_pylist()), dtype=small)
-        starts = np.cumsum(lengths) - lengths
-        out_ids, out_sizes, out_flat = [], [], []
+        flat, places, lengths = [], [], []
+        for row in words.to_pylist():
+            places.append(unpacked_numbers(row["places"]))
+            lengths.append(unpacked_numbers(row["sizes"]))
+            flat.append(np.frombuffer(zstandard.ZstdDecompressor().decompress(row["ids"]), dtype=small))
+        flat, at, sizes = np.concatenate([*flat, np.zeros(0, small)]), np.concatenate([*places, []]).astype(np.int64), \
+            np.concatenate([*lengths, []]).astype(np.int64)
+        distinct = int(at.max()) + 1 if len(at) else 0
+        length, start = np.zeros(distinct, np.int64), np.full(distinct, -1, np.int64)
+        length[at], start[at] = sizes, np.cumsum(sizes) - sizes
+        out = []
         for block in blocks.to_pylist():
-            places, sizes = unpack_places(block["places"]), np.array(block["sizes"], dtype=np.int64)
-            if len(place) != (int(places.max()) + 1 if len(places) else 0):
+            of_word, counts = unpacked_numbers(block["places"]), unpacked_numbers(block["sizes"])
+            if len(of_word) and (of_word.max() >= distinct or start.min() < 0):
                 raise RuntimeError("a block's words did not come back whole: its input changed between two reads")
-            per = lengths[places]
-            ends = np.concatenate([[0], np.cumsum(per)])[np.cumsum(sizes)]
-            out_flat.append(flat[np.repeat(starts[places], per) + runs(per)].astype(np.int32))
-            out_sizes.append(np.diff(ends, prepend=0))
-            out_ids += block["ids"]
-        offsets = np.concatenate([[0], np.cumsum(np.concatenate(out_sizes or [np.zeros(0, np.int64)]))]).astype(np.int32)
-        listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(out_flat or [np.zeros(0, np.int32)])))
-        return pa.Table.from_arrays([pa.array(out_ids, pa.int64()), listed], ["id", "ids"])
-
-    words = _blocks(rows, True).repartition("word").sortWithinPartitions("word").mapInArrow(
-        encode, "block long, place int, ids binary")
-    return (words.groupBy("block").cogroup(_blocks(rows, False).groupBy("block"))
-            .applyInArrow(lay_out, "id long, ids array<int>"))
+            ends, first = np.cumsum(counts), 0
+            while first < len(counts):  # so many words at a time: memory stays bounded
+                a = ends[first - 1] if first else 0
+                last = max(first + 1, int(np.searchsorted(ends, a + LAID_WORDS, side="right")))
+                mine = of_word[a:ends[last - 1]]
+                per = length[mine]
+                ids = flat[np.repeat(start[mine], per) + runs(per)].astype(np.int32)
+                cuts = np.concatenate([[0], np.cumsum(per)])[np.concatenate([[0], ends[first:last] - a])].astype(np.int32)
+                digest = [hashlib.sha256(ids[x:y].astype("<u4").tobytes()).hexdigest() for x, y in zip(cuts, cuts[1:])]
+                out.append(pa.RecordBatch.from_arrays(
+                    [pa.array(block["ids"][first:last], pa.int64()), pa.ListArray.from_arrays(pa.array(cuts), pa.array(ids)),
+                     pa.array(digest, pa.string())], ["id", "ids", "ids_sha256"]))
+                first = last
+        return pa.Table.from_batches(out, pa.schema([("id", pa.int64()), ("ids", pa.list_(pa.int32())), ("ids_sha256", pa.string())]))
+
+    encoded = word_rows(rows, parts).repartitionById(parts, "part").mapInArrow(
+        encode, "block long, places binary, sizes binary, ids binary")
+    return (encoded.groupBy("block").cogroup(block_rows(rows).groupBy("block"))
+            .applyInArrow(lay_out, "id long, ids array<int>, ids_sha256 string"))
 
 
 def bpe_decode(encoded: DataFrame, tokenizer: bytes) -> DataFrame:
-    """``id, ids, text``: the text of ``encoded`` (``id, ids``) as the tokenizers library decodes it with
+    """``id, ids, ids_sha256, text``: adds to ``encoded`` the text as the tokenizers library decodes it with
     ``skip_special_tokens=False`` where the file names no decoder: the pieces joined by blanks.
 
     The id-to-piece table is the vocabulary, whose size the file fixes: it is broadcast, and ids are
@@ -139,11 +145,11 @@ def bpe_decode(encoded: DataFrame, tokenizer: bytes) -> DataFrame:
             while start < batch.num_rows:  # so many tokens at a time: memory stays bounded
                 stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + DECODE_TOKENS, "right")))
                 lists = batch.column("ids").slice(start, stop - start)
-                yield pa.RecordBatch.from_arrays([batch.column("id").slice(start, stop - start), lists,
-                                                  _joined(lists, pieces)], ["id", "ids", "text"])
+                part = batch.slice(start, stop - start)
+                yield pa.RecordBatch.from_arrays([*part.columns, _joined(lists, pieces)], [*part.schema.names, "text"])
                 start = stop
 
-    return encoded.select("id", "ids").mapInArrow(run, "id long, ids array<int>, text string")
+    return encoded.mapInArrow(run, StructType([*encoded.schema.fields, StructField("text", StringType())]))
 
 
 def _joined(lists: pa.Array, pieces: pa.Array) -> pa.Array:
@@ -159,19 +165,3 @@ def _joined(lists: pa.Array, pieces: pa.Array) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
     text = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), found), " ")
     return pc.if_else(lists.is_null(), pa.scalar(None, pa.string()), text)
-
-
-def digests(decoded: DataFrame) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of ``id, ids, text`` rows."""
-    def run(batches):
-        import hashlib
-
-        for batch in batches:
-            lists = batch.column("ids")
-            offsets, flat = lists.offsets.to_numpy(), lists.values.to_numpy().astype("<u4")
-            ids = [hashlib.sha256(flat[a:b].tobytes()).hexdigest() for a, b in zip(offsets, offsets[1:])]
-            texts = [hashlib.sha256(t).hexdigest() for t in batch.column("text").cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(np.diff(offsets).astype(np.int64)), pa.array(ids),
-                                              pa.array(texts)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return decoded.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -17,12 +17,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
+from pyspark.sql import DataFrame
 from xxhash import xxh64_intdigest
 
 #: Bytes of text in a block (a longer document is a block of its own).
 BLOCK_BYTES = 1 << 24
 
-BLOCK_SCHEMA = "block long, ids array<bigint>, sizes array<int>, places binary"
+BLOCK_SCHEMA = "block long, ids array<bigint>, sizes binary, places binary"
+WORD_SCHEMA = "part int, block long, places binary, words binary"
 
 
 def sliced(batches, column: str = "text", limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
@@ -47,39 +49,78 @@ def word_table(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     return np.diff(words.offsets.to_numpy()), coded.indices.to_numpy(), coded.dictionary
 
 
-def block_key(ids: pa.Array, sizes: np.ndarray, places: np.ndarray, distinct: pa.Array) -> int:
-    """A hash of the block's content, as a signed long."""
-    seed = 0
-    for part in (repr(ids.to_pylist()).encode(), sizes.tobytes(), places.tobytes(), "\n".join(distinct.to_pylist()).encode()):
-        seed = xxh64_intdigest(part, seed)
-    return seed - (1 << 64) if seed >> 63 else seed
-
-
-def pack_places(places: np.ndarray) -> bytes:
-    """Places as byte planes, compressed (Zstandard)."""
-    planes = places.astype("<u4").view(np.uint8).reshape(-1, 4).T
+def packed_numbers(values: np.ndarray) -> bytes:
+    """Non-negative integers below 2**32 as byte planes, compressed (Zstandard)."""
+    planes = values.astype("<u4").view(np.uint8).reshape(-1, 4).T
     return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
 
 
-def unpack_places(data: bytes) -> np.ndarray:
+def unpacked_numbers(data: bytes) -> np.ndarray:
     planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+
+
+def packed_words(words: list[str]) -> bytes:
+    """Words, which hold no line end, compressed."""
+    return zstandard.ZstdCompressor(level=1).compress("\n".join(words).encode())
+
 
+def unpacked_words(data: bytes) -> list[str]:
+    return zstandard.ZstdDecompressor().decompress(data).decode().split("\n")
 
-def by_frequency(places: np.ndarray, distinct: pa.Array) -> tuple[np.ndarray, pa.Array]:
-    """The list of distinct words reordered so that frequent words have small places (they pack better)."""
+
+def _signed(value: int) -> int:
+    return value - (1 << 64) if value >> 63 else value
+
+
+def _block(batch: pa.RecordBatch, lower: bool):
+    """A block's key, sizes, places and distinct words, frequent words first (small places pack better)."""
+    text = batch.column("text")
+    sizes, places, distinct = word_table(pc.ascii_lower(text) if lower else text)
     order = np.argsort(-np.bincount(places, minlength=len(distinct)), kind="stable")
     rank = np.empty(len(order), dtype=np.int64)
     rank[order] = np.arange(len(order))
-    return rank[places] if len(places) else places, distinct.take(pa.array(order))
-
-
-def block_row(ids: pa.Array, sizes: np.ndarray, places: np.ndarray, key: int) -> pa.RecordBatch:
-    """One row of ``BLOCK_SCHEMA``."""
-    listed = lambda a, t: pa.array([a], pa.list_(t))
-    return pa.RecordBatch.from_arrays(
-        [pa.array([key]), listed(ids.to_pylist(), pa.int64()), listed(sizes.tolist(), pa.int32()),
-         pa.array([pack_places(places)], pa.binary())], ["block", "ids", "sizes", "places"])
+    places, distinct = rank[places] if len(places) else places, distinct.take(pa.array(order))
+    key = 0
+    for part in (repr(batch.column("id").to_pylist()).encode(), sizes.tobytes(), places.tobytes(),
+                 *[b for b in distinct.buffers() if b is not None]):
+        key = xxh64_intdigest(part, key)
+    return _signed(key), sizes, places, distinct
+
+
+def block_rows(docs: DataFrame, lower: bool = False) -> DataFrame:
+    """One row per block of ``docs`` (``id, text``): its documents' ids, word counts and words' places."""
+    def run(batches):
+        for batch in sliced(batches):
+            key, sizes, places, _ = _block(batch, lower)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([key]), pa.array([batch.column("id").to_pylist()], pa.list_(pa.int64())),
+                 pa.array([packed_numbers(sizes)]), pa.array([packed_numbers(places)])], ["block", "ids", "sizes", "places"])
+
+    return docs.mapInArrow(run, BLOCK_SCHEMA)
+
+
+def word_rows(docs: DataFrame, parts: int, lower: bool = False, weighted: bool = False) -> DataFrame:
+    """The distinct words of each block of ``docs`` (``id, text``), dealt by a hash of the word into
+    ``parts`` parts: one row per block and part, with the words and their places in the block.
+    ``weighted`` adds how often each word stands in the documents whose ``weight`` (0 or 1) is 1."""
+    def run(batches):
+        for batch in sliced(batches):
+            key, sizes, places, distinct = _block(batch, lower)
+            part = np.array([xxh64_intdigest(w) % parts for w in distinct.cast(pa.binary()).to_pylist()], dtype=np.int64)
+            order = np.argsort(part, kind="stable")
+            words, cuts = distinct.take(pa.array(order)).to_pylist(), np.searchsorted(part[order], np.arange(parts + 1))
+            used = [p for p in range(parts) if cuts[p] < cuts[p + 1]]
+            columns = [pa.array(used, pa.int32()), pa.array([key] * len(used), pa.int64()),
+                       pa.array([packed_numbers(order[cuts[p]:cuts[p + 1]]) for p in used], pa.binary()),
+                       pa.array([packed_words(words[cuts[p]:cuts[p + 1]]) for p in used], pa.binary())]
+            if weighted:
+                marks = np.repeat(batch.column("weight").to_numpy(), sizes)
+                counts = np.bincount(places, weights=marks, minlength=len(distinct)).astype(np.int64)[order]
+                columns.append(pa.array([packed_numbers(counts[cuts[p]:cuts[p + 1]]) for p in used], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, ["part", "block", "places", "words", "counts"][:len(columns)])
+
+    return docs.mapInArrow(run, WORD_SCHEMA + ", counts binary" * weighted)
 
 
 def runs(lengths: np.ndarray) -> np.ndarray:

@@ -5,7 +5,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from assay.llm.bpe import bpe_decode, bpe_encode, digests, read_tokenizer
+from assay.llm.bpe import bpe_decode, bpe_encode, read_tokenizer
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -29,7 +29,8 @@ def brute(library, docs):
 
 def ours(df):
     data = read_tokenizer(PATH)
-    return digests(bpe_decode(bpe_encode(df, data), data))
+    decoded = bpe_decode(bpe_encode(df, data), data)
+    return decoded.selectExpr("id AS doc_id", "CAST(size(ids) AS LONG) AS n_tokens", "ids_sha256", "sha2(text, 256) AS decoded_sha256")
 
 
 def test_documents_match_the_library(table, rows, library):
