@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from assay.llm.bpe import bpe_decode, bpe_encode, read_tokenizer
 from assay.llm.common import scratch
+from assay.llm.context_mixing import score_documents
 from assay.llm.kd_topk import scaled_vectors, top_k, top_k_sql
 from assay.llm.line_dedup import line_dedup, line_dedup_sql
 from assay.llm.lz_fingerprint import compare_with_edits
@@ -60,6 +61,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         listed(F.col("spans")).alias("spans"))
 
 
+def op6_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "warc")
     write_archive(_table(spark, sf_dir, "pages"), path)
@@ -88,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_lz_fingerprint": op4_lz_fingerprint,
     "op5_pii": op5_pii,
+    "op6_context_mixing": op6_context_mixing,
     "op7_warc": op7_warc,
     "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
