@@ -3,7 +3,10 @@ folder, connected components, and block-wise word tables."""
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +29,24 @@ def _filesystem(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that its functions run in their
+    Python workers wherever the driver was started from."""
+    context = spark.sparkContext
+    if _SHIPPED.get("application") == context.applicationId:
+        return
+    root = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="assay-ship-")) / "assay.zip"  # on the driver; Spark serves it from there
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, Path(root.name) / f.relative_to(root))
+    context.addPyFile(str(archive))
+    _SHIPPED["application"] = context.applicationId
+
+
+_SHIPPED: dict[str, str] = {}
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder that no later job reads."""
     _filesystem(spark, path).delete(spark._jvm.org.apache.hadoop.fs.Path(path), True)

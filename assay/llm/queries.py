@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assay.llm.bpe import bpe_decode, bpe_encode, read_tokenizer
-from assay.llm.common import scratch
+from assay.llm.common import scratch, ship
 from assay.llm.context_mixing import score_documents
 from assay.llm.kd_topk import scaled_vectors, top_k, top_k_sql
 from assay.llm.line_dedup import line_dedup, line_dedup_sql
@@ -22,6 +22,7 @@ from assay.llm.warc import read_archive, write_archive
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assay.llm.common import connected_components, join_counted, materialize
+from assay.llm.common import connected_components, join_counted, materialize, packed
 
 #: Shards over this many fingerprints are sharded again by the bits on which they do not agree yet.
 SHARD_LIMIT = 4096
@@ -41,16 +41,18 @@ def _words_fingerprint(text: bytes | None, shingle: int, digest) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """``id, fp``: one row per row of ``docs``; ``fp`` is the 64-bit fingerprint as a (signed) long."""
+    """``id, hash, fp``: one row per row of ``docs``; ``fp`` is the 64-bit fingerprint as a (signed) long,
+    ``hash`` a plain hash of the text, which tells rows of one id apart."""
     def run(batches):
         from xxhash import xxh64_intdigest
 
         for batch in batches:
-            fps = np.array([_words_fingerprint(t, shingle, xxh64_intdigest) for t in batch.column(1).to_pylist()], dtype="<u8")
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["id", "fp"])
+            fps = np.array([_words_fingerprint(t, shingle, xxh64_intdigest) for t in batch.column("text").to_pylist()], dtype="<u8")
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("hash"), pa.array(fps.view(np.int64))], ["id", "hash", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(
-        run, "id long, fp long")
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.coalesce(text, F.lit("null"))).alias("hash"),
+                       text.cast("binary").alias("text")).mapInArrow(run, "id long, hash long, fp long")
 
 
 class BKTree:
@@ -175,6 +177,19 @@ def _edges(rows: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
 
+def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2) -> DataFrame:
+    """``id, hash, fp, component, least``: per row its fingerprint, its component (named by a fingerprint)
+    and the component's smallest id."""
+    fps = materialize(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    nodes = materialize(fps.groupBy("fp").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")), "fp-nodes")
+    labels = connected_components(links(nodes, max_bits))
+    linked = nodes.join(labels, F.col("fp") == F.col("node"))
+    ids = linked.groupBy("component").agg(F.min("least").alias("least"))
+    linked = linked.select("fp", "n", "component").join(ids, "component").select("fp", "n", "component", "least")
+    alone = nodes.join(labels, F.col("fp") == F.col("node"), "left_anti").select("fp", "n", F.col("fp").alias("component"), "least")
+    return join_counted(fps, materialize(linked.unionByName(alone), "fp-components"), ["fp"], "n", fps.count()).drop("n")
+
+
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                    max_bits: int = 2) -> DataFrame:
     """``doc_id, fingerprint, component_id``: one row per row of ``docs``.
@@ -188,15 +203,19 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     any other; null ids are ignored for the smallest id (a component of null ids alone has a null id); an
     empty table gives an empty table.  Other columns are not read.
     """
-    fps = materialize(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    nodes = materialize(fps.groupBy("fp").agg(F.min("id").alias("least")), "fp-nodes")
-    labels = connected_components(links(nodes, max_bits))
-    linked = nodes.join(labels, F.col("fp") == F.col("node"))
-    ids = linked.groupBy("component").agg(F.min("least").alias("least"))
-    linked = linked.select("fp", "component").join(ids, "component").select("fp", "least")
-    alone = nodes.join(labels, F.col("fp") == F.col("node"), "left_anti").select("fp", "least")
-    of = materialize(linked.unionByName(alone), "fp-components")
-    hot = fps.groupBy("fp").agg(F.count(F.lit(1)).alias("n"))
-    out = join_counted(fps, of.join(hot, "fp"), ["fp"], "n", fps.count())
-    return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-                      F.col("least").alias("component_id"))
+    return components(docs, id_col, text_col, shingle, max_bits).select(
+        F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("least").alias("component_id"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2) -> DataFrame:
+    """Of each component of :func:`simhash_groups` one row of ``docs``, with all its columns: a row with
+    the component's smallest id (of several texts with that id, the one with the smallest hash)."""
+    found = components(docs, id_col, text_col, shingle, max_bits)
+    keepers = (found.where(F.col("id").eqNullSafe(F.col("least"))).groupBy("component")
+               .agg(F.min("hash").alias("hash"), F.first("least").alias("id"))
+               .select(F.struct(F.col("id"), F.col("hash")).alias("_key")).distinct())
+    rows = packed(docs)
+    ident, text = (F.col("_row").getField(c) for c in (id_col, text_col))
+    key = F.struct(ident.cast("long").alias("id"), F.xxhash64(F.coalesce(text.cast("string"), F.lit("null"))).alias("hash"))
+    kept = rows.withColumn("_key", key).join(keepers, "_key", "left_semi").dropDuplicates(["_key"])
+    return kept.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])

@@ -207,3 +207,17 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, SCORE_SCHEMA)
+
+
+def reject(docs: DataFrame, model: Model, text_col: str = "text", limit: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose P(grade >= 1) is at most ``limit``; all columns, nulls included."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        m = shared.value
+        for batch in batches:
+            doc, feature, _ = _document_features(pc.fill_null(batch.column(batch.schema.get_field_index(text_col)), ""), m.features)
+            above = m.probabilities(np.bincount(doc, weights=m.weights[feature], minlength=batch.num_rows))
+            yield batch.filter(pa.array(above[:, 0] <= limit))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -1,34 +1,74 @@
-"""A training-data pipeline over ``documents``: the stages, in order, each on what its predecessor kept."""
+"""A training-data pipeline over ``documents``: the stages, in order, each on all that its predecessor kept.
+
+Every stage but the last returns the columns of ``documents``; texts that a stage changes get a new
+``n_chars``.  Each stage's rows are written to the shared folder and read again by the next.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm.common import materialize
-from assay.llm.line_dedup import line_dedup as remove_boilerplate
+from assay.llm import line_dedup as lines
+from assay.llm import packing, pii, simhash
+from assay.llm import toxicity as toxic
+from assay.llm.bpe import read_tokenizer
+from assay.llm.common import materialize, ship
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def _columns(docs: DataFrame) -> DataFrame:
+    return docs.select(*COLUMNS)
+
+
 def _sized(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
+    return _columns(docs.withColumn("n_chars", F.char_length("text").cast("long")))
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are likelier toxic than not go (null ids: decided like any other)."""
+    ship(spark)
+    model = toxic.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxic.reject(_columns(docs), model)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cross-site boilerplate lines go; every document stays."""
-    return _sized(remove_boilerplate(docs))
+    """Cross-site boilerplate lines go, but for one copy; every document stays."""
+    return _sized(lines.line_dedup(_columns(docs)))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of documents with linked SimHash fingerprints, the row with the smallest id stays."""
+    ship(spark)
+    return _columns(simhash.keep_one(_columns(docs), shingle=3, max_bits=2))
+
+
+def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by its kind; every document stays."""
+    ship(spark)
+    docs = _columns(docs)
+    return _sized(pii.redact(docs, pii.train(docs)))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The kept texts as token sequences of 1024, in pieces."""
+    ship(spark)
+    tokenizer = read_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack_documents(docs, tokenizer, length=1024, end_id=0)
 
 
-STAGES = [("line_dedup", line_dedup)]
+STAGES = [("toxicity", toxicity), ("line_dedup", line_dedup), ("near_duplicates", near_duplicates),
+          ("private_data", private_data), ("packing", pack)]
 
-#: SQL cannot express the stages (classifier, hashes, tokenizer); they are tested against brute force.
+#: SQL cannot express the stages (a classifier, 64-bit hashes, a tokenizer): they are tested against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over ``documents``; each stage's rows are written to the shared folder and read again."""
+    """The stages over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -3,7 +3,7 @@ from collections import defaultdict
 import xxhash
 
 from assay.llm.common import connected_components
-from assay.llm.simhash import BKTree, links, shard_forest, simhash_groups
+from assay.llm.simhash import BKTree, keep_one, links, shard_forest, simhash_groups
 
 
 def brute_fingerprint(text, shingle=3):
@@ -53,6 +53,15 @@ def test_edge_cases(spark, rows):
     assert simhash_groups(df.limit(0)).count() == 0
 
 
+def test_keep_one_row_of_each_component(spark, rows):
+    docs = [(5, "a b c d", "x"), (3, "A b c d", "y"), (3, "A b c d", "y"), (9, None, "z"), (8, "", "z"), (None, "quite another text", "n"),
+            (None, "quite another text", "n"), (3, "some other words here now", "w"), (4, "some other words here now", "w")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, fp string")
+    assert rows(keep_one(df)) == sorted([(3, "A b c d", "y"), (8, "", "z"), (None, "quite another text", "n"),
+                                         (3, "some other words here now", "w")], key=repr)
+    assert keep_one(df.limit(0)).count() == 0
+
+
 def test_links_find_every_component_of_dense_and_chained_groups(spark, monkeypatch):
     import random
 
