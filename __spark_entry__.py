@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.functions.predicates import INTEGRAL_TEXT_PATTERN, LEADING_INTEGER_PATTERN, quote
+from assay.functions.predicates import quote
 from assay.operators.metrics import Metric, NamedMetric, compute_metrics
 from assay.operators.schema import declared_columns
 from assay.plans.catalogue import (
@@ -47,7 +47,7 @@ from assay.plans.report import check_report
 from assay.plans.sql_checks import run_sql_checks
 from assay.plans.validator_checks import run_validator_checks
 from assay.sources.derived import load, oracle_sql as derived_sql
-from assay.sources.io import amplify, read_table, read_verdicts, write_metrics, write_verdicts
+from assay.sources.io import amplify, read_table, read_verdicts, write_comparison, write_metrics, write_verdicts
 
 SF_SMOKE = "/root/testdata/sf0.001"
 AS_OF = "2024-02-01"
@@ -90,8 +90,10 @@ def _metric_row(metric: str, column: str, value_sql: str, table: str, digits: in
 
 def _integral_sql(col: str) -> str:
     text = f"CAST({col} AS VARCHAR)"
-    return (f"(regexp_matches({text}, {_s(INTEGRAL_TEXT_PATTERN)}) AND "
-            f"TRY_CAST(regexp_extract({text}, {_s(LEADING_INTEGER_PATTERN)}, 1) AS BIGINT) IS NOT NULL)")
+    bare = f"trim({text}, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+    digits = f"ltrim(split_part({bare}, '.', 1), '+')"
+    return (f"(regexp_full_match({bare}, '[-+]?[0-9]+([.]0*)?') AND "
+            f"TRY_CAST({digits} AS BIGINT) IS NOT NULL)")
 
 
 def _ndv_keep(table: str, cols: list[str], where: str = "TRUE") -> str:
@@ -615,7 +617,12 @@ def o_duplicate_column_names():
 def q_expanded_checks(spark, sf):
     li = load(spark, sf, "lineitem")
     r = check_report(li, as_of=AS_OF)
-    return r.verdicts.select("strategy", "checkName")
+    return r.verdicts.select("strategy", "checkName", F.round("value", 6).alias("value"), "status")
+
+
+def o_expanded_checks():
+    return (f"SELECT v.* FROM ({_union([_verdict_sql('lineitem', s) for s in ('sql', 'expression', 'validator')])}) v "
+            f"JOIN ({_expanded_names()}) n ON v.strategy = n.strategy AND v.checkName = n.checkName")
 
 
 # Fixed values: (strategy, check name template, declared types; empty = table-level).
@@ -626,7 +633,7 @@ _EXPANSION = [
 ]
 
 
-def o_expanded_checks():
+def _expanded_names():
     decl = ("CASE WHEN data_type IN ('BIGINT','INTEGER','SMALLINT','TINYINT') THEN 'Int' "
             "WHEN data_type IN ('DOUBLE','FLOAT','REAL') OR data_type LIKE 'DECIMAL%' THEN 'Double' "
             "WHEN data_type = 'VARCHAR' THEN 'String' "
@@ -1078,22 +1085,12 @@ ROW_AGGS = ("distinct", "distinctness", "distinct_keep_nulls", "duplicate_groups
 
 
 def q_hashed_duplicate_rows(spark, sf):
-    """Row-level distinct/duplicate counters through the two-phase hashed plan (exact)."""
-    from assay.operators.metrics import ROW_HASH_CONF
-
-    previous = spark.conf.get(ROW_HASH_CONF, None)
-    spark.conf.set(ROW_HASH_CONF, "2")
-    try:
-        parts = []
-        for t in HASHED_TABLES:
-            df = load(spark, sf, t)
-            keys = tuple(quote(c) for c in df.columns)
-            parts.append(_long(df, [NamedMetric(a, t, f"{a}_{t}", Metric(a, keys)) for a in ROW_AGGS]))
-    finally:
-        if previous is None:
-            spark.conf.unset(ROW_HASH_CONF)
-        else:
-            spark.conf.set(ROW_HASH_CONF, previous)
+    """Row-level distinct/duplicate counters through the two hash phases (exact)."""
+    parts = []
+    for t in HASHED_TABLES:
+        df = load(spark, sf, t)
+        keys = tuple(quote(c) for c in df.columns)
+        parts.append(_long(df, [NamedMetric(a, t, f"{a}_{t}", Metric(a, keys)) for a in ROW_AGGS]))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
@@ -1109,6 +1106,202 @@ def o_hashed_duplicate_rows():
     return _union(parts)
 
 
+# ---- cases of the configuration surface
+WIDE_COPIES = 16
+
+
+def q_wide_table_report(spark, sf):
+    """96 columns, two more of one name, and one bad definition: everything else is as on a narrow table."""
+    o = load(spark, sf, "orders")
+    wide = o.select(*[F.col(c).alias(f"{c}_{i}") for i in range(WIDE_COPIES) for c in o.columns],
+                    F.col("o_custkey").alias("again"), F.col("o_orderkey").alias("again"))
+    config = {"metrics": EXPRESSION_CONFIG["metrics"] + [
+                  {"metricName": "odd", "definitionName": "no such definition", "metricType": "Dataset", "types": ["any"]}],
+              "checks": EXPRESSION_CONFIG["checks"] + [
+                  {"checkName": "odd", "expression": "odd", "operator": "=", "threshold": 0, "types": []}]}
+    r = check_report(wide, as_of=AS_OF, expression_config=config)
+    return r.verdicts.select("strategy", "checkName", F.round("value", 6).alias("value"), "status",
+                             F.col("error").isNotNull().alias("failed"))
+
+
+def o_wide_table_report():
+    parts, table_level = [], (NAME_ROWS, NAME_DUPLICATE_ROWS, NAME_DUPLICATE_COLUMNS)
+    for s in ("sql", "expression", "validator"):
+        v = f"({_verdict_sql('orders', s)}) v"
+        names = ", ".join(_s(n) for n in table_level)
+        parts.append(f"SELECT strategy, checkName || '_' || i AS checkName, value, status, false AS failed FROM {v}, "
+                     f"range({WIDE_COPIES}) r(i) WHERE checkName NOT IN ({names})")
+        parts.append(f"SELECT strategy, checkName, value, status, false FROM {v} WHERE checkName = {_s(NAME_ROWS)}")
+        parts.append(f"SELECT {_s(s)}, {_s(NAME_DUPLICATE_ROWS)}, CAST(NULL AS DOUBLE), false, true")
+        if s != "sql":
+            parts.append(f"SELECT {_s(s)}, {_s(NAME_DUPLICATE_COLUMNS)}, 1.0, false, false")
+        for n in (NAME_NULLS, NAME_ZEROS, NAME_NON_POSITIVE, NAME_CONSTANT, NAME_DUPLICATE_VALUES):
+            parts.append(f"SELECT {_s(s)}, {_s(n.replace('${column}', 'again'))}, CAST(NULL AS DOUBLE), false, true")
+    parts.append("SELECT 'expression', 'odd', CAST(NULL AS DOUBLE), false, true")
+    return _union(parts)
+
+
+def q_sql_runtime_failure_isolated(spark, sf):
+    """A template that fails on the data fails alone; another reads the same text without ANSI rules."""
+    d = load(spark, sf, "dirty_customer")
+    config = {"checks": [
+        {"checkName": "rows", "query": "SELECT count(*) AS metricName FROM {table}", "metricType": "Dataset",
+         "types": ["any"], "operator": ">", "threshold": 0},
+        {"checkName": "number in ${column}", "query": "SELECT max(CAST({column} AS BIGINT)) AS metricName FROM {table}",
+         "metricType": "Column", "types": ["String"], "operator": ">", "threshold": 0}]}
+    strict = run_sql_checks(d, config, isolate_runtime_errors=True)
+    legacy = run_sql_checks(d, config, ansi=False)
+    return (strict.select(F.lit("ansi").alias("rules"), "checkName", "value", "status", F.col("error").isNotNull().alias("failed"))
+            .unionByName(legacy.select(F.lit("legacy").alias("rules"), "checkName", "value", "status",
+                                       F.col("error").isNotNull().alias("failed"))))
+
+
+def o_sql_runtime_failure_isolated():
+    src = _src("dirty_customer")
+    rows = f"CAST((SELECT count(*) FROM {src} s) AS DOUBLE)"
+    number = f"CAST((SELECT max(TRY_CAST(seg AS BIGINT)) FROM {src} s) AS DOUBLE)"
+    return _union([f"SELECT 'ansi' AS rules, 'rows' AS checkName, {rows} AS value, true AS status, false AS failed",
+                   "SELECT 'ansi', 'number in seg', CAST(NULL AS DOUBLE), false, true",
+                   f"SELECT 'legacy', 'rows', {rows}, true, false",
+                   f"SELECT 'legacy', 'number in seg', {number}, true, false"])
+
+
+def q_bad_config_isolated(spark, sf):
+    """Unknown definitions and aggregates, and validators that raise, fail their own checks."""
+    from assay.plans.validator_checks import validator
+
+    @validator("FailingValidator")
+    def _failing(column, ctx):
+        raise LookupError("this validator cannot be planned")
+
+    d = load(spark, sf, "dirty_customer")
+    config = {"metrics": [{"metricName": "n", "definitionName": "count rows", "metricType": "Dataset", "types": ["any"]},
+                          {"metricName": "unknown", "definitionName": "count of nothing", "metricType": "Dataset", "types": ["any"]},
+                          {"metricName": "odd", "aggFunction": "median of", "columnExpr": "bal", "metricType": "Dataset", "types": ["any"]},
+                          {"metricName": "column_only", "definitionName": "count nulls", "metricType": "Dataset", "types": ["any"]}],
+              "checks": [{"checkName": c, "expression": c, "operator": ">", "threshold": 0, "types": []}
+                         for c in ("n", "unknown", "odd", "column_only")]}
+    validators = {"validators": [
+        {"name": "FailingValidator", "description": "raises", "operator": "=", "threshold": 0, "types": []},
+        {"name": "NoNullsValidator", "description": "no column given", "operator": "=", "threshold": 0, "types": []},
+        {"name": "CountRowsValidator", "description": "rows", "operator": ">", "threshold": 0, "types": []}]}
+    v = run_expression_checks(d, config).unionByName(run_validator_checks(d, validators))
+    return v.select("checkName", "value", "status", F.col("error").isNotNull().alias("failed"))
+
+
+def o_bad_config_isolated():
+    rows = f"CAST((SELECT count(*) FROM {_src('dirty_customer')} s) AS DOUBLE)"
+    return _union([f"SELECT 'n' AS checkName, {rows} AS value, true AS status, false AS failed",
+                   f"SELECT 'rows', {rows}, true, false"]
+                  + [f"SELECT {_s(c)}, CAST(NULL AS DOUBLE), false, true"
+                     for c in ("unknown", "odd", "column_only", "raises", "no column given")])
+
+
+DATASET_TABLES = ["all_null_rows", "labelled_documents"]
+
+
+def q_dataset_distinct(spark, sf):
+    """"count uniques" over all columns of a table: distinct rows, those of nulls only dropped."""
+    parts = []
+    for t in DATASET_TABLES:
+        df = load(spark, sf, t)
+        config = {"metrics": [{"metricName": "d", "definitionName": COUNT_UNIQUES, "metricType": "Dataset", "types": ["any"]}],
+                  "checks": [{"checkName": t, "expression": "d", "operator": ">", "threshold": 0, "types": []}]}
+        parts.append(run_expression_checks(df, config).select("checkName", "value", "status"))
+    return parts[0].unionByName(parts[1])
+
+
+def o_dataset_distinct():
+    cols = {"all_null_rows": ["ok", "ck"], "labelled_documents": LABELLED_COLS}
+    return _union([f"SELECT {_s(t)} AS checkName, CAST({_ndv_drop(t, cols[t])} AS DOUBLE) AS value, "
+                   f"{_ndv_drop(t, cols[t])} > 0 AS status" for t in DATASET_TABLES])
+
+
+def q_declared_schema_file(spark, sf):
+    """Declared types from a sidecar file: text columns of numbers are checked as numbers."""
+    import json
+    import tempfile
+
+    from assay.operators.schema import load_declared_schema
+
+    with tempfile.NamedTemporaryFile("w", suffix=".json") as f:  # read on the driver only
+        json.dump({"schema": [{"columnName": "ck", "columnType": "Int"}, {"columnName": "price", "columnType": "Double"}]}, f)
+        f.flush()
+        types = load_declared_schema(f.name)
+    v = run_expression_checks(load(spark, sf, "stringly_orders"), types=types, as_of=AS_OF)
+    return v.select("checkName", F.round("value", 6).alias("value"), "status")
+
+
+def o_declared_schema_file():
+    src, rows = _src("stringly_orders"), f"(SELECT count(*) FROM {_src('stringly_orders')} s)"
+    values = [(NAME_ROWS, rows, ">", 0), (NAME_DUPLICATE_ROWS, f"{rows} - {_distinctness('stringly_orders', ['ck', 'price'])}", "=", 0),
+              (NAME_DUPLICATE_COLUMNS, "0", "=", 0)]
+    for c in ("ck", "price"):
+        ndv = _ndv_drop("stringly_orders", [c])
+        for n, v, op, t in ((NAME_NULLS, f"(SELECT count(*) FROM {src} s WHERE {c} IS NULL)", "=", 0),
+                            (NAME_ZEROS, f"(SELECT count(*) FROM {src} s WHERE TRY_CAST({c} AS DOUBLE) = 0)", "=", 0),
+                            (NAME_NON_POSITIVE, f"(SELECT count(*) FROM {src} s WHERE TRY_CAST({c} AS DOUBLE) <= 0)", "=", 0),
+                            (NAME_CONSTANT, ndv, ">", 1), (NAME_DUPLICATE_VALUES, f"{rows} - {ndv}", "=", 0)):
+            values.append((n.replace("${column}", c), v, op, t))
+    return _union([f"SELECT {_s(n)} AS checkName, ROUND(CAST({v} AS DOUBLE), 6) AS value, {_status_sql(v, op, t)} AS status"
+                   for n, v, op, t in values])
+
+
+def q_comparison_sink_roundtrip(spark, sf):
+    path = _scratch(spark, "comparison")
+    write_comparison(check_report(load(spark, sf, ALIGN_TABLE), as_of=AS_OF).aligned, path)
+    back = read_table(spark, path, "csv")
+    return back.select("checkName", *[F.col(f"{s}Status").cast("boolean").alias(f"{s}Status")
+                                      for s in ("sql", "expression", "validator")])
+
+
+def q_custom_validator(spark, sf):
+    """A validator of the user: the longest text of each text column."""
+    from assay.plans.validator_checks import Uses, validator
+
+    @validator("LongestTextValidator")
+    def _longest(column, ctx):
+        return Uses({"longest": Metric("aggregate", (f"max(length({quote(column.name)}))",))})
+
+    config = {"validators": [{"name": "LongestTextValidator", "description": "longest ${column}", "operator": "<=",
+                              "threshold": 20_000, "types": ["String"]}]}
+    return run_validator_checks(load(spark, sf, "documents"), config).select("checkName", "value", "status")
+
+
+def o_custom_validator():
+    return _union([f"SELECT {_s('longest ' + c)} AS checkName, CAST(max(length({c})) AS DOUBLE) AS value, "
+                   f"max(length({c})) <= 20000 AS status FROM documents" for c in ("text", "lang", "source")])
+
+
+def q_custom_sql_check(spark, sf):
+    """SQL of the user, run as written: per text column the rows that are longer than the mean."""
+    config = {"checks": [
+        {"checkName": "long ${column}", "metricType": "Column", "types": ["String"], "operator": "<", "threshold": 500,
+         "query": "SELECT count(*) AS metricName FROM {table} WHERE length({column}) > "
+                  "(SELECT avg(length({column})) FROM {table})"},
+        {"checkName": "roles", "metricType": "Dataset", "types": ["any"], "operator": "=", "threshold": 2,
+         "query": "SELECT count(DISTINCT role) AS metricName FROM {table}"}]}
+    return run_sql_checks(load(spark, sf, "conversations"), config).select("checkName", "value", "status")
+
+
+def o_custom_sql_check():
+    def longer(c):
+        return f"(SELECT count(*) FROM conversations WHERE length({c}) > (SELECT avg(length({c})) FROM conversations))"
+    return _union([f"SELECT {_s('long ' + c)} AS checkName, CAST({longer(c)} AS DOUBLE) AS value, {longer(c)} < 500 AS status"
+                   for c in ("role", "text")]
+                  + ["SELECT 'roles', CAST(count(DISTINCT role) AS DOUBLE), count(DISTINCT role) = 2 FROM conversations"])
+
+
+def q_integral_text_forms(spark, sf):
+    df = load(spark, sf, "number_texts")
+    return _long(df, _per_column(df, "integralText", COUNT_INTEGERS))
+
+
+def o_integral_text_forms():
+    return _union([_metric_row("integralText", c, f"count(*) FILTER (WHERE {_integral_sql(c)})", "number_texts")
+                   for c in ("form", "signed")])
+
+
 # --------------------------------------------------------------------------- contract
 _QUERIES: dict[str, tuple[Callable, Callable | None]] = {
     "row_counts": (q_row_counts, o_row_counts),
@@ -1153,6 +1346,15 @@ _QUERIES: dict[str, tuple[Callable, Callable | None]] = {
     "hot_key_metrics": (q_hot_key_metrics, o_hot_key_metrics),
     "text_table_checks": (q_text_table_checks, o_text_table_checks),
     "hashed_duplicate_rows": (q_hashed_duplicate_rows, o_hashed_duplicate_rows),
+    "wide_table_report": (q_wide_table_report, o_wide_table_report),
+    "sql_runtime_failure_isolated": (q_sql_runtime_failure_isolated, o_sql_runtime_failure_isolated),
+    "bad_config_isolated": (q_bad_config_isolated, o_bad_config_isolated),
+    "dataset_distinct": (q_dataset_distinct, o_dataset_distinct),
+    "declared_schema_file": (q_declared_schema_file, o_declared_schema_file),
+    "comparison_sink_roundtrip": (q_comparison_sink_roundtrip, o_aligned_verdicts),
+    "custom_validator": (q_custom_validator, o_custom_validator),
+    "custom_sql_check": (q_custom_sql_check, o_custom_sql_check),
+    "integral_text_forms": (q_integral_text_forms, o_integral_text_forms),
 }
 
 

@@ -3,8 +3,8 @@
     python -m assay run --input data.csv --format csv --schema schema.json --output out/
     python -m assay compare --sql out/sql --expression out/expression --validator out/validator --output cmp/
 
-Uses the active cluster session when submitted with spark-submit; a local
-session otherwise.
+Runs in the session that spark-submit (or the Spark configuration) sets up; ``--local`` starts a
+local one instead.
 """
 
 from __future__ import annotations
@@ -13,14 +13,11 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from assay.session import cluster_session, local_session
 
-def _session() -> SparkSession:
-    active = SparkSession.getActiveSession()
-    if active is not None:
-        return active
-    from assay.session import local_session
 
-    return local_session()
+def _session(args) -> SparkSession:
+    return local_session() if args.local else cluster_session()
 
 
 def _cmd_run(args) -> None:
@@ -30,11 +27,7 @@ def _cmd_run(args) -> None:
     from assay.session import job_label
     from assay.sources.io import read_table, write_comparison, write_metrics, write_verdicts
 
-    spark = _session()
-    if args.row_hash_min_keys:
-        from assay.operators.metrics import ROW_HASH_CONF
-
-        spark.conf.set(ROW_HASH_CONF, str(args.row_hash_min_keys))
+    spark = _session(args)
     df = read_table(spark, args.input, args.format)
     types = load_declared_schema(args.schema) if args.schema else None
     strategies = STRATEGIES if args.strategy == "all" else (args.strategy,)
@@ -43,7 +36,7 @@ def _cmd_run(args) -> None:
         expression_config=load_config(args.expression_config) if args.expression_config else None,
         validator_config=load_config(args.validator_config) if args.validator_config else None,
         sql_config=load_config(args.sql_config) if args.sql_config else None,
-        stage_input=args.stage,
+        stage_input=args.stage, isolate_runtime_errors=True, ansi_sql=not args.legacy_sql,
     )
     out = args.output.rstrip("/")
     with job_label(spark, f"assay checks on {args.input}"):
@@ -59,7 +52,7 @@ def _cmd_compare(args) -> None:
     from assay.operators.compare import align_verdicts, verdict_disagreements
     from assay.sources.io import read_verdicts, write_comparison
 
-    spark = _session()
+    spark = _session(args)
     inputs = {label: read_verdicts(spark, path) for label, path in
               (("sql", args.sql), ("expression", args.expression), ("validator", args.validator)) if path}
     aligned = align_verdicts(inputs)
@@ -80,8 +73,7 @@ def main(argv=None) -> None:
     r.add_argument("--sql-config")
     r.add_argument("--as-of", help="reference date for freshness (default: today)")
     r.add_argument("--stage", action="store_true", help="stage the input as parquet under spark.checkpoint.dir")
-    r.add_argument("--row-hash-min-keys", type=int,
-                   help="exact two-phase hashed plan for duplicate counts over at least this many columns")
+    r.add_argument("--legacy-sql", action="store_true", help="analyse the SQL templates without ANSI rules")
     r.add_argument("--output", required=True)
     r.set_defaults(fn=_cmd_run)
     c = sub.add_parser("compare", help="align stored verdict tables")
@@ -90,6 +82,8 @@ def main(argv=None) -> None:
     c.add_argument("--validator")
     c.add_argument("--output", required=True)
     c.set_defaults(fn=_cmd_compare)
+    for command in (r, c):
+        command.add_argument("--local", action="store_true", help="start a local session")
     args = p.parse_args(argv)
     args.fn(args)
 

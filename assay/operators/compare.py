@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -32,9 +32,12 @@ def align_verdicts(verdicts: dict[str, DataFrame], value: str = "status") -> Dat
 def pivot_verdicts(stacked: DataFrame, labels: list[str]) -> DataFrame:
     """``(strategy, checkName, status)`` rows -> one row per check, a status column per strategy.
 
-    Same result as chained full outer joins on the name, with one shuffle and no join.
+    Same result as chained full outer joins on the name, with one shuffle and no join.  A name that one
+    strategy holds several times gives as many rows: no verdict is dropped.
     """
-    aligned = stacked.groupBy("checkName").pivot("strategy", labels).agg(F.first("status"))
+    nth = F.row_number().over(Window.partitionBy("checkName", "strategy").orderBy("status"))
+    aligned = (stacked.withColumn("_nth", nth).groupBy("checkName", "_nth").pivot("strategy", labels)
+               .agg(F.first("status")))
     return aligned.select("checkName", *[F.col(label).alias(f"{label}Status") for label in labels])
 
 

@@ -25,6 +25,15 @@ import logging
 from contextlib import contextmanager
 from dataclasses import dataclass
 
+from pyspark.errors import (
+    ArithmeticException,
+    ArrayIndexOutOfBoundsException,
+    DateTimeException,
+    IllegalArgumentException,
+    NumberFormatException,
+    PythonException,
+    SparkRuntimeException,
+)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,12 +50,18 @@ FREQUENCY_AGGS = (
     "duplicate_groups_keep_nulls",   # groups with more than one row, all-null group included
 )
 SCHEMA_AGGS = ("duplicate_columns",)
+# A definition that could not be built: ``target`` holds the reason, which becomes its ``error``.
+FAILED_AGG = "failed"
 
 # Spark compiles a whole stage only while its rows stay under
 # ``spark.sql.codegen.maxFields`` (100) fields; a pass keeps its aggregate
 # buffers below that so every pass runs compiled code.
 DEFAULT_MAX_METRICS_PER_PASS = 64
 
+# Run-time errors that a definition's own expression raises on the data.
+DATA_ERRORS = (ArithmeticException, ArrayIndexOutOfBoundsException, DateTimeException, IllegalArgumentException,
+               NumberFormatException, PythonException, SparkRuntimeException)
+
 METRICS_SCHEMA = "metric string, column string, key string, value double, error string"
 
 
@@ -65,7 +80,7 @@ class Metric:
     where: str | None = None
 
     def __post_init__(self):
-        if self.agg not in SCAN_AGGS + FREQUENCY_AGGS + SCHEMA_AGGS:
+        if self.agg not in (*SCAN_AGGS, *FREQUENCY_AGGS, *SCHEMA_AGGS, FAILED_AGG):
             raise ValueError(f"unknown aggregate {self.agg!r}")
         if isinstance(self.target, str):
             object.__setattr__(self, "target", (self.target,))
@@ -76,7 +91,7 @@ class Metric:
             return "scan"
         if self.agg in FREQUENCY_AGGS:
             return "frequency"
-        return "schema"
+        return "failed" if self.agg == FAILED_AGG else "schema"
 
 
 @dataclass(frozen=True)
@@ -121,7 +136,7 @@ def sql_literal(value: str | None) -> str:
 
 def _error_text(exc: Exception) -> str:
     text = getattr(exc, "getMessage", lambda: str(exc))()
-    return str(text).strip().splitlines()[0][:500]
+    return str(text).strip() or type(exc).__name__
 
 
 # PySpark logs every analysis error it raises; probing for them is expected here.
@@ -188,7 +203,7 @@ def _frequency_counters(df: DataFrame, keys: tuple[str, ...], where: str | None)
 
     The group-by is written exactly as ``SELECT keys, count(*) FROM t GROUP BY
     keys``: Spark then reuses its shuffle for any other part of the same plan
-    that groups the same table by the same keys (e.g. SQL templates).
+    that groups the same table by the same keys.
     """
     src = df.where(where) if where else df
     aliases = [f"_k{i}" for i in range(len(keys))]
@@ -206,110 +221,59 @@ def _frequency_counters(df: DataFrame, keys: tuple[str, ...], where: str | None)
     )
 
 
-# Opt-in: key sets with at least this many keys (e.g. whole rows) use the
-# two-phase hashed plan below instead of grouping by the full values.
-ROW_HASH_CONF = "spark.assay.rowHash.minKeys"
+def _hashable(dtype: T.DataType) -> bool:
+    """Whether equal values of the type hash equally (collated text and maps may not)."""
+    if isinstance(dtype, T.StringType):
+        return dtype.simpleString() == "string"
+    if isinstance(dtype, T.ArrayType):
+        return _hashable(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return all(_hashable(f.dataType) for f in dtype.fields)
+    return isinstance(dtype, T.AtomicType) and not isinstance(dtype, getattr(T, "VariantType", ()))
 
 
-def _row_hashes(keys: tuple[str, ...]) -> tuple[str, str]:
-    """Two independent hashes (64 + 32 bits) of the key values."""
-    args = ", ".join(keys)
-    return f"xxhash64({args})", f"hash({args})"
+def _row_hashes(parts: str) -> tuple[str, str]:
+    """Two hashes of the key values."""
+    return f"xxhash64({parts})", f"xxhash64('second', {parts})"
 
 
-def _hashed_frequency_counters(df: DataFrame, keys: tuple[str, ...], where: str | None) -> DataFrame:
-    """The five counters of :func:`_frequency_counters`, exactly, without shuffling whole rows.
+#: Groups joined by broadcast in the second phase of :func:`_row_counters`: the largest so many.
+HOT_GROUPS = 10_000
 
-    Phase 1 shuffles only two row hashes: ``groupBy(h1, h2).count()``.  A hash
-    group of one row is one distinct value of the keys (equal keys hash
-    equally).  Phase 2 takes the rows of the hash groups with more than one
-    row (true duplicates or, rarely, hash collisions) with a semi-join and
-    groups only those by their full values, so the result stays exact.  When
-    duplicates are rare the candidate set is small; AQE then sees its real
-    size and broadcasts it, and full rows never cross the network.
-    """
-    src = df.where(where) if where else df
-    h1, h2 = _row_hashes(keys)
-    all_null = " AND ".join(f"(({k}) IS NULL)" for k in keys)
-    census = (src.selectExpr(f"{h1} AS _h1", f"{h2} AS _h2", f"{all_null} AS _null")
-                 .groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"), F.max("_null").alias("_null")))
-    singles = census.where("_n = 1").selectExpr(
-        "count_if(NOT _null) AS distinct", "count(1) AS distinct_keep_nulls",
-        "0L AS duplicate_groups", "0L AS duplicate_groups_keep_nulls")
-    candidates = census.where("_n > 1").selectExpr("_h1 AS _c1", "_h2 AS _c2")
-    hashed = src.selectExpr(*[f"{k} AS _k{i}" for i, k in enumerate(keys)], f"{h1} AS _h1", f"{h2} AS _h2")
-    on = F.col("_h1").eqNullSafe(F.col("_c1")) & F.col("_h2").eqNullSafe(F.col("_c2"))
-    shared = hashed.join(candidates, on, "left_semi")
-    exact = _frequency_counters(shared, tuple(f"_k{i}" for i in range(len(keys))), None).select(
-        "distinct", "distinct_keep_nulls", "duplicate_groups", "duplicate_groups_keep_nulls")
-    total = singles.unionByName(exact).selectExpr(
-        "coalesce(sum(distinct), 0L) AS distinct", "coalesce(sum(distinct_keep_nulls), 0L) AS distinct_keep_nulls",
-        "coalesce(sum(duplicate_groups), 0L) AS duplicate_groups",
-        "coalesce(sum(duplicate_groups_keep_nulls), 0L) AS duplicate_groups_keep_nulls")
-    return total.selectExpr("distinct", "CASE WHEN distinct > 0 THEN distinct END AS distinctness",
-                            "distinct_keep_nulls", "duplicate_groups", "duplicate_groups_keep_nulls")
-
-
-def _row_hash_min_keys(df: DataFrame) -> int | None:
-    value = df.sparkSession.conf.get(ROW_HASH_CONF, None)
-    return int(value) if value else None
-
-
-# Single-column frequency sets beyond this many (per filter) are computed
-# stacked by value type instead of one group-by per column.
-STACK_FREQUENCY_THRESHOLD = 64
-_COUNTERS = ("distinct", "distinctness", "distinct_keep_nulls", "duplicate_groups", "duplicate_groups_keep_nulls")
-_COUNT_LIKE = {"distinct", "distinct_keep_nulls", "duplicate_groups", "duplicate_groups_keep_nulls"}
-
-
-def _value_family(dtype: T.DataType) -> str | None:
-    """Common type several columns can be stacked under without changing any value."""
-    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return "bigint"
-    if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return "double"
-    if isinstance(dtype, (T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType,
-                          T.BinaryType, T.DecimalType)):
-        return dtype.simpleString()
-    return None  # nested types keep their own group-by
-
-
-def _stacked_counters(df: DataFrame, keys: list[str], family: str, where: str | None) -> DataFrame:
-    """Counters for many single-column key sets of one value type, in one group-by.
-
-    Each row is unfolded to ``(column id, value)`` pairs and grouped by both;
-    map-side partial aggregation collapses repeated (and hot) values before
-    the shuffle, so the shuffle carries the same distinct values as separate
-    per-column group-bys would, from a single scan and a single plan branch.
-    The result has one row per column id with the five counters.
-    """
-    src = df.where(where) if where else df
-    pairs = ", ".join(f"named_struct('i', {j}, 'v', CAST({k} AS {family}))" for j, k in enumerate(keys))
-    freq = src.selectExpr(f"inline(array({pairs}))").groupBy("i", "v").agg(F.count(F.lit(1)).alias("_n"))
-    keep = "v IS NOT NULL"
-    return freq.groupBy("i").agg(
-        F.expr(f"count_if(_n > 0 AND {keep})").alias("distinct"),
-        F.expr(f"sum(CASE WHEN _n > 0 AND {keep} THEN 1 END)").alias("distinctness"),
-        F.expr("count_if(_n > 0)").alias("distinct_keep_nulls"),
-        F.expr(f"count_if(_n > 1 AND {keep})").alias("duplicate_groups"),
-        F.expr("count_if(_n > 1)").alias("duplicate_groups_keep_nulls"),
-    )
 
+def _row_counters(df: DataFrame, keys: tuple[str, ...], where: str | None) -> DataFrame:
+    """The five counters of :func:`_frequency_counters` for several keys (whole rows), exactly,
+    without shuffling the rows.
 
-def _stack_plan(df: DataFrame, sets: list[tuple]) -> dict[tuple, list]:
-    """Group stackable single-column sets by (filter, value family) when there are many."""
-    fields = {f"`{f.name.replace('`', '``')}`": f.dataType for f in df.schema.fields}
-    single = [s for s in sets if len(s[0]) == 1 and s[0][0] in fields and _value_family(fields[s[0][0]])]
-    by_where: dict = {}
-    for s in single:
-        by_where.setdefault(s[1], []).append(s)
-    groups: dict[tuple, list] = {}
-    for where, members in by_where.items():
-        if len(members) < STACK_FREQUENCY_THRESHOLD:
-            continue
-        for s in members:
-            groups.setdefault((where, _value_family(fields[s[0][0]])), []).append(s)
-    return groups
+    Phase 1 shuffles two hashes per row and counts each hash group.  A group of one row is one distinct
+    row, since equal rows hash equally.  Phase 2 takes
+    the rows of the larger groups (true duplicates or, rarely, collisions) and groups only those by
+    their full values.  Rows of the ``HOT_GROUPS`` largest groups are picked out by a broadcast of that
+    many hashes, and meet only after partial aggregation; the other groups are small, and their rows
+    come together by a shuffle on the hashes.
+
+    Keys with types that have no such hash (maps, collated text) are grouped by their values.
+    """
+    src = (df.where(where) if where else df).selectExpr(*[f"{k} AS _k{i}" for i, k in enumerate(keys)])
+    names = [f"_k{i}" for i in range(len(keys))]
+    if not all(_hashable(f.dataType) for f in src.schema.fields):
+        return _frequency_counters(src, tuple(names), None)
+    all_null = " AND ".join(f"{n} IS NULL" for n in names)
+    h1, h2 = _row_hashes(", ".join(names))
+    hashed = src.selectExpr("*", f"{h1} AS _h1", f"{h2} AS _h2")
+    census = (hashed.selectExpr("_h1", "_h2", f"{all_null} AS _null").groupBy("_h1", "_h2")
+              .agg(F.count(F.lit(1)).alias("_n"), F.max("_null").alias("_null")))
+    singles = census.where("_n = 1").selectExpr("count_if(NOT _null) AS distinct", "count(1) AS distinct_keep_nulls",
+                                                "0L AS duplicate_groups", "0L AS duplicate_groups_keep_nulls")
+    groups = census.where("_n > 1")
+    hot = F.broadcast(groups.orderBy(F.desc("_n"), "_h1", "_h2").limit(HOT_GROUPS).select("_h1", "_h2"))
+    on = ["_h1", "_h2"]
+    cold = hashed.join(hot, on, "left_anti").join(groups.select(*on), on, "left_semi")
+    shared = hashed.join(hot, on, "left_semi").unionByName(cold)
+    counters = ["distinct", "distinct_keep_nulls", "duplicate_groups", "duplicate_groups_keep_nulls"]
+    exact = _frequency_counters(shared, tuple(names), None).select(*counters)
+    total = singles.unionByName(exact).selectExpr(*[f"coalesce(sum({c}), 0L) AS {c}" for c in counters])
+    return total.selectExpr("distinct", "CASE WHEN distinct > 0 THEN distinct END AS distinctness", *counters[1:])
 
 
 def _build_or_error(build):
@@ -338,7 +302,7 @@ def compute_metrics(
     keys = [nm.key for nm in named]
     if len(set(keys)) != len(keys):
         dupes = sorted({k for k in keys if keys.count(k) > 1})
-        raise ValueError(f"metric keys must be unique; repeated: {dupes[:10]}")
+        raise ValueError(f"metric keys must be unique; repeated: {dupes}")
 
     by_metric: dict[Metric, list[NamedMetric]] = {}
     for nm in named:
@@ -370,33 +334,14 @@ def compute_metrics(
         rows = [_row_sql(nm, f"_m{i}") for i, m in enumerate(chunk) for nm in by_metric[m]]
         pieces.append(_explode_rows(wide, rows))
 
-    # Frequency metrics: one group-by per (keys, filter), shared by all metrics on it;
-    # on wide tables many single-column sets are stacked into one group-by per type.
-    freq_sets = _unique((m.target, m.where) for m in by_metric if m.kind == "frequency")
-    members_of = {s: [m for m in by_metric if m.kind == "frequency" and (m.target, m.where) == s]
-                  for s in freq_sets}
-    stacked = _stack_plan(df, freq_sets)
-    in_stack = {s for group in stacked.values() for s in group}
-    for (where, family), group in stacked.items():
-        counters = _stacked_counters(df, [s[0][0] for s in group], family, where)
-        aggs, rows = [], []
-        for j, s in enumerate(group):
-            for m in members_of[s]:
-                value = f"max(CASE WHEN i = {j} THEN {m.agg} END)"
-                if m.agg in _COUNT_LIKE:  # a column with no group at all (empty input) counts 0
-                    value = f"coalesce({value}, 0)"
-                aggs.append(f"CAST({value} AS DOUBLE) AS _f{len(aggs)}")
-                rows += [_row_sql(nm, f"_f{len(aggs) - 1}") for nm in by_metric[m]]
-        pieces.append(_explode_rows(counters.selectExpr(*aggs), rows))
-
-    hash_min = _row_hash_min_keys(df)
-    for keys_, where in freq_sets:
-        if (keys_, where) in in_stack:
-            continue
-        members = members_of[(keys_, where)]
-        build = _hashed_frequency_counters if hash_min and len(keys_) >= hash_min else _frequency_counters
+    # Frequency metrics: one group-by per (keys, filter), shared by all metrics on it, at every width.
+    members_of: dict[tuple, list[Metric]] = {}
+    for m in by_metric:
+        if m.kind == "frequency":
+            members_of.setdefault((m.target, m.where), []).append(m)
+    for (keys_, where), members in members_of.items():
         counters, err = (None, "no grouping keys") if not keys_ else _build_or_error(
-            lambda k=keys_, w=where, b=build: b(df, k, w))
+            lambda k=keys_, w=where: (_frequency_counters if len(k) == 1 else _row_counters)(df, k, w))
         if err is not None:
             for m in members:
                 errors[m] = err
@@ -405,6 +350,7 @@ def compute_metrics(
         pieces.append(_explode_rows(counters, rows))
 
     # Literal rows (schema metrics, analysis failures) ride on a one-row carrier.
+    errors |= {m: " ".join(m.target) for m in by_metric if m.kind == "failed"}
     literal_rows = []
     for m, nms in by_metric.items():
         if m in errors:
@@ -429,8 +375,10 @@ def compute_metrics_isolated(
     definition that analyses but fails while running (e.g. an ANSI cast of
     bad text inside a user aggregate) would abort the whole fused pass; here
     the pass is retried on halves of the metric list until every failing
-    definition stands alone and is reported in ``error``.  Only metric values
-    (one row per metric, independent of the data size) reach the driver.
+    definition stands alone and is reported in ``error``.  Only errors of the
+    data are retried (``DATA_ERRORS``); lost executors, lack of memory and
+    cancelled jobs are raised.  Only metric values (one row per metric,
+    independent of the data size) reach the driver.
     """
     spark = df.sparkSession
 
@@ -438,7 +386,7 @@ def compute_metrics_isolated(
         try:
             rows = compute_metrics(df, group, max_metrics_per_pass).collect()
             return [tuple(r) for r in rows]
-        except Exception as exc:  # a run-time failure inside the fused pass
+        except DATA_ERRORS as exc:  # a run-time failure inside the fused pass
             if len(group) == 1:
                 nm = group[0]
                 return [(nm.name, nm.column, nm.key, None, _error_text(exc))]

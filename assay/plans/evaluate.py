@@ -24,6 +24,7 @@ from assay.operators.metrics import (
     NamedMetric,
     _analysable,
     _build_or_error,
+    _error_text,
     compute_metrics,
     compute_metrics_isolated,
     sql_literal,
@@ -139,7 +140,7 @@ def evaluate(
             try:
                 values[i] = _value_column(p).try_cast("double")
             except Exception as exc:  # a failing Python value builder
-                errors[i] = str(exc).splitlines()[0][:500]
+                errors[i] = _error_text(exc)
 
     def probe(i):
         p = plans[i]
@@ -174,7 +175,7 @@ def evaluate(
     parts = list(built or [])
     failed = [i for i, e in enumerate(errors) if e is not None]
     if failed:
-        parts.append(wide.selectExpr("inline(array(" + ", ".join(
+        parts.append(df.sparkSession.range(1).selectExpr("inline(array(" + ", ".join(
             _verdict_struct_sql(plans[i], errors[i], with_strategy) for i in failed) + "))"))
     rows = parts
     if not rows:

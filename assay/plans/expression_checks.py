@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 
 from assay.functions.predicates import quote
 from assay.functions.thresholds import ConfigError
-from assay.operators.metrics import DEFAULT_MAX_METRICS_PER_PASS, NamedMetric
+from assay.operators.metrics import DEFAULT_MAX_METRICS_PER_PASS, FAILED_AGG, Metric, NamedMetric
 from assay.operators.schema import COLUMN_PLACEHOLDER, DeclaredColumn, declared_columns, matching_columns
 from assay.plans.catalogue import EXPRESSION_CONFIG, ast_metric, definition_metric
 from assay.plans.evaluate import CheckPlan, evaluate
@@ -25,13 +25,17 @@ STRATEGY = "expression"
 _KEY_TOKEN = re.compile(r"`?([A-Za-z0-9_]*)\$\{column\}([A-Za-z0-9_]*)`?")
 
 
-def _metric_for(entry: dict, columns: list[DeclaredColumn], as_of) -> object:
+def _metric_for(entry: dict, columns: list[DeclaredColumn], as_of, dataset: bool = False) -> Metric:
+    """The entry's metric; an entry that names nothing known becomes a failed metric, alone."""
     where = entry.get("condition") or entry.get("where") or None
-    if entry.get("definitionName"):
-        return definition_metric(entry["definitionName"], columns, as_of, where)
-    if entry.get("aggFunction"):
-        return ast_metric(entry["aggFunction"], entry.get("columnExpr", "*"), where)
-    raise ConfigError(f"metric {entry.get('metricName')!r} has neither definitionName nor aggFunction")
+    try:
+        if entry.get("definitionName"):
+            return definition_metric(entry["definitionName"], columns, as_of, where, dataset)
+        if entry.get("aggFunction"):
+            return ast_metric(entry["aggFunction"], entry.get("columnExpr", "*"), where)
+        raise ConfigError(f"metric {entry.get('metricName')!r} has neither definitionName nor aggFunction")
+    except (ConfigError, ValueError) as exc:
+        return Metric(FAILED_AGG, (str(exc),))
 
 
 def expand_metrics(config: dict, columns: list[DeclaredColumn], as_of=None) -> list[NamedMetric]:
@@ -41,7 +45,7 @@ def expand_metrics(config: dict, columns: list[DeclaredColumn], as_of=None) -> l
         name = entry["metricName"]
         if entry.get("metricType", "Column") == "Dataset":
             label = ",".join(c.name for c in columns)
-            out.append(NamedMetric(name, label, name, _metric_for(entry, columns, as_of)))
+            out.append(NamedMetric(name, label, name, _metric_for(entry, columns, as_of, dataset=True)))
             continue
         for col in matching_columns(columns, entry.get("types", [])):
             e = dict(entry)

@@ -1,9 +1,9 @@
 """The fused check report: all three strategies over one table, compared.
 
-The metric-expression and validator strategies share *one* metric pass (their
-checks become plans over the same engine run, tagged by strategy); the SQL
-templates run as one unioned plan; the alignment is one pivot.  Everything
-is lazy: a single action on ``aligned`` computes the whole report.
+All built-in checks of the three strategies share *one* metric pass (they
+become plans over the same engine run, tagged by strategy); SQL texts of the
+user run as one unioned plan; the alignment is one pivot.  Everything is
+lazy: a single action on ``aligned`` computes the whole report.
 """
 
 from __future__ import annotations
@@ -19,9 +19,10 @@ from assay.plans.evaluate import evaluate
 from assay.plans.expression_checks import STRATEGY as EXPRESSION
 from assay.plans.expression_checks import plan_expression_checks
 from assay.plans.sql_checks import STRATEGY as SQL
-from assay.plans.sql_checks import run_sql_checks
+from assay.plans.sql_checks import plan_sql_checks, run_templates
 from assay.plans.validator_checks import STRATEGY as VALIDATOR
 from assay.plans.validator_checks import plan_validator_checks
+from assay.sources.io import stage
 
 STRATEGIES = (SQL, EXPRESSION, VALIDATOR)
 
@@ -42,23 +43,19 @@ class Report:
     def materialize(self) -> Report:
         """Compute the report once and keep its (small) results outside the lineage.
 
-        Every action on a lazy report re-runs the whole plan over the input.
-        Writing several outputs (each strategy, the metrics, the comparison)
-        would read a 100 TB input several times.  This runs the plan once:
-        metrics are cached while the verdicts are computed, then both are
-        checkpointed to ``spark.checkpoint.dir`` (reliable storage, lineage
-        cut).  Later actions never touch the input again, even if executors
-        are lost.  The results hold one row per check or metric.
+        Every action on a lazy report re-runs its plan over the input.  Here metrics and verdicts are one
+        tagged table, written once to ``spark.checkpoint.dir`` (the verdicts' part of the plan reuses the
+        metrics' shuffles) and split when read back; later actions read those files, even if executors
+        are lost.  The table holds one row per check or metric.
         """
-        self.metrics.persist()
-        try:
-            verdicts = self.verdicts.checkpoint(eager=True)
-            metrics = self.metrics.checkpoint(eager=True)
-        finally:
-            self.metrics.unpersist()
+        metrics, verdicts = self.metrics.columns, self.verdicts.columns
+        both = (self.metrics.select(F.struct(*metrics).alias("m"), F.lit(None).cast(self.verdicts.schema).alias("v"))
+                .unionByName(self.verdicts.select(F.lit(None).cast(self.metrics.schema).alias("m"), F.struct(*verdicts).alias("v"))))
+        kept = stage(both)
+        verdicts = kept.where("v IS NOT NULL").select("v.*")
         labels = [c[: -len("Status")] for c in self.aligned.columns if c != "checkName"]
         aligned = pivot_verdicts(verdicts.select("strategy", "checkName", "status"), labels)
-        return Report(metrics, verdicts, aligned)
+        return Report(kept.where("m IS NOT NULL").select("m.*"), verdicts, aligned)
 
 
 def check_report(
@@ -72,27 +69,32 @@ def check_report(
     max_metrics_per_pass: int = DEFAULT_MAX_METRICS_PER_PASS,
     stage_input: bool = False,
     isolate_runtime_errors: bool = False,
+    ansi_sql: bool | None = None,
 ) -> Report:
     """Run every requested strategy's checks over ``df`` and align the verdicts.
 
     ``stage_input=True`` first writes ``df`` to parquet under
     ``spark.checkpoint.dir`` (see :func:`assay.sources.io.stage`); use it for
     row-oriented sources such as CSV, which every scan would re-parse.
+    ``isolate_runtime_errors`` runs the checks at once, so that one that fails
+    on the data fails alone; ``ansi_sql=False`` analyses the user's SQL texts
+    without ANSI rules.
     """
     if stage_input:
-        from assay.sources.io import stage
-
         df = stage(df)
-    plans = []
+    plans, texts = [], []
     if EXPRESSION in strategies:
         plans += plan_expression_checks(df, expression_config, types, as_of)
     if VALIDATOR in strategies:
         plans += plan_validator_checks(df, validator_config, types, as_of)
+    if SQL in strategies:
+        built_in, texts = plan_sql_checks(df, sql_config, types, as_of)
+        plans += built_in
     metrics, verdicts = evaluate(df, plans, max_metrics_per_pass, with_strategy=True,
                                  isolate_runtime_errors=isolate_runtime_errors)
-    if SQL in strategies:
-        sql = run_sql_checks(df, sql_config, types, as_of)
-        verdicts = verdicts.unionByName(sql.select(F.lit(SQL).alias("strategy"), *sql.columns))
+    if texts:
+        own = run_templates(df, texts, isolate_runtime_errors, ansi_sql)
+        verdicts = verdicts.unionByName(own.select(F.lit(SQL).alias("strategy"), *own.columns))
     labels = [s for s in STRATEGIES if s in strategies]
     aligned = pivot_verdicts(verdicts.select("strategy", "checkName", "status"), labels)
     return Report(metrics, verdicts, aligned)

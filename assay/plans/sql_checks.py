@@ -13,15 +13,17 @@ check and nothing else.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from assay.functions.predicates import as_of_sql, quote
 from assay.functions.thresholds import ConfigError, check_operator, status_sql
-from assay.operators.metrics import _analysable, _build_or_error, sql_literal, union_all
+from assay.operators.metrics import DATA_ERRORS, NamedMetric, _analysable, _build_or_error, _error_text, sql_literal, union_all
 from assay.operators.schema import COLUMN_PLACEHOLDER, declared_columns, matching_columns
-from assay.plans.catalogue import SQL_CONFIG
-from assay.plans.evaluate import VERDICT_SCHEMA
+from assay.plans.catalogue import COMPILED_SQL, SQL_CONFIG, definition_metric
+from assay.plans.evaluate import VERDICT_SCHEMA, CheckPlan, evaluate
+from assay.plans.validator_checks import definition_key
 
 STRATEGY = "sql"
 METRIC_COLUMN = "metricName"
@@ -46,22 +48,49 @@ def bind_template(query: str, table: str, column: str, as_of=None) -> str:
 def expand_sql_checks(df: DataFrame, config: dict | None = None, types=None, as_of=None,
                       table: str = "{table}") -> list[tuple[str, str, str, float]]:
     """``(checkName, bound SQL, operator, threshold)`` per template and matching column."""
-    config = config or SQL_CONFIG
+    return [(name, bind_template(entry["query"], table, cols, as_of), entry["operator"], float(entry["threshold"]))
+            for name, entry, cols, _ in _expanded(df, config, types)]
+
+
+def _expanded(df: DataFrame, config: dict | None, types) -> list[tuple]:
+    """``(checkName, entry, column text, column or None for the table)`` per template and matching column."""
     columns = declared_columns(df, types)
     out = []
-    for entry in config.get("checks", []):
-        op, thr = entry["operator"], float(entry["threshold"])
-        check_operator(op)
+    for entry in (config or SQL_CONFIG).get("checks", []):
+        check_operator(entry["operator"])
         if entry.get("metricType", "Column") == "Dataset":
-            cols = ", ".join(quote(c.name) for c in columns)
-            out.append((entry["checkName"], bind_template(entry["query"], table, cols, as_of), op, thr))
+            out.append((entry["checkName"], entry, ", ".join(quote(c.name) for c in columns), None))
             continue
         for col in matching_columns(columns, entry.get("types", [])):
-            out.append((entry["checkName"].replace(COLUMN_PLACEHOLDER, col.name),
-                        bind_template(entry["query"], table, quote(col.name), as_of), op, thr))
+            out.append((entry["checkName"].replace(COLUMN_PLACEHOLDER, col.name), entry, quote(col.name), col))
+    names = [n for n, *_ in out]
+    if len(set(names)) != len(names):
+        raise ConfigError("duplicate check names after expansion")
     return out
 
 
+def plan_sql_checks(df: DataFrame, config: dict | None = None, types=None, as_of=None) -> tuple[list[CheckPlan], list[tuple]]:
+    """The checks with a built-in template as plans over fused metrics, and the others as
+    ``(checkName, SQL with {table}, operator, threshold)``."""
+    columns = declared_columns(df, types)
+    plans, texts = [], []
+    for name, entry, cols, col in _expanded(df, config, types):
+        op, thr = entry["operator"], float(entry["threshold"])
+        check = COMPILED_SQL.get(entry["query"])
+        if check is None or (col is None) == bool(check.types):
+            texts.append((name, bind_template(entry["query"], "{table}", cols, as_of), op, thr))
+            continue
+        measures = {a: definition_metric(d, columns if col is None else [col], as_of, dataset=col is None)
+                    for a, d in {**check.measures, **check.extra}.items()}
+        value = check.indicator or check.value
+        used = {a: m for a, m in measures.items() if a in value.split()}
+        named = [NamedMetric(a, col.name if col else ",".join(c.name for c in columns), definition_key(m), m)
+                 for a, m in used.items()]
+        bound = " ".join(quote(definition_key(used[w])) if w in used else w for w in value.split())
+        plans.append(CheckPlan(name, named, f"CAST(({bound}) AS INT)" if check.indicator else bound, op, thr, STRATEGY))
+    return plans, texts
+
+
 def _check_sql(name: str, sql: str, op: str, thr: float) -> str:
     """One verdict row for one template: exactly one result row is required."""
     v = "first(try_cast(metricName AS DOUBLE))"
@@ -89,31 +118,64 @@ def _statement_chunk(spark, checks, parts) -> DataFrame:
     return spark.sql("\nUNION ALL\n".join(fixed))
 
 
-def run_sql_checks(df: DataFrame, config: dict | None = None, types=None, as_of=None) -> DataFrame:
-    """Verdicts ``(checkName, value, status, error)`` of SQL-template checks.
+@contextmanager
+def _ansi(spark: SparkSession, on: bool | None):
+    """ANSI rules on or off while SQL text is analysed (``None``: as the session has them).  Expressions
+    keep the rules under which they were analysed."""
+    if on is None:
+        yield
+        return
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", str(on).lower())
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
 
-    Templates become ``UNION ALL`` statements (up to ``TEMPLATES_PER_STATEMENT``
-    each) unioned into one DataFrame: one action.  If a statement does not
-    analyse, each of its templates is analysed alone and the failing ones are
-    reported as failed checks.
-    """
+
+def run_templates(df: DataFrame, checks: list[tuple], isolate_runtime_errors: bool = False, ansi: bool | None = None) -> DataFrame:
+    """Verdicts of SQL texts ``(checkName, SQL with {table}, operator, threshold)``, as one DataFrame.
+
+    Texts that do not analyse fail their own check.  ``isolate_runtime_errors`` runs them at once, and
+    halves a set that fails on the data until the failing texts stand alone."""
     spark = df.sparkSession
-    view = register_view(df)
-    checks = expand_sql_checks(df, config, types, as_of, table=view)
-    names = [c[0] for c in checks]
-    if len(set(names)) != len(names):
-        raise ConfigError("duplicate check names after expansion")
     if not checks:
-        spark.catalog.dropTempView(view.strip("`"))
         return spark.createDataFrame([], VERDICT_SCHEMA)
-    parts = [_check_sql(*c) for c in checks]
+    view = register_view(df)
+
+    def build(some: list[tuple]) -> DataFrame:
+        bound = [(name, sql.replace("{table}", view), op, thr) for name, sql, op, thr in some]
+        parts = [_check_sql(*c) for c in bound]
+        return union_all([_statement_chunk(spark, bound[i:i + TEMPLATES_PER_STATEMENT], parts[i:i + TEMPLATES_PER_STATEMENT])
+                          for i in range(0, len(parts), TEMPLATES_PER_STATEMENT)])
+
+    def attempt(some: list[tuple]) -> list[tuple]:
+        try:
+            return [tuple(r) for r in build(some).collect()]  # one row per check
+        except DATA_ERRORS as exc:
+            if len(some) == 1:
+                return [(some[0][0], None, False, _error_text(exc))]
+            return attempt(some[:len(some) // 2]) + attempt(some[len(some) // 2:])
+
     try:
-        chunks = [
-            _statement_chunk(spark, checks[i:i + TEMPLATES_PER_STATEMENT], parts[i:i + TEMPLATES_PER_STATEMENT])
-            for i in range(0, len(parts), TEMPLATES_PER_STATEMENT)
-        ]
-        result = union_all(chunks)
+        with _ansi(spark, ansi):
+            return spark.createDataFrame(attempt(checks), VERDICT_SCHEMA) if isolate_runtime_errors else build(checks)
     finally:
         # The analysed plan already holds the table; the name is no longer needed.
         spark.catalog.dropTempView(view.strip("`"))
-    return result
+
+
+def run_sql_checks(df: DataFrame, config: dict | None = None, types=None, as_of=None, isolate_runtime_errors: bool = False,
+                   ansi: bool | None = None) -> DataFrame:
+    """Verdicts ``(checkName, value, status, error)`` of SQL-template checks.
+
+    Entries with a built-in template are computed from fused metrics; the others become ``UNION ALL``
+    statements (up to ``TEMPLATES_PER_STATEMENT`` each) unioned into one DataFrame: one action.
+    ``ansi=False`` analyses them without ANSI rules, as texts written for older Spark versions expect.
+    """
+    plans, texts = plan_sql_checks(df, config, types, as_of)
+    out = run_templates(df, texts, isolate_runtime_errors, ansi) if texts or not plans else None
+    if plans:
+        built_in = evaluate(df, plans, isolate_runtime_errors=isolate_runtime_errors)[1]
+        out = built_in if out is None else built_in.unionByName(out)
+    return out

@@ -19,11 +19,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 
-from assay.functions.predicates import days_from, is_integral_text, is_non_positive, is_null, is_zero, quote
+from assay.functions.predicates import quote
 from assay.functions.thresholds import ConfigError
 from assay.operators.metrics import DEFAULT_MAX_METRICS_PER_PASS, Metric, NamedMetric
 from assay.operators.schema import COLUMN_PLACEHOLDER, DeclaredColumn, declared_columns, matching_columns
-from assay.plans.catalogue import VALIDATOR_CONFIG
+from assay.plans.catalogue import BUILT_INS, VALIDATOR_CONFIG, BuiltIn, definition_metric
 from assay.plans.evaluate import CheckPlan, evaluate
 
 STRATEGY = "validator"
@@ -64,65 +64,18 @@ def registered_validators() -> list[str]:
     return sorted(_REGISTRY)
 
 
-def _rows() -> Metric:
-    return Metric("size")
+def _built_in(check: BuiltIn):
+    """The built-in check's validator: nulls count as a value."""
+    def plan(column, ctx):
+        columns = ctx.columns if column is None else [column]
+        measures = {a: definition_metric(d, columns, ctx.as_of, dataset=column is None)
+                    for a, d in {**check.measures, **check.kept}.items()}
+        return Uses(measures, " ".join(f"{{{w}}}" if w in measures else w for w in check.value.split()))
+    return plan
 
 
-def _all_keys(ctx: ValidatorContext) -> tuple[str, ...]:
-    return tuple(quote(c.name) for c in ctx.columns)
-
-
-# The registry names of the built-in validators.
-@validator("CountRowsValidator")
-def _count_rows(column, ctx):
-    return Uses({"rows": _rows()})
-
-
-@validator("NoNullsValidator")
-def _no_nulls(column, ctx):
-    return Uses({"nulls": Metric("size", where=is_null(quote(column.name)))})
-
-
-@validator("NoZerosValidator")
-def _no_zeros(column, ctx):
-    return Uses({"zeros": Metric("size", where=is_zero(quote(column.name), column.dtype))})
-
-
-@validator("NoNumericValuesTextualValidator")
-def _no_integral_text(column, ctx):
-    return Uses({"integral": Metric("size", where=is_integral_text(quote(column.name)))})
-
-
-@validator("NoNumericValuesSmaller0Validator")
-def _no_non_positive(column, ctx):
-    return Uses({"non_positive": Metric("size", where=is_non_positive(quote(column.name), column.dtype))})
-
-
-@validator("NoColumnsWithConstantValuesValidator")
-def _not_constant(column, ctx):
-    return Uses({"values": Metric("distinct_keep_nulls", (quote(column.name),))})
-
-
-@validator("NoDuplicatesInRowsValidator")
-def _no_duplicate_rows(column, ctx):
-    return Uses({"rows": _rows(), "distinct_rows": Metric("distinct_keep_nulls", _all_keys(ctx))},
-                "{rows} - {distinct_rows}")
-
-
-@validator("NoDuplicatesInSpecificColumnValidator")
-def _no_duplicate_values(column, ctx):
-    return Uses({"rows": _rows(), "values": Metric("distinct_keep_nulls", (quote(column.name),))},
-                "{rows} - {values}")
-
-
-@validator("NoDuplicatesColumnsNamesValidator")
-def _no_duplicate_columns(column, ctx):
-    return Uses({"duplicate_columns": Metric("duplicate_columns")})
-
-
-@validator("DataISFreshValidator")
-def _fresh(column, ctx):
-    return Uses({"days": Metric("max", (days_from(quote(column.name), ctx.as_of),))})
+for _check in BUILT_INS:
+    validator(_check.validator)(_built_in(_check))
 
 
 def definition_key(m: Metric) -> str:
@@ -137,7 +90,14 @@ def _plan(name: str, description: str, column: DeclaredColumn | None, ctx: Valid
     if fn is None:
         return CheckPlan(description, [], "CAST(NULL AS DOUBLE)", op, thr, STRATEGY,
                          error=f"unknown validator {name!r}")
-    uses = fn(column, ctx)
+    try:
+        return _planned(name, fn(column, ctx), description, column, ctx, op, thr)
+    except Exception as exc:  # a validator is user code: one that raises fails its own check
+        return CheckPlan(description, [], "CAST(NULL AS DOUBLE)", op, thr, STRATEGY, error=f"{type(exc).__name__}: {exc}")
+
+
+def _planned(name: str, uses: Uses, description: str, column: DeclaredColumn | None, ctx: ValidatorContext,
+             op: str, thr: float) -> CheckPlan:
     label = column.name if column else ",".join(c.name for c in ctx.columns)
     # Keys name the definition itself: checks that need the same metric (the
     # row count, a column's distinct values) share one key, so the pivoted

@@ -31,27 +31,41 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder: the cluster's ``spark.checkpoint.dir`` if set,
-    else (local runs only) a fresh temporary folder."""
+    else (local masters only) a fresh temporary folder."""
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    require_shared_folder(spark.sparkContext.master, current)
     path = tempfile.mkdtemp(prefix="assay-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)
     return path
 
 
+def require_shared_folder(master: str, folder: str | None) -> None:
+    """On any but a local master, a shared folder must be set: executors do not see the driver's disk."""
+    if not folder and not master.startswith("local[") and master != "local":
+        raise RuntimeError(f"spark.checkpoint.dir is not set (master {master}): name a folder that all hosts share")
+
+
+def cluster_session(app: str = "assay") -> SparkSession:
+    """The submitted application's session: master, sizes and folders are the cluster's."""
+    spark = SparkSession.getActiveSession() or SparkSession.builder.appName(app).getOrCreate()
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
 @contextmanager
 def job_label(spark: SparkSession, text: str):
     """Label the Spark jobs started inside the block (shown in logs and event logs)."""
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: tag the operations instead
-        spark.addTag(text.replace(",", " ")[:100])
+        spark.addTag(text.replace(",", " "))
         try:
             yield
         finally:
-            spark.removeTag(text.replace(",", " ")[:100])
+            spark.removeTag(text.replace(",", " "))
         return
     previous = sc.getLocalProperty("spark.job.description")
     sc.setJobDescription(text)

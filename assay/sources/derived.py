@@ -58,6 +58,14 @@ DERIVED_SQL = {
                l_returnflag, l_quantity
         FROM {lineitem}
     """,
+    # Whole numbers as text in odd forms: blanks, signs, trailing zeros, beyond 64 bits, not numbers.
+    "number_texts": """
+        SELECT CASE o_orderkey % 10 WHEN 0 THEN ' 42 ' WHEN 1 THEN '+7' WHEN 2 THEN '-3.' WHEN 3 THEN '12.000'
+                    WHEN 4 THEN '99999999999999999999' WHEN 5 THEN '9223372036854775807' WHEN 6 THEN '1 2'
+                    WHEN 7 THEN '0.50' WHEN 8 THEN '' ELSE '1e3' END AS form,
+               CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE ' +' || CAST(o_orderkey AS STRING) || '.0 ' END AS signed
+        FROM {orders}
+    """,
     # Every column as text, with fractions, zeros and junk mixed in.
     "stringly_orders": """
         SELECT CAST(o_orderkey AS STRING) AS ok,

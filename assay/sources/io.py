@@ -35,6 +35,8 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", **options)
 
 def write_verdicts(verdicts: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite") -> None:
     """Store a verdict table (``checkName, status`` and any extra columns), one file."""
+    if "error" in verdicts.columns:
+        verdicts = verdicts.withColumn("error", _one_line("error"))
     out = verdicts.coalesce(1).write.mode(mode)
     if fmt == "csv":
         out = out.option("header", "true")
@@ -43,13 +45,18 @@ def write_verdicts(verdicts: DataFrame, path: str, fmt: str = "csv", mode: str =
 
 def write_metrics(metrics: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite") -> None:
     """Store a metrics table as ``name, column, value`` (plus ``error``), one file."""
-    table = metrics.select(F.col("metric").alias("name"), "column", "value", "error")
+    table = metrics.select(F.col("metric").alias("name"), "column", "value", _one_line("error"))
     out = table.coalesce(1).write.mode(mode)
     if fmt == "csv":
         out = out.option("header", "true")
     out.format(fmt).save(path)
 
 
+def _one_line(column: str):
+    """Line ends as blanks, so that a CSV reader takes each row from one line."""
+    return F.regexp_replace(column, r"\s*\n\s*", " ").alias(column)
+
+
 def read_verdicts(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """Read a stored verdict table back as ``checkName, status`` (boolean)."""
     df = read_table(spark, path, fmt)
@@ -108,5 +115,7 @@ def stage(df: DataFrame, fmt: str = "parquet") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/assay-stage-{uuid.uuid4().hex}"
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)  # the copy lasts as long as the session
     df.write.mode("errorifexists").format(fmt).save(path)
     return spark.read.format(fmt).load(path)

@@ -46,20 +46,6 @@ def fused_expression_validator(table):
     return run
 
 
-def fused_expression_validator_row_hashed(table):
-    """As fused_expression_validator, with the exact two-phase hashed plan for whole-row duplicates."""
-    def run(spark, sf):
-        from assay.operators.metrics import ROW_HASH_CONF
-
-        spark.conf.set(ROW_HASH_CONF, "4")
-        try:
-            df = load(spark, sf, table)
-            return check_report(df, as_of=AS_OF, strategies=("expression", "validator")).aligned.collect()
-        finally:
-            spark.conf.unset(ROW_HASH_CONF)
-    return run
-
-
 def sql_templates(table):
     def run(spark, sf):
         return run_sql_checks(load(spark, sf, table), as_of=AS_OF).collect()
@@ -130,7 +116,6 @@ QUERIES = {
     "expression_validator_lineitem": fused_expression_validator("lineitem"),
     "sql_templates_lineitem": sql_templates("lineitem"),
     "expression_validator_labelled_documents": fused_expression_validator("labelled_documents"),
-    "expression_validator_labelled_documents_row_hashed": fused_expression_validator_row_hashed("labelled_documents"),
     "report_orders_csv_staged": csv_report("orders"),
     "lineitem_one_action_per_check": one_action_per_check("lineitem"),
 }

@@ -65,10 +65,45 @@ def test_cli_run_and_compare(spark):
     d = tempfile.mkdtemp(prefix="assay-test-")
     with open(os.path.join(d, "t.csv"), "w") as fh:
         fh.write("id,name\n1,a\n2,b\n2,b\n")
-    main(["run", "--input", os.path.join(d, "t.csv"), "--format", "csv", "--stage", "--output", os.path.join(d, "out")])
+    main(["run", "--input", os.path.join(d, "t.csv"), "--format", "csv", "--stage", "--local", "--output", os.path.join(d, "out")])
     for s in ("sql", "expression", "validator", "metrics", "comparison"):
         assert read_table(spark, os.path.join(d, "out", s), "csv").count() > 0
     main(["compare", "--sql", os.path.join(d, "out", "sql"), "--expression", os.path.join(d, "out", "expression"),
           "--validator", os.path.join(d, "out", "validator"), "--output", os.path.join(d, "cmp")])
     diff = read_table(spark, os.path.join(d, "cmp", "disagreements"), "csv").collect()
     assert {r["checkName"] for r in diff} == {"No Duplicate column names"}
+
+
+def test_repeated_verdicts_are_all_reported(frame):
+    a = frame([("c1", True), ("c1", False), ("c2", True)], "checkName string, status boolean")
+    b = frame([("c1", True), ("c2", True)], "checkName string, status boolean")
+    rows = sorted(((r["checkName"], r["leftStatus"], r["rightStatus"]) for r in align_verdicts({"left": a, "right": b}).collect()), key=repr)
+    assert rows == [("c1", False, True), ("c1", True, None), ("c2", True, True)]
+
+
+def test_cli_takes_the_submitted_session(spark, monkeypatch):
+    """Neither master nor shuffle partitions are set, and a cluster without a shared folder is refused."""
+    import argparse
+
+    import pytest
+
+    import assay.cli as cli
+    import assay.session as session
+
+    monkeypatch.setattr(cli, "local_session", lambda: pytest.fail("a local session"))
+    before = (spark.sparkContext.master, spark.conf.get("spark.sql.shuffle.partitions"))
+    got = cli._session(argparse.Namespace(local=False))
+    assert (got.sparkContext.master, got.conf.get("spark.sql.shuffle.partitions")) == before
+    for master in ("yarn", "spark://host:7077", "k8s://host", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            session.require_shared_folder(master, None)
+        session.require_shared_folder(master, "hdfs://shared")
+    session.require_shared_folder("local[4]", None)
+
+
+def test_job_label(spark):
+    from assay.session import job_label
+
+    with job_label(spark, "a label, " + "x" * 200):
+        assert spark.sparkContext.getLocalProperty("spark.job.description") == "a label, " + "x" * 200
+    assert spark.sparkContext.getLocalProperty("spark.job.description") is None

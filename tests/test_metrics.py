@@ -1,5 +1,7 @@
 """The fused metric engine: semantics of each aggregate, de-duplication, batching, errors."""
 
+import pytest
+
 from assay.operators.metrics import Metric, NamedMetric, compute_metrics
 
 
@@ -130,51 +132,75 @@ def test_runtime_error_isolation_in_checks(frame):
     assert v["total"]["status"] is False
 
 
-def test_stacked_frequency_sets_match_per_column(frame, monkeypatch):
-    import assay.operators.metrics as M
-
-    rows = [(1, 1.5, "a", None, 0.0), (1, -0.0, "a", None, float("nan")), (2, None, None, None, float("nan")),
-            (None, 1.5, "b", None, 0.0), (3, 2.5, "a", None, 1.0)]
-    df = frame(rows, "i int, d double, s string, nothing string, f double")
-    named = [NamedMetric(agg, c, f"{agg}_{c}", Metric(agg, (f"`{c}`",)))
-             for c in df.columns for agg in M.FREQUENCY_AGGS]
-    named.append(NamedMetric("rows", "*", "rows", Metric("size")))
-    direct = values(compute_metrics(df, named))
-    monkeypatch.setattr(M, "STACK_FREQUENCY_THRESHOLD", 2)
-    plan = compute_metrics(df, named)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Generate inline") >= 1
-    assert values(compute_metrics(df, named)) == direct
-    empty = df.where("i > 100")
-    monkeypatch.setattr(M, "STACK_FREQUENCY_THRESHOLD", 10_000)
-    direct_empty = values(compute_metrics(empty, named))
-    monkeypatch.setattr(M, "STACK_FREQUENCY_THRESHOLD", 2)
-    assert values(compute_metrics(empty, named)) == direct_empty
-
-
 def _row_metrics(cols):
     keys = tuple(f"`{c}`" for c in cols)
     return [NamedMetric(agg, "*", agg, Metric(agg, keys)) for agg in
             ("distinct", "distinctness", "distinct_keep_nulls", "duplicate_groups", "duplicate_groups_keep_nulls")]
 
 
-def test_hashed_row_frequencies_are_exact(frame, spark, monkeypatch):
+def grouped_by_values(df):
+    from assay.operators.metrics import _frequency_counters
+
+    return _frequency_counters(df, tuple(f"`{c}`" for c in df.columns), None).collect()[0].asDict()
+
+
+def test_row_counters_are_exact(frame, monkeypatch):
     import assay.operators.metrics as M
 
-    rows = ([(1, "a", 1.0)] * 5 + [(2, "b", None)] * 2 + [(None, None, None)] * 3
-            + [(i, f"u{i}", float(i)) for i in range(3, 40)])
+    rows = ([(1, "a", 1.0)] * 5 + [(2, "b", None)] * 2 + [(None, None, None)] * 3 + [(7, "z", 0.0), (7, "z", -0.0)]
+            + [(8, "n", float("nan"))] * 2 + [(i, f"u{i}", float(i)) for i in range(10, 40)])
     df = frame(rows, "a int, b string, c double")
-    direct = values(compute_metrics(df, _row_metrics(df.columns)))
-    spark.conf.set(M.ROW_HASH_CONF, "2")
-    try:
-        hashed_df = compute_metrics(df, _row_metrics(df.columns))
-        assert "LeftSemi" in hashed_df._jdf.queryExecution().optimizedPlan().toString()
-        assert values(hashed_df) == direct
-        # a deliberately weak hash makes many different rows collide: still exact
-        monkeypatch.setattr(M, "_row_hashes", lambda keys: ("length(CAST(" + keys[0] + " AS STRING))", "1"))
-        assert values(compute_metrics(df, _row_metrics(df.columns))) == direct
-        empty = df.where("a > 1000")
-        assert values(compute_metrics(empty, _row_metrics(df.columns))) == {
-            "distinct": 0, "distinctness": None, "distinct_keep_nulls": 0, "duplicate_groups": 0,
-            "duplicate_groups_keep_nulls": 0}
-    finally:
-        spark.conf.unset(M.ROW_HASH_CONF)
+    direct = grouped_by_values(df)
+    assert values(compute_metrics(df, _row_metrics(df.columns))) == direct
+    monkeypatch.setattr(M, "HOT_GROUPS", 1)  # the others go by the shuffle
+    assert values(compute_metrics(df, _row_metrics(df.columns))) == direct
+    # a weak hash makes many different rows collide: still exact
+    monkeypatch.setattr(M, "_row_hashes", lambda parts: ("length(CAST(_k0 AS STRING))", "1"))
+    empty = df.where("a > 1000")
+    assert values(compute_metrics(empty, _row_metrics(df.columns))) == {
+        "distinct": 0, "distinctness": None, "distinct_keep_nulls": 0, "duplicate_groups": 0,
+        "duplicate_groups_keep_nulls": 0}
+
+
+def test_row_counters_with_collated_and_map_columns(spark, frame):
+    collated = spark.sql("SELECT * FROM VALUES ('a', 1), ('A', 1), ('b', 2), (NULL, NULL) t(s, i)").selectExpr(
+        "s COLLATE UTF8_LCASE AS s", "i")
+    got = values(compute_metrics(collated, _row_metrics(collated.columns)))
+    assert got == grouped_by_values(collated) == {"distinct": 2, "distinctness": 2, "distinct_keep_nulls": 3,
+                                                  "duplicate_groups": 1, "duplicate_groups_keep_nulls": 1}
+    maps = spark.sql("SELECT * FROM VALUES (map('x', 1, 'y', 2), 1), (map('y', 2, 'x', 1), 1), (map('x', 2), 1) t(m, i)")
+    assert values(compute_metrics(maps, _row_metrics(maps.columns))) == grouped_by_values(maps)
+    nested = collated.selectExpr("array(s) AS a", "named_struct('i', i) AS st")
+    assert values(compute_metrics(nested, _row_metrics(nested.columns))) == grouped_by_values(nested)
+
+
+def test_one_row_holding_half_the_table(spark):
+    """Its copies are picked out by a broadcast and meet only after partial aggregation."""
+    df = spark.range(4000).selectExpr("IF(id % 2 = 0, 0, id) AS a", "IF(id % 2 = 0, 'hot', CAST(id AS STRING)) AS b")
+    m = compute_metrics(df, _row_metrics(df.columns))
+    assert values(m)["duplicate_groups_keep_nulls"] == 1 and values(m)["distinct_keep_nulls"] == 2001
+    plan = m._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "CartesianProduct" not in plan
+
+
+def test_errors_keep_their_whole_text(frame):
+    df = frame([("x",)], "s string")
+    named = [NamedMetric("bad", "s", "bad", Metric("aggregate", ("max(" + "no_such_column_" * 60 + ")",)))]
+    assert len(compute_metrics(df, named).collect()[0]["error"]) > 800
+
+
+def test_only_data_errors_are_isolated(frame, monkeypatch):
+    import assay.operators.metrics as M
+
+    df = frame([("x",), ("1",)], "s string")
+    named = [NamedMetric("ok", "s", "ok", Metric("size")),
+             NamedMetric("bad", "s", "bad", Metric("aggregate", ("max(CAST(s AS INT))",)))]
+    got = {r["key"]: r for r in M.compute_metrics_isolated(df, named).collect()}
+    assert got["ok"]["value"] == 2 and "CAST_INVALID_INPUT" in got["bad"]["error"]
+
+    def lost(*_, **__):
+        raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(M, "compute_metrics", lost)
+    with pytest.raises(RuntimeError, match="executor lost"):
+        M.compute_metrics_isolated(df, named)

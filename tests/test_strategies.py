@@ -6,7 +6,7 @@ from assay.functions.thresholds import ConfigError
 from assay.operators.metrics import Metric
 from assay.plans.catalogue import NAME_CONSTANT, NAME_DUPLICATE_ROWS, NAME_DUPLICATE_VALUES, NAME_FRESH
 from assay.plans.evaluate import CheckPlan, evaluate
-from assay.plans.expression_checks import run_expression_checks
+from assay.plans.expression_checks import expression_report, run_expression_checks
 from assay.plans.report import check_report
 from assay.plans.sql_checks import run_sql_checks
 from assay.plans.validator_checks import Uses, run_validator_checks, validator
@@ -164,6 +164,54 @@ def test_materialized_report_does_not_rescan_input(frame, spark):
     report = check_report(df, as_of=AS_OF).materialize()
     for plan_df in (report.metrics, report.verdicts, report.aligned):
         plan = plan_df._jdf.queryExecution().optimizedPlan().toString()
-        assert "LocalRelation" not in plan and "LogicalRDD" in plan
+        assert "LocalRelation" not in plan and "parquet" in plan  # only the staged table is read
     assert report.disagreements.count() == 1
     assert {r["checkName"] for r in report.strategy("sql").collect()} <= {r["checkName"] for r in report.aligned.collect()}
+
+
+def test_bad_entries_fail_alone(frame):
+    from assay.plans.validator_checks import run_validator_checks, validator
+
+    @validator("RaisingValidator")
+    def _raising(column, ctx):
+        raise RuntimeError("no plan for " + column.name)
+
+    df = frame([(1, "a"), (2, None)], "k int, s string")
+    config = {"metrics": [{"metricName": "n", "definitionName": "count rows", "metricType": "Dataset"},
+                          {"metricName": "u", "definitionName": "no such definition", "metricType": "Dataset"},
+                          {"metricName": "a", "aggFunction": "no_such", "columnExpr": "k", "metricType": "Dataset"},
+                          {"metricName": "c", "definitionName": "count nulls", "metricType": "Dataset"}],
+              "checks": [{"checkName": x, "expression": x, "operator": ">", "threshold": 0} for x in "nuac"]}
+    metrics, verdicts = expression_report(df, config)
+    assert {r["checkName"]: r["status"] for r in verdicts.collect()} == {"n": True, "u": False, "a": False, "c": False}
+    errors = {r["key"]: r["error"] for r in metrics.collect()}
+    assert errors["n"] is None and "no such definition" in errors["u"] and "no_such" in errors["a"] and "not of a dataset" in errors["c"]
+    v = {r["checkName"]: r for r in run_validator_checks(df, {"validators": [
+        {"name": "RaisingValidator", "description": "raises ${column}", "operator": "=", "threshold": 0, "types": ["any"]},
+        {"name": "NoNullsValidator", "description": "no column", "operator": "=", "threshold": 0, "types": []},
+        {"name": "CountRowsValidator", "description": "rows", "operator": ">", "threshold": 0, "types": []}]}).collect()}
+    assert "no plan for k" in v["raises k"]["error"] and v["no column"]["error"] and v["rows"]["status"] is True
+
+
+def test_dataset_distinct_takes_all_columns(frame):
+    df = frame([(1, "a", None), (1, "b", None), (1, "c", "x"), (1, "c", "x"), (None, None, None)], "i int, s string, t string")
+    config = {"metrics": [{"metricName": "d", "definitionName": "count uniques", "metricType": "Dataset"}],
+              "checks": [{"checkName": "d", "expression": "d", "operator": "=", "threshold": 3}]}
+    assert run_expression_checks(df, config).collect()[0]["value"] == 3
+
+
+def test_sql_that_fails_on_the_data_fails_alone(frame):
+    from assay.plans.sql_checks import run_sql_checks
+
+    df = frame([("1",), ("x",)], "s string")
+    config = {"checks": [
+        {"checkName": "bad", "query": "SELECT max(CAST({column} AS INT)) AS metricName FROM {table}", "metricType": "Column",
+         "types": ["any"], "operator": ">", "threshold": 0},
+        {"checkName": "good", "query": "SELECT count(*) AS metricName FROM {table}", "metricType": "Dataset", "types": ["any"],
+         "operator": "=", "threshold": 2}]}
+    v = {r["checkName"]: r for r in run_sql_checks(df, config, isolate_runtime_errors=True).collect()}
+    assert v["good"]["status"] is True and v["bad"]["status"] is False and "CAST_INVALID_INPUT" in v["bad"]["error"]
+    legacy = {r["checkName"]: r for r in run_sql_checks(df, config, ansi=False).collect()}
+    assert legacy["bad"]["value"] == 1 and df.sparkSession.conf.get("spark.sql.ansi.enabled") == "true"
+    report = check_report(df, sql_config=config, as_of=AS_OF, isolate_runtime_errors=True)
+    assert {r["checkName"]: r["sqlStatus"] for r in report.aligned.collect()}["good"] is True

@@ -26,3 +26,20 @@ def test_each_micro_batch_is_checked(spark, frame):
     statuses = {b: (by[(b, "expression", nulls)]["status"], by[(b, "validator", dups)]["status"]) for b in (0, 1)}
     # exactly one batch holds the null key and the duplicate row
     assert sorted(statuses.values()) == [(False, False), (True, True)]
+
+
+def test_restart_keeps_earlier_verdicts(spark, frame):
+    src = tempfile.mkdtemp(prefix="assay-test-")
+    sink = os.path.join(tempfile.mkdtemp(prefix="assay-test-"), "verdicts")
+    schema = frame([], "k int").schema
+
+    def run():
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(src)
+        check_stream(stream, sink, strategies=("expression",), trigger={"availableNow": True}).awaitTermination()
+        out = spark.read.parquet(sink).where("checkName = 'Number of rows is larger than 0'")
+        return {r["batch_id"]: r["value"] for r in out.collect()}
+
+    frame([(1,), (2,)], "k int").write.parquet(os.path.join(src, "one"))
+    assert run() == {0: 2}
+    frame([(1,)] * 5, "k int").write.parquet(os.path.join(src, "two"))
+    assert run() == {0: 2, 1: 5}
