@@ -265,7 +265,7 @@ def _row_counters(df: DataFrame, keys: tuple[str, ...], where: str | None) -> Da
               .agg(F.count(F.lit(1)).alias("_n"), F.max("_null").alias("_null")))
     singles = census.where("_n = 1").selectExpr("count_if(NOT _null) AS distinct", "count(1) AS distinct_keep_nulls",
                                                 "0L AS duplicate_groups", "0L AS duplicate_groups_keep_nulls")
-    groups = census.where("_n > 1")
+    groups = census.where("_n > 1 AND _null IS NOT NULL")  # reads every column, so the census is shuffled once
     hot = F.broadcast(groups.orderBy(F.desc("_n"), "_h1", "_h2").limit(HOT_GROUPS).select("_h1", "_h2"))
     on = ["_h1", "_h2"]
     cold = hashed.join(hot, on, "left_anti").join(groups.select(*on), on, "left_semi")
