@@ -29,6 +29,9 @@ MAX_FEATURES = 4096
 
 #: Grades: 0 not toxic; toxic examples are graded 1 to 3 by the thirds of their number of features.
 GRADES = 4
+
+#: Bytes of text whose features are counted at a time (every distinct word has several).
+COUNTED_BYTES = 1 << 22
 STEMS = (4, 5, 6, 7)
 TRIM = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "…«»“”„’‘¿¡"
 
@@ -103,7 +106,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_LABELLED, max_fe
     sample = materialize(labelled_sample(docs, labels, max_rows), "labelled")
 
     def count(batches):
-        for batch in sliced(batches):
+        for batch in sliced(batches, limit=COUNTED_BYTES):
             doc, feature, names = _document_features(batch.column("text"), None)
             toxic = batch.column("toxic").to_numpy()[doc] > 0
             total, positive = Counter(feature.tolist()), Counter(feature[toxic].tolist())
