@@ -1,5 +1,5 @@
 """Helpers shared by the operators: scratch tables on the cluster's shared
-folder, connected components, and block-wise word tables."""
+folder, joins with hot keys, range bounds, connected components."""
 
 from __future__ import annotations
 
@@ -97,13 +97,6 @@ def packed(df: DataFrame, name: str = "_row") -> DataFrame:
         if df.columns else df.select(F.struct().alias(name))
 
 
-def with_column(df: DataFrame, **columns) -> DataFrame:
-    """Add columns, replacing input columns of the same name (names compare without case)."""
-    taken = {c.lower() for c in columns}
-    kept = [F.col(f"`{c.replace('`', '``')}`") for c in df.columns if c.lower() not in taken]
-    return df.select(*kept, *[e.alias(c) for c, e in columns.items()])
-
-
 #: A key is hot if it holds more than this share of all rows; at most 1 / HOT_SHARE keys can be,
 #: which is the proven bound of the broadcast in :func:`join_counted`.
 HOT_SHARE = 1e-4

@@ -20,8 +20,10 @@ import zstandard
 from pyspark.sql import DataFrame
 from xxhash import xxh64_intdigest
 
-#: Bytes of text in a block (a longer document is a block of its own).
-BLOCK_BYTES = 1 << 24
+#: Bytes of text in a block (a longer document is a block of its own), and bytes of all text per part of
+#: the table of distinct words.
+BLOCK_BYTES = 1 << 23
+PART_BYTES = 1 << 24
 
 BLOCK_SCHEMA = "block long, ids array<bigint>, sizes binary, places binary"
 WORD_SCHEMA = "part int, block long, places binary, words binary"
@@ -100,10 +102,11 @@ def block_rows(docs: DataFrame, lower: bool = False) -> DataFrame:
     return docs.mapInArrow(run, BLOCK_SCHEMA)
 
 
-def word_rows(docs: DataFrame, parts: int, lower: bool = False, weighted: bool = False) -> DataFrame:
+def word_rows(docs: DataFrame, parts: int, lower: bool = False, classes: int = 0) -> DataFrame:
     """The distinct words of each block of ``docs`` (``id, text``), dealt by a hash of the word into
     ``parts`` parts: one row per block and part, with the words and their places in the block.
-    ``weighted`` adds how often each word stands in the documents whose ``weight`` (0 or 1) is 1."""
+    ``classes`` adds, for each class from 1 to ``classes``, how often each word stands in the documents
+    whose column ``class`` is that number (other documents are not counted)."""
     def run(batches):
         for batch in sliced(batches):
             key, sizes, places, distinct = _block(batch, lower)
@@ -114,13 +117,14 @@ def word_rows(docs: DataFrame, parts: int, lower: bool = False, weighted: bool =
             columns = [pa.array(used, pa.int32()), pa.array([key] * len(used), pa.int64()),
                        pa.array([packed_numbers(order[cuts[p]:cuts[p + 1]]) for p in used], pa.binary()),
                        pa.array([packed_words(words[cuts[p]:cuts[p + 1]]) for p in used], pa.binary())]
-            if weighted:
-                marks = np.repeat(batch.column("weight").to_numpy(), sizes)
-                counts = np.bincount(places, weights=marks, minlength=len(distinct)).astype(np.int64)[order]
-                columns.append(pa.array([packed_numbers(counts[cuts[p]:cuts[p + 1]]) for p in used], pa.binary()))
+            if classes:
+                of_word = np.repeat(batch.column("class").to_numpy(), sizes)
+                counts = np.bincount(of_word * len(distinct) + places, minlength=(classes + 1) * len(distinct))
+                counts = counts.reshape(classes + 1, -1)[1:, order]
+                columns.append(pa.array([packed_numbers(counts[:, cuts[p]:cuts[p + 1]].ravel()) for p in used], pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, ["part", "block", "places", "words", "counts"][:len(columns)])
 
-    return docs.mapInArrow(run, WORD_SCHEMA + ", counts binary" * weighted)
+    return docs.mapInArrow(run, WORD_SCHEMA + ", counts binary" * bool(classes))
 
 
 def runs(lengths: np.ndarray) -> np.ndarray:
