@@ -31,24 +31,45 @@ COMPARED_SCHEMA = ("doc_id long, n_chars long, edited_sha256 string, fingerprint
                    "near_edited double, near_next double")
 
 
+class Phrases:
+    """The phrases of a text that comes in parts.  The dictionary is a trie of (node, code point) pairs,
+    so the time is linear in the text whatever the phrases' lengths."""
+
+    def __init__(self):
+        self.trie: dict[int, int] = {}
+        self.ends: list[int] = []
+        self.node = self.nodes = self.at = 0
+
+    def copy(self) -> "Phrases":
+        """The same state, to go on with another continuation."""
+        out = Phrases()
+        out.trie, out.ends = self.trie.copy(), self.ends.copy()
+        out.node, out.nodes, out.at = self.node, self.nodes, self.at
+        return out
+
+    def feed(self, text: str) -> "Phrases":
+        trie, node, nodes = self.trie, self.node, self.nodes
+        get, add = trie.get, self.ends.append
+        for i, c in enumerate(map(ord, text), self.at + 1):
+            following = get(node + c)
+            if following is None:
+                nodes += 1 << 21  # above any code point
+                trie[node + c] = nodes
+                node = 0
+                add(i)
+            else:
+                node = following
+        self.node, self.nodes = node, nodes
+        self.at += len(text)
+        return self
+
+    def closed(self) -> list[int]:
+        """End of each phrase; the last phrase may be one that is known already."""
+        return self.ends + [self.at] * bool(self.node)
+
+
 def phrase_ends(text: str) -> list[int]:
-    """End of each phrase; the last phrase may be one that is known already.  The dictionary is a trie of
-    (node, code point) pairs, so the time is linear in the text whatever the phrases' lengths."""
-    trie: dict[int, int] = {}
-    get, ends, node, nodes = trie.get, [], 0, 0
-    add = ends.append
-    for i, c in enumerate(map(ord, text), 1):
-        following = get(node + c)
-        if following is None:
-            nodes += 1 << 21  # above any code point
-            trie[node + c] = nodes
-            node = 0
-            add(i)
-        else:
-            node = following
-    if node:
-        add(len(text))
-    return ends
+    return Phrases().feed(text).closed()
 
 
 def _powers(base: int, count: int) -> np.ndarray:
@@ -71,11 +92,11 @@ class _Powers:
         return cls.up[:count], cls.down[:count]
 
 
-def signature(text: str) -> np.ndarray:
-    """The smallest distinct 32-bit hashes of the text's phrases, ascending."""
+def signature(text: str, ends: list[int] | None = None) -> np.ndarray:
+    """The smallest distinct 32-bit hashes of the text's phrases (which end at ``ends``), ascending."""
     if not text:
         return np.zeros(0, np.uint32)
-    ends = np.array(phrase_ends(text))
+    ends = np.array(phrase_ends(text) if ends is None else ends)
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
     up, down = _Powers.of(len(codes) + 1)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((codes + np.uint64(1)) * np.uint64(MIX) * up[:-1], dtype=np.uint64)])
@@ -164,11 +185,13 @@ def compare_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str =
              .repartitionById(ranges, "range").sortWithinPartitions("range", "kind", "id", "text"))
 
     def run(batches):
-        before = None  # the row whose next one is awaited: id, text, signature
+        before = None  # the row whose next one is awaited: id, text, signature, the phrases of the part that stays
         for batch in sliced(batches):
             out = []
             for kind, i, text in zip(batch.column("kind").to_pylist(), batch.column("id").to_pylist(), batch.column("text").to_pylist()):
-                now = (i, text, signature(text))
+                stays = len(text) - len(text) // 4
+                head = Phrases().feed(text[:stays])
+                now = (i, text, signature(text, head.copy().feed(text[stays:]).closed()), head)
                 if before is not None:
                     out.append(_compared(before, now))
                 before = now if kind == 0 else None
@@ -182,10 +205,12 @@ _COMPARED = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited
 
 
 def _compared(row: tuple, following: tuple) -> dict:
-    ident, text, sig = row
+    """The text and its edited text begin alike, so the parse of that part serves both."""
+    ident, text, sig, head = row
     cut = len(text) // 4
-    edited = text[:len(text) - cut] + following[1][:cut]
-    changed = sig if edited == text else signature(edited)
+    tail = following[1][:cut]
+    edited = text[:len(text) - cut] + tail
+    changed = signature(edited, head.feed(tail).closed())
     return {"doc_id": ident, "n_chars": len(text), "edited_sha256": hashlib.sha256(edited.encode()).hexdigest(),
             "fingerprint": as_text(sig), "edited_fingerprint": as_text(changed), "near_edited": likeness(sig, changed),
             "near_next": likeness(sig, following[2])}
