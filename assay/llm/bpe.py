@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from assay.llm.common import task_count
-from assay.llm.words import BLOCK_BYTES, block_rows, packed_numbers, runs, unpacked_numbers, unpacked_words, word_rows
+from assay.llm.words import PART_BYTES, block_rows, packed_numbers, runs, unpacked_numbers, unpacked_words, word_rows
 
 #: Words laid out at a time in a block.
-LAID_WORDS = 1 << 19
+LAID_WORDS = 1 << 18
 
 
 #: Tokens decoded at a time.
@@ -52,10 +52,13 @@ def loaded(data: bytes):
     return tokenizer
 
 
-def bpe_encode(docs: DataFrame, tokenizer: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def bpe_encode(docs: DataFrame, tokenizer: bytes, id_col: str = "doc_id", text_col: str = "text",
+               decoded: bool = False) -> DataFrame:
     """``id, ids, ids_sha256``: the token ids (array<int>) of every row's whole text, and the digest of the
     ids as little-endian unsigned 32-bit integers, as the tokenizers library encodes it with ``add_special_tokens=False``, truncation and padding unused.
 
+    ``decoded`` adds ``text``, the ids decoded as by :func:`bpe_decode`, in the same tasks.
+
     For tokenizers whose splitting ends every piece at an ASCII blank and drops blanks (word-level BPE);
     the strings of special tokens must hold no blank.
 
@@ -67,7 +70,7 @@ def bpe_encode(docs: DataFrame, tokenizer: bytes, id_col: str = "doc_id", text_c
     small = np.dtype("<u2" if len(json.loads(tokenizer)["model"]["vocab"]) < 60_000 else "<u4")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    parts = task_count(spark, size, BLOCK_BYTES)
+    parts = task_count(spark, size, PART_BYTES)
 
     def encode(batches):  # a task has all rows of its part: each distinct word is encoded once
         tok, table = loaded(shared.value), {}
@@ -85,6 +88,7 @@ def bpe_encode(docs: DataFrame, tokenizer: bytes, id_col: str = "doc_id", text_c
                                               pa.array(ids, pa.binary())], ["block", "places", "sizes", "ids"])
 
     def lay_out(key, words: pa.Table, blocks: pa.Table):
+        pieces = pieces_of(shared.value) if decoded else None
         flat, places, lengths = [], [], []
         for row in words.to_pylist():
             places.append(unpacked_numbers(row["places"]))
@@ -109,16 +113,18 @@ def bpe_encode(docs: DataFrame, tokenizer: bytes, id_col: str = "doc_id", text_c
                 ids = flat[np.repeat(start[mine], per) + runs(per)].astype(np.int32)
                 cuts = np.concatenate([[0], np.cumsum(per)])[np.concatenate([[0], ends[first:last] - a])].astype(np.int32)
                 digest = [hashlib.sha256(ids[x:y].astype("<u4").tobytes()).hexdigest() for x, y in zip(cuts, cuts[1:])]
-                out.append(pa.RecordBatch.from_arrays(
-                    [pa.array(block["ids"][first:last], pa.int64()), pa.ListArray.from_arrays(pa.array(cuts), pa.array(ids)),
-                     pa.array(digest, pa.string())], ["id", "ids", "ids_sha256"]))
+                lists = pa.ListArray.from_arrays(pa.array(cuts), pa.array(ids))
+                columns = [pa.array(block["ids"][first:last], pa.int64()), lists, pa.array(digest, pa.string())]
+                columns += [_joined(lists, pieces)] if decoded else []
+                out.append(pa.RecordBatch.from_arrays(columns, ["id", "ids", "ids_sha256", "text"][:len(columns)]))
                 first = last
-        return pa.Table.from_batches(out, pa.schema([("id", pa.int64()), ("ids", pa.list_(pa.int32())), ("ids_sha256", pa.string())]))
+        fields = [("id", pa.int64()), ("ids", pa.list_(pa.int32())), ("ids_sha256", pa.string()), ("text", pa.string())]
+        return pa.Table.from_batches(out, pa.schema(fields[:4 if decoded else 3]))
 
     encoded = word_rows(rows, parts).repartitionById(parts, "part").mapInArrow(
         encode, "block long, places binary, sizes binary, ids binary")
-    return (encoded.groupBy("block").cogroup(block_rows(rows).groupBy("block"))
-            .applyInArrow(lay_out, "id long, ids array<int>, ids_sha256 string"))
+    return (encoded.repartition(parts, "block").groupBy("block").cogroup(block_rows(rows).repartition(parts, "block").groupBy("block"))
+            .applyInArrow(lay_out, "id long, ids array<int>, ids_sha256 string" + ", text string" * decoded))
 
 
 def bpe_decode(encoded: DataFrame, tokenizer: bytes) -> DataFrame:
@@ -129,16 +135,10 @@ def bpe_decode(encoded: DataFrame, tokenizer: bytes) -> DataFrame:
     joined to pieces by position in the tasks.  Null ids give a null text, no ids an empty one; an id
     that the vocabulary does not hold adds nothing, as in the library.
     """
-    if json.loads(tokenizer).get("decoder") is not None:
-        raise ValueError("only tokenizers without a decoder are decoded here")
     shared = encoded.sparkSession.sparkContext.broadcast(tokenizer)
 
     def run(batches):
-        vocabulary = loaded(shared.value).get_vocab(with_added_tokens=True)
-        by_id: list = [None] * (max(vocabulary.values(), default=-1) + 1)
-        for piece, i in vocabulary.items():
-            by_id[i] = piece
-        pieces = pa.array(by_id, pa.string())
+        pieces = pieces_of(shared.value)
         for batch in batches:
             ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column("ids")), 0).to_numpy(), dtype=np.int64)
             start = 0
@@ -152,6 +152,18 @@ def bpe_decode(encoded: DataFrame, tokenizer: bytes) -> DataFrame:
     return encoded.mapInArrow(run, StructType([*encoded.schema.fields, StructField("text", StringType())]))
 
 
+@functools.lru_cache(maxsize=4)
+def pieces_of(tokenizer: bytes) -> pa.Array:
+    """The id-to-piece table of a tokenizer without a decoder."""
+    if json.loads(tokenizer).get("decoder") is not None:
+        raise ValueError("only tokenizers without a decoder are decoded here")
+    vocabulary = loaded(tokenizer).get_vocab(with_added_tokens=True)
+    by_id: list = [None] * (max(vocabulary.values(), default=-1) + 1)
+    for piece, i in vocabulary.items():
+        by_id[i] = piece
+    return pa.array(by_id, pa.string())
+
+
 def _joined(lists: pa.Array, pieces: pa.Array) -> pa.Array:
     """Each list's ids joined to their pieces, and the pieces joined by blanks."""
     sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm.bpe import bpe_decode, bpe_encode, read_tokenizer
+from assay.llm.bpe import bpe_encode, read_tokenizer
 from assay.llm.common import scratch, ship
 from assay.llm.context_mixing import score_documents
 from assay.llm.kd_topk import scaled_vectors, top_k, top_k_sql
@@ -28,7 +28,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = read_tokenizer(public_tokenizers.path("word_bpe_49k.json"))
-    decoded = bpe_decode(bpe_encode(_table(spark, sf_dir, "documents"), tokenizer), tokenizer)
+    decoded = bpe_encode(_table(spark, sf_dir, "documents"), tokenizer, decoded=True)
     return decoded.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), "ids_sha256",
                           F.sha2("text", 256).alias("decoded_sha256"))
 
