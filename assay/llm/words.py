@@ -62,6 +62,17 @@ def unpacked_numbers(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
 
 
+def packed_counts(values: np.ndarray) -> bytes:
+    """Non-negative integers below 2**63 as byte planes, compressed: counts over a whole corpus."""
+    planes = values.astype("<i8").view(np.uint8).reshape(-1, 8).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def unpacked_counts(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<i8").ravel()
+
+
 def packed_words(words: list[str]) -> bytes:
     """Words, which hold no line end, compressed."""
     return zstandard.ZstdCompressor(level=1).compress("\n".join(words).encode())
