@@ -113,15 +113,18 @@ def block_rows(docs: DataFrame, lower: bool = False) -> DataFrame:
     return docs.mapInArrow(run, BLOCK_SCHEMA)
 
 
-def word_rows(docs: DataFrame, parts: int, lower: bool = False, classes: int = 0) -> DataFrame:
+def word_rows(docs: DataFrame, parts: int, lower: bool = False, classes: int = 0, pairs: bool = False) -> DataFrame:
     """The distinct words of each block of ``docs`` (``id, text``), dealt by a hash of the word into
     ``parts`` parts: one row per block and part, with the words and their places in the block.
     ``classes`` adds, for each class from 1 to ``classes``, how often each word stands in the documents
-    whose column ``class`` is that number (other documents are not counted)."""
+    whose column ``class`` is that number (other documents are not counted).  ``pairs`` adds rows of
+    ``kind`` 2 (the others: 1) for the block's distinct :func:`word_pairs`, dealt by their hash: hashes in
+    ``words``, numbers in ``places``, and in ``counts`` how often each stands in documents of a class."""
     def run(batches):
         for batch in sliced(batches):
             key, sizes, places, distinct = _block(batch, lower)
-            part = np.array([xxh64_intdigest(w) % parts for w in distinct.cast(pa.binary()).to_pylist()], dtype=np.int64)
+            hashed = np.array([xxh64_intdigest(w) for w in distinct.cast(pa.binary()).to_pylist()], dtype=np.uint64)
+            part = (hashed % np.uint64(parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
             words, cuts = distinct.take(pa.array(order)).to_pylist(), np.searchsorted(part[order], np.arange(parts + 1))
             used = [p for p in range(parts) if cuts[p] < cuts[p + 1]]
@@ -133,9 +136,52 @@ def word_rows(docs: DataFrame, parts: int, lower: bool = False, classes: int = 0
                 counts = np.bincount(of_word * len(distinct) + places, minlength=(classes + 1) * len(distinct))
                 counts = counts.reshape(classes + 1, -1)[1:, order]
                 columns.append(pa.array([packed_numbers(counts[:, cuts[p]:cuts[p + 1]].ravel()) for p in used], pa.binary()))
-            yield pa.RecordBatch.from_arrays(columns, ["part", "block", "places", "words", "counts"][:len(columns)])
-
-    return docs.mapInArrow(run, WORD_SCHEMA + ", counts binary" * bool(classes))
+            if pairs:
+                columns += [pa.nulls(len(used), pa.binary())] * (not classes) + [pa.array([1] * len(used), pa.int32())]
+            names = ["part", "block", "places", "words", "counts", "kind"]
+            yield pa.RecordBatch.from_arrays(columns, names[:len(columns)])
+            if pairs:
+                token = pc.binary_length(distinct).to_numpy() > 0
+                of_doc, number, first, second = word_pairs(sizes, places, token)
+                hashed = np.append(hashed, np.uint64(END_HASH))
+                found = pair_hashes(hashed[first], hashed[second])
+                times = np.bincount(number[(batch.column("class").to_numpy() > 0)[of_doc]], minlength=len(found))
+                part = (found % np.uint64(parts)).astype(np.int64)
+                order = np.argsort(part, kind="stable")
+                cuts = np.searchsorted(part[order], np.arange(parts + 1))
+                used = [p for p in range(parts) if cuts[p] < cuts[p + 1]]
+                some = [order[cuts[p]:cuts[p + 1]] for p in used]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(used, pa.int32()), pa.array([key] * len(used), pa.int64()),
+                     pa.array([packed_numbers(o) for o in some], pa.binary()), pa.array([found[o].tobytes() for o in some], pa.binary()),
+                     pa.array([packed_numbers(times[o]) for o in some], pa.binary()), pa.array([2] * len(used), pa.int32())], names)
+
+    return docs.mapInArrow(run, WORD_SCHEMA + ", counts binary" * bool(classes or pairs) + ", kind int" * pairs)
+
+
+#: Stands for the hash of a text's end, and of what precedes its first word.
+END_HASH = 0x8CB92BA72F3D8DD7
+
+
+def word_pairs(sizes: np.ndarray, places: np.ndarray, token: np.ndarray):
+    """The pairs of neighbours in a block whose texts stand end to end, each closed by an end (place
+    ``len(token)``): the document and the pair's number per step, and each distinct pair's places.  A text's
+    first word follows the end before it.  ``token`` says which distinct words count (the empty word is none)."""
+    kept = token[places] if len(places) else np.zeros(0, dtype=bool)
+    of_doc, end = np.repeat(np.arange(len(sizes)), sizes)[kept], len(token)
+    lengths = np.bincount(of_doc, minlength=len(sizes)) + 1
+    steps = np.full(int(lengths.sum()), end, dtype=np.int64)
+    steps[np.arange(len(of_doc)) + of_doc] = places[kept]
+    coded = pa.array(np.concatenate([[end], steps[:-1]]) * (end + 1) + steps).dictionary_encode()
+    distinct = coded.dictionary.to_numpy()
+    return np.repeat(np.arange(len(sizes)), lengths), coded.indices.to_numpy(), distinct // (end + 1), distinct % (end + 1)
+
+
+def pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """A hash of two hashes, in order."""
+    h = (first ^ (first >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + second
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
 
 
 def runs(lengths: np.ndarray) -> np.ndarray:
