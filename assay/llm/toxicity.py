@@ -1,8 +1,9 @@
 """Severity grades by cumulative-link ordinal regression over sparse text features.
 
 P(grade <= j) = sigmoid(theta_j - w.x): one weight vector shared by all
-ordered thresholds.  Features are the distinct words of a text and their first
-four to seven letters (inflected forms share a stem).  The features worth a weight are chosen
+ordered thresholds.  Features are the distinct words of a text (runs of letters and
+marks, composed) and their first four to seven letters (inflected forms share
+a stem).  The features worth a weight are chosen
 by their association with the labels, counted in Spark; the weights are fitted
 on the driver over a bounded sample of labelled rows; every document is scored.
 The labels say toxic or not; toxic examples are graded by how broad their toxic
@@ -11,6 +12,7 @@ vocabulary is, in thirds.
 
 from __future__ import annotations
 
+import unicodedata
 from collections import Counter
 from dataclasses import dataclass
 
@@ -33,7 +35,6 @@ GRADES = 4
 #: Bytes of text whose features are counted at a time (every distinct word has several).
 COUNTED_BYTES = 1 << 22
 STEMS = (4, 5, 6, 7)
-TRIM = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "…«»“”„’‘¿¡"
 
 SCORE_SCHEMA = "id long, severity double, grade int, p_toxic double"
 
@@ -52,11 +53,13 @@ class Model:
 
 
 def word_features(word: str) -> list[str]:
-    """A lower-case word without punctuation at its ends, and its stems; none for numbers and codes."""
-    core = word.strip(TRIM)
-    if not core or not core.isalpha():
-        return []
-    return [core, *[f"{core[:n]}~" for n in STEMS if len(core) >= n]]
+    """The runs of letters and marks (composed, NFC) in a lower-case word, and their stems; none for numbers."""
+    cores = [word]
+    if not word.isalpha() or not word.isascii():
+        word = unicodedata.normalize("NFC", word)
+        cores = "".join(c if c.isalpha() or unicodedata.category(c)[0] == "M" else " " for c in word).split(" ")
+    return [f for core in dict.fromkeys(cores) if any(map(str.isalpha, core))
+            for f in (core, *[f"{core[:n]}~" for n in STEMS if len(core) >= n])]
 
 
 def _lower(texts: pa.Array) -> pa.Array:
