@@ -19,6 +19,7 @@ from assay.llm.pii import KINDS, find_spans, train
 from assay.llm.simhash import simhash_groups
 from assay.llm.toxicity import fit, score
 from assay.llm.warc import read_archive, write_archive
+from assay.llm.whitening import whiten_embeddings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,6 +89,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten_embeddings(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", components=16).withColumnRenamed("id", "vec_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_kd_topk": op2_kd_topk,
@@ -99,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_line_dedup": op10_line_dedup,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE_SQL: dict[str, str] = {
