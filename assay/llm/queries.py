@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 from assay.llm.bpe import bpe_encode, read_tokenizer
 from assay.llm.common import scratch, ship
 from assay.llm.context_mixing import score_documents
+from assay.llm.hash_ring import shard_documents
 from assay.llm.kd_topk import scaled_vectors, top_k, top_k_sql
 from assay.llm.line_dedup import line_dedup, line_dedup_sql
 from assay.llm.lz_fingerprint import compare_with_edits
 from assay.llm.packing import pack_documents
 from assay.llm.pii import KINDS, find_spans, train
 from assay.llm.simhash import simhash_groups
+from assay.llm.spelling import corpus_words, variant_groups
 from assay.llm.toxicity import fit, score
 from assay.llm.warc import read_archive, write_archive
 from assay.llm.whitening import whiten_embeddings
@@ -89,6 +91,15 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op11_hash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(_table(spark, sf_dir, "documents"), shards=16)
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = corpus_words(_table(spark, sf_dir, "documents"), "doc_id", "text", min_chars=7, min_count=2, slip_every=31)
+    return variant_groups(words, ratio=10)
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten_embeddings(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", components=16).withColumnRenamed("id", "vec_id")
 
@@ -104,6 +115,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_line_dedup": op10_line_dedup,
+    "op11_hash_ring": op11_hash_ring,
+    "op12_spelling": op12_spelling,
     "op13_whitening": op13_whitening,
 }
 
