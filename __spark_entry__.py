@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from assay.functions.exact import exact_sum
 from assay.functions.predicates import quote
 from assay.operators.metrics import Metric, NamedMetric, compute_metrics
 from assay.operators.schema import declared_columns
@@ -48,6 +49,7 @@ from assay.plans.sql_checks import run_sql_checks
 from assay.plans.validator_checks import run_validator_checks
 from assay.sources.derived import load, oracle_sql as derived_sql
 from assay.sources.io import amplify, read_table, read_verdicts, write_comparison, write_metrics, write_verdicts
+from assay.state import TableState, state_report
 
 SF_SMOKE = "/root/testdata/sf0.001"
 AS_OF = "2024-02-01"
@@ -1302,6 +1304,104 @@ def o_integral_text_forms():
                    for c in ("form", "signed")])
 
 
+# --------------------------------------------------------------------------- state that outlives a run
+#: (metric, column, definition, oracle aggregate, digits) over a table that arrives in two parts.
+INCREMENTAL = [
+    ("rows", "*", Metric("size"), "count(*)", 6),
+    ("returned", "l_returnflag", Metric("size", where="l_returnflag = 'R'"), "count(*) FILTER (WHERE l_returnflag = 'R')", 6),
+    ("values", "l_tax", Metric("count", ("nullif(l_tax, 0)",)), "count(nullif(l_tax, 0))", 6),
+    ("least", "l_extendedprice", Metric("min", ("l_extendedprice",)), "min(l_extendedprice)", 6),
+    ("greatest", "l_extendedprice", Metric("max", ("l_extendedprice",), "l_discount > 0"), "max(l_extendedprice) FILTER (WHERE l_discount > 0)", 6),
+    ("wholeSum", "l_suppkey", Metric("sum", ("l_suppkey",)), "sum(l_suppkey)", 6),
+    ("sum", "l_extendedprice", Metric("sum", ("l_extendedprice",)), "sum(CAST(round(l_extendedprice, 2) AS DECIMAL(18, 2)))", 2),
+    ("mean", "l_discount", Metric("avg", ("l_discount",)), "avg(l_discount)", 6),
+    ("deviation", "l_quantity", Metric("stddev_pop", ("l_quantity",)), "stddev_pop(l_quantity)", 6),
+    ("none", "l_tax", Metric("sum", ("l_tax",), "l_quantity < 0"), "sum(l_tax) FILTER (WHERE l_quantity < 0)", 6),
+]
+
+
+def _in_two_parts(spark: SparkSession, df: DataFrame, late: str, update: Callable[[str, str], None]) -> tuple[str, str]:
+    """``df`` as a partitioned table that grows: the rows that are not ``late``, an update, the late ones, an update."""
+    table, state = _scratch(spark, "growing"), _scratch(spark, "state")
+    dated = df.withColumn("part", F.coalesce(F.expr(late), F.lit(False)).cast("int"))
+    for part in (0, 1):
+        dated.where(F.col("part") == part).write.mode("append").partitionBy("part").parquet(table)
+        update(table, state)
+    return table, state
+
+
+def q_incremental_metrics(spark, sf):
+    """States of the first part and of the second, merged."""
+    named = [NamedMetric(n, c, n, m) for n, c, m, _, _ in INCREMENTAL]
+    _, state = _in_two_parts(spark, load(spark, sf, "lineitem"), "l_shipdate >= TIMESTAMP_NTZ '1998-01-01'",
+                             lambda table, path: TableState(spark, path, buckets=8).refresh(table, named))
+    digits = {n: d for n, _, _, _, d in INCREMENTAL}
+    value = F.coalesce(*[F.when(F.col("metric") == n, F.round("value", d)) for n, d in digits.items()])
+    return TableState(spark, state, buckets=8).metrics(named).select("metric", "column", value.alias("value"))
+
+
+def o_incremental_metrics():
+    return _union([_metric_row(n, c, o, "lineitem", d) for n, c, _, o, d in INCREMENTAL])
+
+
+FREQUENCIES = ("distinct", "distinctness", "distinct_keep_nulls", "duplicate_groups", "duplicate_groups_keep_nulls")
+
+
+def q_incremental_frequencies(spark, sf):
+    """Frequency tables of the first part, merged with the second part's counts."""
+    keys = {"k": ("k",), "seg": ("seg",), "k, seg": ("k", "seg"), "all": ("k", "seg", "bal")}
+    named = [NamedMetric(a, c, f"{a} {c}", Metric(a, k)) for c, k in keys.items() for a in FREQUENCIES]
+    named += [NamedMetric(a, "k where bal > 0", f"{a} filtered", Metric(a, ("k",), "bal > 0")) for a in FREQUENCIES]
+    _, state = _in_two_parts(spark, load(spark, sf, "dirty_customer"), "bal > 5000",
+                             lambda table, path: TableState(spark, path, buckets=8).refresh(table, named))
+    return TableState(spark, state, buckets=8).metrics(named).select("metric", "column", "value")
+
+
+def o_incremental_frequencies():
+    parts = []
+    for label, cols, where in (("k", ["k"], "TRUE"), ("seg", ["seg"], "TRUE"), ("k, seg", ["k", "seg"], "TRUE"),
+                               ("all", DIRTY, "TRUE"), ("k where bal > 0", ["k"], "bal > 0")):
+        source = f"(SELECT {', '.join(cols)}, count(*) AS n FROM {_src('dirty_customer')} s WHERE {where} GROUP BY ALL)"
+        some = _not_all_null(cols)
+        for name, value in zip(FREQUENCIES, (f"count(*) FILTER (WHERE {some})", f"sum(1) FILTER (WHERE {some})", "count(*)",
+                                             f"count(*) FILTER (WHERE n > 1 AND {some})", "count(*) FILTER (WHERE n > 1)")):
+            parts.append(f"SELECT {_s(name)} AS metric, {_s(label)} AS \"column\", CAST({value} AS DOUBLE) AS value FROM {source} g")
+    return _union(parts)
+
+
+def q_incremental_report(spark, sf):
+    """The three strategies' verdicts out of stored state, over a table that arrived in two parts."""
+    types = [{"columnName": c, "columnType": t} for c, t in TABLE_COLUMNS["dirty_customer"]]
+    last = {}
+    _in_two_parts(spark, load(spark, sf, "dirty_customer"), "seg = 'AUTOMOBILE'",
+                  lambda table, path: last.update(report=state_report(spark, table, path, types=types, as_of=AS_OF, buckets=8)))
+    return last["report"].verdicts.select("strategy", "checkName", F.round("value", 6).alias("value"), "status")
+
+
+def o_incremental_report():
+    return _union([_verdict_sql("dirty_customer", s) for s in ("sql", "expression", "validator")])
+
+
+def q_order_independent_sums(spark, sf):
+    """Exact sums over three partitionings of the rows: the same doubles, bit for bit."""
+    li = load(spark, sf, "lineitem")
+    prices = {"l_extendedprice": "l_extendedprice", "l_tax": "l_tax", "discounted": "l_extendedprice * (1 - l_discount)"}
+    sums = [(F.lit(c), F.expr(exact_sum(e))) for c, e in prices.items()]
+    once = None
+    for parts in (1, 8, 64):
+        one = li.repartition(parts, "l_orderkey", "l_linenumber").select(F.array(*[F.struct(c.alias("column"), v.alias("value")) for c, v in sums]).alias("s"))
+        once = one if once is None else once.unionByName(one)
+    rows = once.selectExpr("inline(s)")
+    return rows.groupBy("column").agg(F.count_distinct("value").alias("n_values"), F.round(F.max("value"), 2).alias("value"))
+
+
+def o_order_independent_sums():
+    cents = {"l_extendedprice": "CAST(round(l_extendedprice, 2) AS DECIMAL(18, 2))", "l_tax": "CAST(round(l_tax, 2) AS DECIMAL(18, 2))",
+             "discounted": "CAST(round(l_extendedprice, 2) AS DECIMAL(18, 2)) * (1 - CAST(round(l_discount, 2) AS DECIMAL(6, 2)))"}
+    return _union([f"SELECT {_s(c)} AS \"column\", CAST(1 AS BIGINT) AS n_values, ROUND(CAST(sum({e}) AS DOUBLE), 2) AS value FROM lineitem"
+                   for c, e in cents.items()])
+
+
 # --------------------------------------------------------------------------- contract
 _QUERIES: dict[str, tuple[Callable, Callable | None]] = {
     "row_counts": (q_row_counts, o_row_counts),
@@ -1355,6 +1455,10 @@ _QUERIES: dict[str, tuple[Callable, Callable | None]] = {
     "custom_validator": (q_custom_validator, o_custom_validator),
     "custom_sql_check": (q_custom_sql_check, o_custom_sql_check),
     "integral_text_forms": (q_integral_text_forms, o_integral_text_forms),
+    "incremental_metrics": (q_incremental_metrics, o_incremental_metrics),
+    "incremental_frequencies": (q_incremental_frequencies, o_incremental_frequencies),
+    "incremental_report": (q_incremental_report, o_incremental_report),
+    "order_independent_sums": (q_order_independent_sums, o_order_independent_sums),
 }
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assay.functions.predicates import quote
-from assay.functions.thresholds import ConfigError, check_operator, status, status_sql
+from assay.functions.thresholds import OPERATORS, ConfigError, check_operator
 from assay.operators.metrics import (
     DEFAULT_MAX_METRICS_PER_PASS,
     NamedMetric,
@@ -82,27 +82,26 @@ def _value_column(plan: CheckPlan) -> Column:
     return F.expr(plan.value)
 
 
-def _verdict_struct_sql(p: CheckPlan, err: str | None, with_strategy: bool) -> str:
-    head = f"'strategy', {sql_literal(p.strategy)}, " if with_strategy else ""
-    if err is not None:
-        value, status_, error = "CAST(NULL AS DOUBLE)", "false", sql_literal(err)
-    else:
-        value = value_sql(p.value)
-        status_ = status_sql(p.value, p.operator, p.threshold)
-        error = f"CASE WHEN {value} IS NULL THEN 'no value' END"
-    return (f"named_struct({head}'checkName', {sql_literal(p.name)}, 'value', {value}, "
-            f"'status', {status_}, 'error', {error})")
+#: Checks that one stage of generated code evaluates: Spark compiles a method of at most 64 KB.
+CHECKS_PER_ARRAY = 40
 
 
-def _verdict_struct(p: CheckPlan, value: Column | None, err: str | None, with_strategy: bool) -> Column:
-    if err is not None:
-        value, err_col = F.lit(None).cast("double"), F.lit(err)
-    else:
-        err_col = F.when(value.isNull(), F.lit("no value"))
-    head = [F.lit(p.strategy).alias("strategy")] if with_strategy else []
-    return F.struct(*head, F.lit(p.name).alias("checkName"), value.alias("value"),
-                    status(value, p.operator, p.threshold).alias("status"),
-                    err_col.cast("string").alias("error"))
+def _check_struct_sql(p: CheckPlan) -> str:
+    """The check and its value, written once; the verdict is taken from the row."""
+    return (f"named_struct('strategy', {sql_literal(p.strategy)}, 'checkName', {sql_literal(p.name)}, 'value', {value_sql(p.value)}, "
+            f"'operator', {sql_literal(p.operator)}, 'threshold', CAST('{float(p.threshold)!r}' AS DOUBLE))")
+
+
+def _check_struct(p: CheckPlan, value: Column) -> Column:
+    return F.struct(F.lit(p.strategy).alias("strategy"), F.lit(p.name).alias("checkName"), value.alias("value"),
+                    F.lit(p.operator).alias("operator"), F.lit(float(p.threshold)).alias("threshold"))
+
+
+def _verdict_rows(checks: DataFrame, head: list[str]) -> DataFrame:
+    """Verdicts of ``checkName, value, operator, threshold`` rows: a null value fails."""
+    passed = " ".join(["CASE operator", *[f"WHEN '{op}' THEN value {'=' if op == '==' else op} threshold" for op in OPERATORS], "END"])
+    return checks.selectExpr(*head, "checkName", "value", f"coalesce({passed}, false) AS status",
+                             "CASE WHEN value IS NULL THEN 'no value' END AS error")
 
 
 def evaluate(
@@ -129,7 +128,18 @@ def evaluate(
         metrics = compute_metrics_isolated(df, named, max_metrics_per_pass=max_metrics_per_pass)
     else:
         metrics = compute_metrics(df, named, max_metrics_per_pass=max_metrics_per_pass)
+    return metrics, verdicts_of(metrics, named, plans, with_strategy)
+
+
+def verdicts_of(metrics: DataFrame, named: list[NamedMetric], plans: list[CheckPlan], with_strategy: bool = False) -> DataFrame:
+    """One verdict row per plan (see :func:`evaluate`) over a metrics table that holds ``named``, wherever its
+    values come from (a pass over the data, stored states)."""
+    _reject_duplicate_names(plans)
+    for p in plans:
+        check_operator(p.operator)
+    spark = metrics.sparkSession
     wide = wide_metrics(metrics, [nm.key for nm in named])
+    head = ["strategy"] if with_strategy else []
 
     # Checks whose value is SQL text are evaluated in one SQL projection (one JVM
     # call); checks with a Python value builder go through the Column API.
@@ -149,37 +159,32 @@ def evaluate(
         return _analysable(lambda: wide.selectExpr(value_sql(p.value)))
 
     live = [i for i, e in enumerate(errors) if e is None]
-    text = [i for i in live if not callable(plans[i].value)]
-    cols = [i for i in live if callable(plans[i].value)]
 
     def build():
-        parts = []
-        if text:
-            parts.append(wide.selectExpr("inline(array(" + ", ".join(
-                _verdict_struct_sql(plans[i], None, with_strategy) for i in text) + "))"))
-        if cols:
-            parts.append(wide.select(F.inline(F.array(*[
-                _verdict_struct(plans[i], values[i], None, with_strategy) for i in cols]))))
-        return parts
-
-    built = None
+        """The checks' rows out of the one wide row: arrays of checks are exploded one after the other, so
+        the metrics are computed once and no generated method holds more than a few checks."""
+        text = [i for i in live if not callable(plans[i].value)]
+        cols = [i for i in live if callable(plans[i].value)]
+        arrays = [F.expr("array(" + ", ".join(_check_struct_sql(plans[i]) for i in text[a:a + CHECKS_PER_ARRAY]) + ")")
+                  for a in range(0, len(text), CHECKS_PER_ARRAY)]
+        arrays += [F.array(*[_check_struct(plans[i], values[i]) for i in cols[a:a + CHECKS_PER_ARRAY]])
+                   for a in range(0, len(cols), CHECKS_PER_ARRAY)]
+        return _verdict_rows(wide.select(F.explode(F.array(*arrays)).alias("c")).selectExpr("inline(c)"), head)
+
+    parts = []
     if live:
         built, err = _build_or_error(build)
         if err is not None:  # find the checks that do not analyse, then rebuild
             for i in live:
                 errors[i] = probe(i)
             live = [i for i, e in enumerate(errors) if e is None]
-            text = [i for i in live if not callable(plans[i].value)]
-            cols = [i for i in live if callable(plans[i].value)]
             built = build() if live else None
-    parts = list(built or [])
-    failed = [i for i, e in enumerate(errors) if e is not None]
+        parts += [built] if built is not None else []
+    failed = [(p.strategy, p.name, e) for p, e in zip(plans, errors) if e is not None]
     if failed:
-        parts.append(df.sparkSession.range(1).selectExpr("inline(array(" + ", ".join(
-            _verdict_struct_sql(plans[i], errors[i], with_strategy) for i in failed) + "))"))
-    rows = parts
-    if not rows:
-        schema = ("strategy string, " if with_strategy else "") + VERDICT_SCHEMA
-        return metrics, df.sparkSession.createDataFrame([], schema)
-    verdicts = reduce(DataFrame.unionByName, rows)
-    return metrics, verdicts
+        parts.append(spark.range(1).selectExpr("inline(array(" + ", ".join(
+            f"named_struct('strategy', {sql_literal(s)}, 'checkName', {sql_literal(n)}, 'error', {sql_literal(e)})" for s, n, e in failed) + "))")
+            .selectExpr(*head, "checkName", "CAST(NULL AS DOUBLE) AS value", "false AS status", "error"))
+    if not parts:
+        return spark.createDataFrame([], ("strategy string, " if with_strategy else "") + VERDICT_SCHEMA)
+    return reduce(DataFrame.unionByName, parts)
