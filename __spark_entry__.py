@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from assay.functions.exact import exact_sum
 from assay.functions.predicates import quote
+from assay.operators.footers import table_metrics
 from assay.operators.metrics import Metric, NamedMetric, compute_metrics
 from assay.operators.schema import declared_columns
 from assay.plans.catalogue import (
@@ -45,6 +46,7 @@ from assay.plans.catalogue import (
 from assay.plans.evaluate import CheckPlan, evaluate
 from assay.plans.expression_checks import run_expression_checks
 from assay.plans.report import check_report
+from assay.plans.source_report import source_report
 from assay.plans.sql_checks import run_sql_checks
 from assay.plans.validator_checks import run_validator_checks
 from assay.sources.derived import load, oracle_sql as derived_sql
@@ -1170,12 +1172,17 @@ def o_sql_runtime_failure_isolated():
 
 def q_bad_config_isolated(spark, sf):
     """Unknown definitions and aggregates, and validators that raise, fail their own checks."""
-    from assay.plans.validator_checks import validator
+    from assay.plans.validator_checks import own_validators, validator
 
-    @validator("FailingValidator")
-    def _failing(column, ctx):
-        raise LookupError("this validator cannot be planned")
+    with own_validators():
+        @validator("FailingValidator")
+        def _failing(column, ctx):
+            raise LookupError("this validator cannot be planned")
 
+        return _bad_config(spark, sf)
+
+
+def _bad_config(spark, sf):
     d = load(spark, sf, "dirty_customer")
     config = {"metrics": [{"metricName": "n", "definitionName": "count rows", "metricType": "Dataset", "types": ["any"]},
                           {"metricName": "unknown", "definitionName": "count of nothing", "metricType": "Dataset", "types": ["any"]},
@@ -1259,15 +1266,16 @@ def q_comparison_sink_roundtrip(spark, sf):
 
 def q_custom_validator(spark, sf):
     """A validator of the user: the longest text of each text column."""
-    from assay.plans.validator_checks import Uses, validator
-
-    @validator("LongestTextValidator")
-    def _longest(column, ctx):
-        return Uses({"longest": Metric("aggregate", (f"max(length({quote(column.name)}))",))})
+    from assay.plans.validator_checks import Uses, own_validators, validator
 
     config = {"validators": [{"name": "LongestTextValidator", "description": "longest ${column}", "operator": "<=",
                               "threshold": 20_000, "types": ["String"]}]}
-    return run_validator_checks(load(spark, sf, "documents"), config).select("checkName", "value", "status")
+    with own_validators():
+        @validator("LongestTextValidator")
+        def _longest(column, ctx):
+            return Uses({"longest": Metric("aggregate", (f"max(length({quote(column.name)}))",))})
+
+        return run_validator_checks(load(spark, sf, "documents"), config).select("checkName", "value", "status")
 
 
 def o_custom_validator():
@@ -1402,6 +1410,123 @@ def o_order_independent_sums():
                    for c, e in cents.items()])
 
 
+# --------------------------------------------------------------------------- sources by their path
+def q_footer_metrics(spark, sf):
+    """Counts, null counts, minima and maxima out of the files' footers; a sum beside them out of the data."""
+    out = []
+    for table, cols in (("lineitem", LINEITEM_NUMERIC), ("customer", CUSTOMER_NUMERIC)):
+        named = [NamedMetric("rows", table, f"rows {table}", Metric("size"))]
+        for c in cols:
+            named += [NamedMetric(n, c, f"{n} {c}", m) for n, m in (
+                ("nulls", Metric("size", where=f"{quote(c)} IS NULL")), ("values", Metric("count", (quote(c),))),
+                ("least", Metric("min", (quote(c),))), ("greatest", Metric("max", (quote(c),))))]
+        named.append(NamedMetric("keys", table, f"keys {table}", Metric("sum", (quote(cols[0]),))))
+        out.append(table_metrics(spark, f"{sf}/{table}.parquet", named).select("metric", "column", F.round("value", 6).alias("value")))
+    return out[0].unionByName(out[1])
+
+
+def o_footer_metrics():
+    parts = []
+    for table, cols in (("lineitem", LINEITEM_NUMERIC), ("customer", CUSTOMER_NUMERIC)):
+        parts += [_metric_row("rows", table, "count(*)", table), _metric_row("keys", table, f"sum({_q(cols[0])})", table)]
+        for c in cols:
+            parts += [_metric_row(n, c, e, table) for n, e in (
+                ("nulls", f"count(*) FILTER (WHERE {_q(c)} IS NULL)"), ("values", f"count({_q(c)})"),
+                ("least", f"min({_q(c)})"), ("greatest", f"max({_q(c)})"))]
+    return _union(parts)
+
+
+def q_unreadable_source_verdicts(spark, sf):
+    """A source that is there, one that is missing, and one whose files are of another format (found out when
+    it is opened, and, with a given schema, when its rows are read)."""
+    orders = load(spark, sf, "orders")
+    text = _scratch(spark, "not-parquet")
+    orders.select(F.to_csv(F.struct(*orders.columns)).alias("value")).write.text(text)
+    types = [{"columnName": c, "columnType": t} for c, t in TABLE_COLUMNS["orders"]]
+    cases = [("readable", f"{sf}/orders.parquet", None), ("missing", f"{text}-missing", None), ("corrupt", text, None),
+             ("corrupt rows", text, orders.schema)]
+    out = None
+    for case, path, schema in cases:
+        v = source_report(spark, path, types=types, as_of=AS_OF, schema=schema).verdicts
+        v = v.select(F.lit(case).alias("case"), "strategy", "checkName", "status",
+                     F.coalesce(F.col("error").startswith("cannot read"), F.lit(False)).alias("unread"))
+        out = v if out is None else out.unionByName(v)
+    return out
+
+
+def o_unreadable_source_verdicts():
+    every = _union([_verdict_sql("orders", s) for s in ("sql", "expression", "validator")])
+    rows = [f"SELECT 'readable' AS \"case\", strategy, checkName, status, false AS unread FROM ({every}) v"]
+    rows += [f"SELECT {_s(case)}, strategy, checkName, false, true FROM ({every}) v" for case in ("missing", "corrupt", "corrupt rows")]
+    return _union(rows)
+
+
+def q_dataframe_validator(spark, sf):
+    """Validators over the DataFrame: one with a join inside, one that computes its own number, and two that fail alone."""
+    from assay.plans.validator_checks import dataframe_validator, own_validators
+
+    orders = load(spark, sf, "orders")
+    with own_validators():
+        @dataframe_validator("WithoutOrders")
+        def _without(df, column, ctx):
+            return df.join(orders, df["c_custkey"] == orders["o_custkey"], "left_anti").select(F.count(F.lit(1)))
+
+        @dataframe_validator("WidestRange")
+        def _widest(df, column, ctx):
+            return df.groupBy("c_mktsegment").agg((F.max(column.name) - F.min(column.name)).alias("r")).agg(F.max("r"))
+
+        @dataframe_validator("Segments")
+        def _segments(df, column, ctx):
+            return df.select("c_mktsegment").distinct().count()
+
+        @dataframe_validator("Raising")
+        def _raising(df, column, ctx):
+            return df.select("no_such_column")
+
+        @dataframe_validator("ManyRows")
+        def _many(df, column, ctx):
+            return df.select("c_custkey")
+
+        config = {"validators": [
+            {"name": "WithoutOrders", "description": "customers without orders", "operator": "=", "threshold": 0, "types": []},
+            {"name": "WidestRange", "description": "range of ${column}", "operator": ">", "threshold": 0, "types": ["Double"]},
+            {"name": "Segments", "description": "segments", "operator": "=", "threshold": 5, "types": []},
+            {"name": "Raising", "description": "raises", "operator": "=", "threshold": 0, "types": []},
+            {"name": "ManyRows", "description": "many rows", "operator": ">", "threshold": 0, "types": []},
+            {"name": "CountRowsValidator", "description": "rows", "operator": ">", "threshold": 0, "types": []}]}
+        v = run_validator_checks(load(spark, sf, "customer"), config)
+    return v.select("checkName", F.round("value", 6).alias("value"), "status", F.col("error").isNotNull().alias("failed"))
+
+
+def o_dataframe_validator():
+    rows = [("customers without orders", "(SELECT count(*) FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders))", "= 0"),
+            ("range of c_acctbal", "(SELECT max(r) FROM (SELECT max(c_acctbal) - min(c_acctbal) AS r FROM customer GROUP BY c_mktsegment))", "> 0"),
+            ("segments", "(SELECT count(DISTINCT c_mktsegment) FROM customer)", "= 5"), ("rows", "(SELECT count(*) FROM customer)", "> 0")]
+    return _union([f"SELECT {_s(n)} AS checkName, ROUND(CAST({v} AS DOUBLE), 6) AS value, {v} {t} AS status, false AS failed" for n, v, t in rows]
+                  + [f"SELECT {_s(n)}, CAST(NULL AS DOUBLE), false, true" for n in ("raises", "many rows")])
+
+
+def q_clashing_keys(spark, sf):
+    """Metric ``a`` of column ``b_c`` and metric ``a_b`` of column ``c`` have one joined key: each check gets its own
+    metric, and an expression that names the joined key fails alone."""
+    df = load(spark, sf, "customer").selectExpr("c_acctbal AS b_c", "c_nationkey AS c")
+    config = {"metrics": [{"metricName": "a", "definitionName": "count zeros", "metricType": "Column", "types": ["any"]},
+                          {"metricName": "a_b", "definitionName": "count uniques", "metricType": "Column", "types": ["any"]}],
+              "checks": [{"checkName": "zeros ${column}", "expression": "a_${column}", "operator": ">=", "threshold": 0, "types": ["any"]},
+                         {"checkName": "values ${column}", "expression": "a_b_${column}", "operator": ">", "threshold": 10, "types": ["any"]},
+                         {"checkName": "either", "expression": "a_b_c", "operator": ">", "threshold": 0, "types": []},
+                         {"checkName": "plain", "expression": "a_c + 0", "operator": ">", "threshold": 0, "types": []}]}
+    return run_expression_checks(df, config).select("checkName", "value", "status", F.col("error").isNotNull().alias("failed"))
+
+
+def o_clashing_keys():
+    values = [("zeros b_c", "count(*) FILTER (WHERE c_acctbal = 0)", ">= 0"), ("zeros c", "count(*) FILTER (WHERE c_nationkey = 0)", ">= 0"),
+              ("values b_c", "count(DISTINCT c_acctbal)", "> 10"), ("values c", "count(DISTINCT c_nationkey)", "> 10"),
+              ("plain", "count(*) FILTER (WHERE c_nationkey = 0)", "> 0")]
+    return _union([f"SELECT {_s(n)} AS checkName, CAST({v} AS DOUBLE) AS value, {v} {t} AS status, false AS failed FROM customer" for n, v, t in values]
+                  + ["SELECT 'either', CAST(NULL AS DOUBLE), false, true"])
+
+
 # --------------------------------------------------------------------------- contract
 _QUERIES: dict[str, tuple[Callable, Callable | None]] = {
     "row_counts": (q_row_counts, o_row_counts),
@@ -1459,6 +1584,10 @@ _QUERIES: dict[str, tuple[Callable, Callable | None]] = {
     "incremental_frequencies": (q_incremental_frequencies, o_incremental_frequencies),
     "incremental_report": (q_incremental_report, o_incremental_report),
     "order_independent_sums": (q_order_independent_sums, o_order_independent_sums),
+    "footer_metrics": (q_footer_metrics, o_footer_metrics),
+    "unreadable_source_verdicts": (q_unreadable_source_verdicts, o_unreadable_source_verdicts),
+    "dataframe_validator": (q_dataframe_validator, o_dataframe_validator),
+    "clashing_keys": (q_clashing_keys, o_clashing_keys),
 }
 
 

@@ -16,7 +16,9 @@ from assay.operators import (
 )
 from assay.plans import (
     Uses,
+    dataframe_validator,
     expression_report,
+    load_validators,
     run_expression_checks,
     run_sql_checks,
     run_validator_checks,
@@ -24,9 +26,12 @@ from assay.plans import (
     validator_report,
 )
 from assay.plans.report import Report, check_report
+from assay.plans.source_report import source_report
+from assay.state import TableState, state_report
 
 __all__ = [
-    "Metric", "NamedMetric", "Report", "Uses", "align_verdicts", "check_report", "compare_verdicts",
-    "compute_metrics", "declared_columns", "expression_report", "run_expression_checks", "run_sql_checks",
-    "run_validator_checks", "validator", "validator_report", "verdict_disagreements",
+    "Metric", "NamedMetric", "Report", "TableState", "Uses", "align_verdicts", "check_report", "compare_verdicts",
+    "compute_metrics", "dataframe_validator", "declared_columns", "expression_report", "load_validators",
+    "run_expression_checks", "run_sql_checks", "run_validator_checks", "source_report", "state_report", "validator",
+    "validator_report", "verdict_disagreements",
 ]

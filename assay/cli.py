@@ -23,21 +23,26 @@ def _session(args) -> SparkSession:
 def _cmd_run(args) -> None:
     from assay.operators.schema import load_declared_schema
     from assay.plans.catalogue import load_config
-    from assay.plans.report import STRATEGIES, check_report
+    from assay.plans.report import STRATEGIES
+    from assay.plans.source_report import source_report
+    from assay.plans.validator_checks import load_validators
     from assay.session import job_label
-    from assay.sources.io import read_table, write_comparison, write_metrics, write_verdicts
+    from assay.sources.io import write_comparison, write_metrics, write_verdicts
+    from assay.state import state_report
 
     spark = _session(args)
-    df = read_table(spark, args.input, args.format)
+    for module in args.validators or []:
+        load_validators(module)
     types = load_declared_schema(args.schema) if args.schema else None
     strategies = STRATEGIES if args.strategy == "all" else (args.strategy,)
-    report = check_report(
-        df, types=types, as_of=args.as_of, strategies=strategies,
-        expression_config=load_config(args.expression_config) if args.expression_config else None,
-        validator_config=load_config(args.validator_config) if args.validator_config else None,
-        sql_config=load_config(args.sql_config) if args.sql_config else None,
-        stage_input=args.stage, isolate_runtime_errors=True, ansi_sql=not args.legacy_sql,
-    )
+    config = {f"{k}_config": load_config(path) if path else None for k, path in
+              (("expression", args.expression_config), ("validator", args.validator_config), ("sql", args.sql_config))}
+    given = {"fmt": args.format, "types": types, "as_of": args.as_of, "strategies": strategies, "ansi_sql": not args.legacy_sql, **config}
+    with job_label(spark, f"assay checks on {args.input}"):
+        if args.state:
+            report = state_report(spark, args.input, args.state, **given)
+        else:
+            report = source_report(spark, args.input, stage_input=args.stage, **given)
     out = args.output.rstrip("/")
     with job_label(spark, f"assay checks on {args.input}"):
         report = report.materialize()  # one pass over the input for all outputs below
@@ -73,6 +78,8 @@ def main(argv=None) -> None:
     r.add_argument("--sql-config")
     r.add_argument("--as-of", help="reference date for freshness (default: today)")
     r.add_argument("--stage", action="store_true", help="stage the input as parquet under spark.checkpoint.dir")
+    r.add_argument("--state", help="folder of stored metric state: only new partitions of the input are read")
+    r.add_argument("--validators", action="append", metavar="MODULE", help="module (name or .py file) that registers validators; repeatable")
     r.add_argument("--legacy-sql", action="store_true", help="analyse the SQL templates without ANSI rules")
     r.add_argument("--output", required=True)
     r.set_defaults(fn=_cmd_run)

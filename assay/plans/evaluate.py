@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from assay.functions.predicates import quote
 from assay.functions.thresholds import OPERATORS, ConfigError, check_operator
 from assay.operators.metrics import (
+    DATA_ERRORS,
     DEFAULT_MAX_METRICS_PER_PASS,
     NamedMetric,
     _analysable,
@@ -50,6 +51,7 @@ class CheckPlan:
     threshold: float
     strategy: str = ""
     error: str | None = None          # set when the check could not be built
+    frame: DataFrame | None = None    # a check over a one-row, one-column DataFrame instead of metrics
 
 
 def _reject_duplicate_names(plans: list[CheckPlan]) -> None:
@@ -104,12 +106,38 @@ def _verdict_rows(checks: DataFrame, head: list[str]) -> DataFrame:
                              "CASE WHEN value IS NULL THEN 'no value' END AS error")
 
 
+def _frame_rows(p: CheckPlan) -> DataFrame:
+    """The frame's only column as ``value``, one row whatever the frame has: ``value, n`` rows."""
+    if len(p.frame.columns) != 1:
+        raise ConfigError(f"expected one column, got {len(p.frame.columns)}")
+    rows = p.frame.toDF("v").selectExpr("first(try_cast(v AS DOUBLE)) AS value", "count(1) AS n")
+    rows.schema  # noqa: B018  (analysed now, so that a bad frame fails here)
+    return rows
+
+
+def _frame_verdicts(p: CheckPlan, rows: DataFrame, head: list[str], isolate: bool) -> DataFrame:
+    if isolate:  # run it at once, so that an error of its data fails it alone
+        try:
+            rows = rows.sparkSession.createDataFrame([tuple(rows.first())], rows.schema)
+        except DATA_ERRORS as exc:
+            rows = rows.sparkSession.createDataFrame([(None, 1, _error_text(exc))], "value double, n long, failed string")
+    failed = "failed" if "failed" in rows.columns else "CAST(NULL AS STRING)"
+    check = (f"named_struct('strategy', {sql_literal(p.strategy)}, 'checkName', {sql_literal(p.name)}, "
+             f"'value', CASE WHEN n = 1 THEN value END, 'operator', {sql_literal(p.operator)}, "
+             f"'threshold', CAST('{float(p.threshold)!r}' AS DOUBLE), 'n', n, 'failed', {failed})")
+    checks = rows.selectExpr(f"inline(array({check}))")
+    own = "coalesce(failed, CASE WHEN n <> 1 THEN concat('expected exactly one row, got ', CAST(n AS STRING)) END)"
+    verdicts = _verdict_rows(checks, [*head, "n", "failed"])
+    return verdicts.withColumn("error", F.expr(f"coalesce({own}, error)")).drop("n", "failed")
+
+
 def evaluate(
     df: DataFrame,
     plans: list[CheckPlan],
     max_metrics_per_pass: int = DEFAULT_MAX_METRICS_PER_PASS,
     with_strategy: bool = False,
     isolate_runtime_errors: bool = False,
+    compute: Callable[[DataFrame, list[NamedMetric], int], DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Return ``(metrics, verdicts)`` for ``plans`` over ``df`` (both lazy).
 
@@ -119,21 +147,20 @@ def evaluate(
     strategies apart, so several strategies share one metric pass.
     ``isolate_runtime_errors`` computes the metrics eagerly and isolates
     definitions that fail while running (see ``compute_metrics_isolated``).
+    ``compute`` replaces the function that computes the metrics.
     """
     _reject_duplicate_names(plans)
-    for p in plans:
-        check_operator(p.operator)
     named = metrics_of(plans)
-    if isolate_runtime_errors:
-        metrics = compute_metrics_isolated(df, named, max_metrics_per_pass=max_metrics_per_pass)
-    else:
-        metrics = compute_metrics(df, named, max_metrics_per_pass=max_metrics_per_pass)
-    return metrics, verdicts_of(metrics, named, plans, with_strategy)
+    compute = compute or (compute_metrics_isolated if isolate_runtime_errors else compute_metrics)
+    metrics = compute(df, named, max_metrics_per_pass)
+    return metrics, verdicts_of(metrics, named, plans, with_strategy, isolate_runtime_errors)
 
 
-def verdicts_of(metrics: DataFrame, named: list[NamedMetric], plans: list[CheckPlan], with_strategy: bool = False) -> DataFrame:
+def verdicts_of(metrics: DataFrame, named: list[NamedMetric], plans: list[CheckPlan], with_strategy: bool = False,
+                isolate_runtime_errors: bool = False) -> DataFrame:
     """One verdict row per plan (see :func:`evaluate`) over a metrics table that holds ``named``, wherever its
-    values come from (a pass over the data, stored states)."""
+    values come from (a pass over the data, stored states).  Plans with a ``frame`` take their value from it:
+    they join the verdicts as sub-plans, each isolated like any other check."""
     _reject_duplicate_names(plans)
     for p in plans:
         check_operator(p.operator)
@@ -145,8 +172,12 @@ def verdicts_of(metrics: DataFrame, named: list[NamedMetric], plans: list[CheckP
     # call); checks with a Python value builder go through the Column API.
     errors: list[str | None] = [p.error for p in plans]
     values: list[Column | None] = [None] * len(plans)
+    framed = []
     for i, p in enumerate(plans):
-        if errors[i] is None and callable(p.value):
+        if errors[i] is None and p.frame is not None:
+            rows, errors[i] = _build_or_error(lambda p=p: _frame_rows(p))
+            framed += [(p, rows)] if errors[i] is None else []
+        elif errors[i] is None and callable(p.value):
             try:
                 values[i] = _value_column(p).try_cast("double")
             except Exception as exc:  # a failing Python value builder
@@ -158,7 +189,7 @@ def verdicts_of(metrics: DataFrame, named: list[NamedMetric], plans: list[CheckP
             return _analysable(lambda: wide.select(values[i]))
         return _analysable(lambda: wide.selectExpr(value_sql(p.value)))
 
-    live = [i for i, e in enumerate(errors) if e is None]
+    live = [i for i, e in enumerate(errors) if e is None and plans[i].frame is None]
 
     def build():
         """The checks' rows out of the one wide row: arrays of checks are exploded one after the other, so
@@ -177,9 +208,10 @@ def verdicts_of(metrics: DataFrame, named: list[NamedMetric], plans: list[CheckP
         if err is not None:  # find the checks that do not analyse, then rebuild
             for i in live:
                 errors[i] = probe(i)
-            live = [i for i, e in enumerate(errors) if e is None]
+            live = [i for i in live if errors[i] is None]
             built = build() if live else None
         parts += [built] if built is not None else []
+    parts += [_frame_verdicts(p, rows, head, isolate_runtime_errors) for p, rows in framed]
     failed = [(p.strategy, p.name, e) for p, e in zip(plans, errors) if e is not None]
     if failed:
         parts.append(spark.range(1).selectExpr("inline(array(" + ", ".join(

@@ -11,6 +11,7 @@ during expansion.  Null handling: distinct counts *drop* nulls here.
 from __future__ import annotations
 
 import re
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 
@@ -53,16 +54,29 @@ def expand_metrics(config: dict, columns: list[DeclaredColumn], as_of=None) -> l
                 if e.get(k):
                     e[k] = e[k].replace(COLUMN_PLACEHOLDER, quote(col.name))
             out.append(NamedMetric(name, col.name, f"{name}_{col.name}", _metric_for(e, [col], as_of)))
-    return out
+    return _distinct_keys(out)
+
+
+def _distinct_keys(named: list[NamedMetric]) -> list[NamedMetric]:
+    """Keys that different metrics would share (``a`` of column ``b_c``, ``a_b`` of column ``c``) become
+    ``name[column]``; the joined key then names neither."""
+    metrics: dict[str, set] = {}
+    for nm in named:
+        metrics.setdefault(nm.key, set()).add(nm.metric)
+    return [replace(nm, key=f"{nm.name}[{nm.column}]") if len(metrics[nm.key]) > 1 else nm for nm in named]
 
 
-def _bind_expression(expression: str, column: str) -> str:
+def _bind_expression(expression: str, column: str, keys: dict[tuple[str, str], str]) -> str:
     """Substitute ``${column}`` inside metric keys, back-quoting the whole key."""
-    return _KEY_TOKEN.sub(lambda m: quote(m.group(1) + column + m.group(2)), expression)
+    def key(m):
+        name, joined = m.group(1).removesuffix("_"), m.group(1) + column + m.group(2)
+        return quote(keys.get((name, column), joined) if not m.group(2) else joined)
+    return _KEY_TOKEN.sub(key, expression)
 
 
-def expand_checks(config: dict, columns: list[DeclaredColumn]) -> list[tuple[str, str, str, float]]:
+def expand_checks(config: dict, columns: list[DeclaredColumn], metrics: list[NamedMetric] = ()) -> list[tuple[str, str, str, float]]:
     """``(checkName, expression, operator, threshold)`` per check and matching column."""
+    keys = {(nm.name, nm.column): nm.key for nm in metrics if nm.key.endswith("]")}
     out = []
     for entry in config.get("checks", []):
         types = entry.get("types", [])
@@ -72,7 +86,7 @@ def expand_checks(config: dict, columns: list[DeclaredColumn]) -> list[tuple[str
             continue
         for col in matching_columns(columns, types):
             out.append((entry["checkName"].replace(COLUMN_PLACEHOLDER, col.name),
-                        _bind_expression(entry["expression"], col.name), op, thr))
+                        _bind_expression(entry["expression"], col.name, keys), op, thr))
     return out
 
 
@@ -81,7 +95,7 @@ def plan_expression_checks(df: DataFrame, config: dict | None = None, types=None
     columns = declared_columns(df, types)
     metrics = expand_metrics(config, columns, as_of)
     plans = []
-    for name, expression, op, thr in expand_checks(config, columns):
+    for name, expression, op, thr in expand_checks(config, columns, metrics):
         # Every check sees every metric: the expression may reference any key.
         plans.append(CheckPlan(name, metrics, expression, op, thr, STRATEGY))
     return plans

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from assay.operators.compare import pivot_verdicts, verdict_disagreements
 from assay.operators.metrics import DEFAULT_MAX_METRICS_PER_PASS
-from assay.plans.evaluate import evaluate
+from assay.plans.evaluate import CheckPlan, evaluate
 from assay.plans.expression_checks import STRATEGY as EXPRESSION
 from assay.plans.expression_checks import plan_expression_checks
 from assay.plans.sql_checks import STRATEGY as SQL
@@ -58,6 +58,28 @@ class Report:
         return Report(kept.where("m IS NOT NULL").select("m.*"), verdicts, aligned)
 
 
+def plan_checks(df: DataFrame, types=None, as_of=None, expression_config: dict | None = None, validator_config: dict | None = None,
+                sql_config: dict | None = None, strategies=STRATEGIES) -> tuple[list[CheckPlan], list[tuple]]:
+    """The checks of every requested strategy as plans over metrics, and the user's SQL texts."""
+    plans, texts = [], []
+    if EXPRESSION in strategies:
+        plans += plan_expression_checks(df, expression_config, types, as_of)
+    if VALIDATOR in strategies:
+        plans += plan_validator_checks(df, validator_config, types, as_of)
+    if SQL in strategies:
+        built_in, texts = plan_sql_checks(df, sql_config, types, as_of)
+        plans += built_in
+    return plans, texts
+
+
+def report_of(metrics: DataFrame, verdicts: DataFrame, texts: DataFrame | None, strategies=STRATEGIES) -> Report:
+    """The report of a metrics table, the plans' verdicts and those of the user's SQL texts."""
+    if texts is not None:
+        verdicts = verdicts.unionByName(texts.select(F.lit(SQL).alias("strategy"), *texts.columns))
+    labels = [s for s in STRATEGIES if s in strategies]
+    return Report(metrics, verdicts, pivot_verdicts(verdicts.select("strategy", "checkName", "status"), labels))
+
+
 def check_report(
     df: DataFrame,
     types=None,
@@ -70,6 +92,7 @@ def check_report(
     stage_input: bool = False,
     isolate_runtime_errors: bool = False,
     ansi_sql: bool | None = None,
+    compute=None,
 ) -> Report:
     """Run every requested strategy's checks over ``df`` and align the verdicts.
 
@@ -78,23 +101,12 @@ def check_report(
     row-oriented sources such as CSV, which every scan would re-parse.
     ``isolate_runtime_errors`` runs the checks at once, so that one that fails
     on the data fails alone; ``ansi_sql=False`` analyses the user's SQL texts
-    without ANSI rules.
+    without ANSI rules; ``compute`` replaces the function that computes the
+    metrics (see ``evaluate``).
     """
     if stage_input:
         df = stage(df)
-    plans, texts = [], []
-    if EXPRESSION in strategies:
-        plans += plan_expression_checks(df, expression_config, types, as_of)
-    if VALIDATOR in strategies:
-        plans += plan_validator_checks(df, validator_config, types, as_of)
-    if SQL in strategies:
-        built_in, texts = plan_sql_checks(df, sql_config, types, as_of)
-        plans += built_in
+    plans, texts = plan_checks(df, types, as_of, expression_config, validator_config, sql_config, strategies)
     metrics, verdicts = evaluate(df, plans, max_metrics_per_pass, with_strategy=True,
-                                 isolate_runtime_errors=isolate_runtime_errors)
-    if texts:
-        own = run_templates(df, texts, isolate_runtime_errors, ansi_sql)
-        verdicts = verdicts.unionByName(own.select(F.lit(SQL).alias("strategy"), *own.columns))
-    labels = [s for s in STRATEGIES if s in strategies]
-    aligned = pivot_verdicts(verdicts.select("strategy", "checkName", "status"), labels)
-    return Report(metrics, verdicts, aligned)
+                                 isolate_runtime_errors=isolate_runtime_errors, compute=compute)
+    return report_of(metrics, verdicts, run_templates(df, texts, isolate_runtime_errors, ansi_sql) if texts else None, strategies)

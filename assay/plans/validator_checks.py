@@ -9,12 +9,26 @@ counts *keep* the null group here (a null is a value).
     @validator("MaxLengthValidator")
     def max_length(column, ctx):
         return Uses({"len": Metric("aggregate", (f"max(length({quote(column.name)}))",))})
+
+What metrics cannot say (a join, a window) is a validator over the DataFrame, registered with
+:func:`dataframe_validator`: ``(df, column, ctx)`` returns a DataFrame of one row and one column (a
+sub-plan of the report, computed with it) or a number that it has computed itself.
+
+    @dataframe_validator("OrphanOrders")
+    def orphans(df, column, ctx):
+        return df.join(customers, ..., "left_anti").select(F.count(F.lit(1)))
+
+Modules with validators are loaded by name or file with :func:`load_validators`.
 """
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
+import os
 import re
 from collections.abc import Callable
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -60,10 +74,47 @@ def validator(name: str):
     return deco
 
 
+def dataframe_validator(name: str):
+    """Register a validator over the DataFrame under ``name``."""
+    def deco(fn):
+        _REGISTRY[name] = _OverDataFrame(fn)
+        return fn
+    return deco
+
+
+@dataclass(frozen=True)
+class _OverDataFrame:
+    fn: Callable
+
+
 def registered_validators() -> list[str]:
     return sorted(_REGISTRY)
 
 
+@contextmanager
+def own_validators():
+    """Validators registered inside the block are gone after it (plans made inside keep theirs)."""
+    before = dict(_REGISTRY)
+    try:
+        yield
+    finally:
+        _REGISTRY.clear()
+        _REGISTRY.update(before)
+
+
+def load_validators(module: str) -> list[str]:
+    """Import a module by name, or run the ``.py`` file at a path, and return the names it registered anew."""
+    before = dict(_REGISTRY)
+    if module.endswith(".py"):
+        spec = importlib.util.spec_from_file_location(f"assay_validators_{len(before)}", module)
+        if spec is None or not os.path.exists(module):
+            raise ConfigError(f"no validator module at {module!r}")
+        spec.loader.exec_module(importlib.util.module_from_spec(spec))
+    else:
+        importlib.import_module(module)
+    return sorted(n for n, f in _REGISTRY.items() if before.get(n) is not f)
+
+
 def _built_in(check: BuiltIn):
     """The built-in check's validator: nulls count as a value."""
     def plan(column, ctx):
@@ -84,18 +135,27 @@ def definition_key(m: Metric) -> str:
     return key + (f" WHERE {m.where}" if m.where else "")
 
 
-def _plan(name: str, description: str, column: DeclaredColumn | None, ctx: ValidatorContext,
+def _plan(df: DataFrame, name: str, description: str, column: DeclaredColumn | None, ctx: ValidatorContext,
           op: str, thr: float) -> CheckPlan:
     fn = _REGISTRY.get(name)
     if fn is None:
         return CheckPlan(description, [], "CAST(NULL AS DOUBLE)", op, thr, STRATEGY,
                          error=f"unknown validator {name!r}")
     try:
+        if isinstance(fn, _OverDataFrame):
+            return _framed(fn.fn(df, column, ctx), df, description, op, thr)
         return _planned(name, fn(column, ctx), description, column, ctx, op, thr)
     except Exception as exc:  # a validator is user code: one that raises fails its own check
         return CheckPlan(description, [], "CAST(NULL AS DOUBLE)", op, thr, STRATEGY, error=f"{type(exc).__name__}: {exc}")
 
 
+def _framed(result, df: DataFrame, description: str, op: str, thr: float) -> CheckPlan:
+    if isinstance(result, DataFrame):
+        return CheckPlan(description, [], "", op, thr, STRATEGY, frame=result)
+    value = "CAST(NULL AS DOUBLE)" if result is None else f"CAST('{float(result)!r}' AS DOUBLE)"
+    return CheckPlan(description, [], value, op, thr, STRATEGY)
+
+
 def _planned(name: str, uses: Uses, description: str, column: DeclaredColumn | None, ctx: ValidatorContext,
              op: str, thr: float) -> CheckPlan:
     label = column.name if column else ",".join(c.name for c in ctx.columns)
@@ -128,11 +188,11 @@ def plan_validator_checks(df: DataFrame, config: dict | None = None, types=None,
         op, thr = entry["operator"], float(entry["threshold"])
         types_ = entry.get("types", [])
         if not types_:
-            plans.append(_plan(entry["name"], entry["description"], None, ctx, op, thr))
+            plans.append(_plan(df, entry["name"], entry["description"], None, ctx, op, thr))
             continue
         for col in matching_columns(columns, types_):
             desc = entry["description"].replace(COLUMN_PLACEHOLDER, col.name)
-            plans.append(_plan(entry["name"], desc, col, ctx, op, thr))
+            plans.append(_plan(df, entry["name"], desc, col, ctx, op, thr))
     return plans
 
 

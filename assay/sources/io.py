@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from assay.functions.predicates import quote
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
-    """Read the table under test.
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema=None, **options) -> DataFrame:
+    """Read the table under test (with ``schema``, a DDL text or StructType, if given).
 
     ``fmt="csv"`` reads with a header and *no* type inference: every column is
     a string, as checks on raw text expect (declared types then come from a
@@ -30,7 +30,7 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", **options)
         reader = reader.option("header", "true").option("inferSchema", "false")
     for k, v in options.items():
         reader = reader.option(k, v)
-    return reader.load(path)
+    return (reader.schema(schema) if schema else reader).load(path)
 
 
 def write_verdicts(verdicts: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite") -> None:

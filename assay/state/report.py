@@ -12,17 +12,18 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, replace
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assay.functions.predicates import as_of_sql
-from assay.operators.compare import pivot_verdicts
 from assay.operators.metrics import NamedMetric, _build_or_error, compute_metrics
 from assay.plans.evaluate import metrics_of, verdicts_of
-from assay.plans.report import EXPRESSION, SQL, STRATEGIES, VALIDATOR, Report
-from assay.plans.expression_checks import plan_expression_checks
-from assay.plans.sql_checks import plan_sql_checks, run_templates
-from assay.plans.validator_checks import plan_validator_checks
+from assay.plans.report import STRATEGIES, Report, plan_checks, report_of
+from assay.plans.source_report import failed_report, read_failure
+from assay.plans.sql_checks import run_templates
+from assay.sources.io import read_table
 from assay.state.frequency import counted
 from assay.state.scan import MERGEABLE
 from assay.state.store import TableState, Update
@@ -47,18 +48,6 @@ def _mergeable(nm: NamedMetric, df: DataFrame) -> bool:
     return m.agg in MERGEABLE
 
 
-def _plans(df, types, as_of, expression_config, validator_config, sql_config, strategies):
-    plans, texts = [], []
-    if EXPRESSION in strategies:
-        plans += plan_expression_checks(df, expression_config, types, as_of)
-    if VALIDATOR in strategies:
-        plans += plan_validator_checks(df, validator_config, types, as_of)
-    if SQL in strategies:
-        built_in, texts = plan_sql_checks(df, sql_config, types, as_of)
-        plans += built_in
-    return plans, texts
-
-
 def state_report(
     spark: SparkSession,
     source: str,
@@ -78,14 +67,28 @@ def state_report(
 
     Freshness is kept as days since a fixed date and moved to ``as_of`` when it is read, so a state serves
     every day.  The user's own SQL texts run as written, over the whole table.  ``buckets`` (files per
-    frequency table) must stay what the state was begun with.
+    frequency table) must stay what the state was begun with.  A source that cannot be read fails every
+    check that its declared columns call for, and leaves the state as it is.
     """
-    df = spark.read.format(fmt).options(**options).load(source)
+    try:
+        return _state_report(spark, source, state, fmt, types, as_of, expression_config, validator_config, sql_config, strategies,
+                             ansi_sql, buckets, options)
+    except (PySparkException, Py4JJavaError) as exc:
+        message = read_failure(exc)
+        if message is None:
+            raise
+        failed = failed_report(spark, f"cannot read {source}: {message}", types, as_of, expression_config, validator_config, sql_config, strategies)
+        return StateReport(failed.metrics, failed.verdicts, failed.aligned, Update())
+
+
+def _state_report(spark, source, state, fmt, types, as_of, expression_config, validator_config, sql_config, strategies, ansi_sql, buckets,
+                  options) -> StateReport:
+    df = read_table(spark, source, fmt, **options)
     given = (expression_config, validator_config, sql_config, strategies)
-    plans, texts = _plans(df, types, as_of, *given)
+    plans, texts = plan_checks(df, types, as_of, *given)
     named = metrics_of(plans)
     # The same metrics with days counted from a fixed date: plans differ in nothing else.
-    fixed = metrics_of(_plans(df, types, EPOCH, *given)[0])
+    fixed = metrics_of(plan_checks(df, types, EPOCH, *given)[0])
     kept = [(nm, replace(nm, metric=f.metric)) for nm, f in zip(named, fixed)]
     stored = [(nm, f) for nm, f in kept if _mergeable(f, df)]
     update = (store := TableState(spark, state, buckets)).refresh(source, [f for _, f in stored], fmt, **options)
@@ -99,8 +102,5 @@ def state_report(
     if rest:
         metrics = metrics.unionByName(compute_metrics(df, rest))
     verdicts = verdicts_of(metrics, named, plans, with_strategy=True)
-    if texts:
-        own = run_templates(df, texts, ansi=ansi_sql)
-        verdicts = verdicts.unionByName(own.select(F.lit(SQL).alias("strategy"), *own.columns))
-    labels = [s for s in STRATEGIES if s in strategies]
-    return StateReport(metrics, verdicts, pivot_verdicts(verdicts.select("strategy", "checkName", "status"), labels), update)
+    done = report_of(metrics, verdicts, run_templates(df, texts, ansi=ansi_sql) if texts else None, strategies)
+    return StateReport(done.metrics, done.verdicts, done.aligned, update)

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assay.operators.metrics import METRICS_SCHEMA, Metric, NamedMetric, _build_or_error, _explode_rows, _row_sql, union_all
+from assay.sources.io import read_table
 from assay.state.files import leaf_folders, read_folders
 from assay.state.frequency import added, counted, counters, ddl_of, frequency_id, opened, write_bucketed
 from assay.state.scan import MERGEABLE, STATE_SCHEMA, merged, metric_key, scan_states, target_sql, value_of
@@ -103,7 +104,9 @@ class TableState:
     def refresh(self, source: str, named: list[NamedMetric], fmt: str = "parquet", **options) -> Update:
         """Bring the states of ``named`` up to date with the files at ``source``; unchanged folders are not read."""
         folders = leaf_folders(self.spark, source)
-        like = self.spark.read.format(fmt).options(**options).load(source)
+        if fmt == "csv":
+            options = {"header": "true"} | options
+        like = read_table(self.spark, source, fmt, **options)
         return self._update({n: f.print for n, f in folders.items()}, named,
                             lambda names: read_folders(source, [folders[n] for n in names], like, fmt, options))
 
