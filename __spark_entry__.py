@@ -1527,6 +1527,39 @@ def o_clashing_keys():
                   + ["SELECT 'either', CAST(NULL AS DOUBLE), false, true"])
 
 
+# --------------------------------------------------------------------------- SQL of the user in the fused pass
+#: SQL checks (FROM and filter left out: aggregate, alias, filter); the same texts run in DuckDB.
+FOLDED = [
+    ("rows", "count(*)", "", ""), ("late rows", "count(*)", "", "l_shipdate >= TIMESTAMP '1998-01-01'"), ("widest tax", "max(l_tax)", "t", ""),
+    ("range", "max(l_extendedprice) - min(l_extendedprice)", "", "l_quantity > 5 AND l_returnflag = 'R'"), ("flags", "count(DISTINCT l_returnflag)", "", ""),
+    ("parts of returned", "count(DISTINCT l_partkey)", "t", "t.l_returnflag = 'R'"), ("any bulk", "CASE WHEN count(*) > 0 THEN 1 ELSE 0 END", "", "l_quantity > 49"),
+    ("untaxed", "sum(CASE WHEN l_tax = 0 THEN 1 ELSE 0 END)", "", ""), ("open", "count(*) FILTER (WHERE l_linestatus = 'O')", "", ""),
+    ("open and taxed", "count(*)", "", "l_linestatus = 'O' AND NOT l_tax = 0"), ("first line", "min(l_linenumber)", "", ""),
+    ("flag length", "max(length(l_returnflag))", "", "l_linestatus IN ('O', 'F')"), ("last year", "max(year(l_shipdate))", "", ""),
+    ("none", "max(l_tax)", "", "l_quantity < 0"), ("lines a flag", "count(*) / count(DISTINCT l_returnflag)", "", ""),
+]
+
+
+def _folded_text(aggregate: str, alias: str, where: str, table: str) -> str:
+    return f"SELECT {aggregate} AS metricName FROM {table} {alias}" + (f" WHERE {where}" if where else "")
+
+
+def q_folded_sql_checks(spark, sf):
+    """SQL checks of the user that scan the table once together, beside one that runs as written (a subquery)."""
+    config = {"checks": [{"checkName": n, "query": _folded_text(a, t, w, "{table}").replace("TIMESTAMP '", "TIMESTAMP_NTZ '"), "metricType": "Dataset",
+                          "types": [], "operator": ">", "threshold": 1} for n, a, t, w in FOLDED]}
+    config["checks"].append({"checkName": "above the mean", "metricType": "Dataset", "types": [], "operator": ">", "threshold": 1,
+                             "query": "SELECT count(*) AS metricName FROM {table} WHERE l_quantity > (SELECT avg(l_quantity) FROM {table})"})
+    return run_sql_checks(load(spark, sf, "lineitem"), config).select("checkName", F.round("value", 6).alias("value"), "status")
+
+
+def o_folded_sql_checks():
+    texts = [(n, _folded_text(a, t, w, "lineitem")) for n, a, t, w in FOLDED]
+    texts.append(("above the mean", "SELECT count(*) AS metricName FROM lineitem WHERE l_quantity > (SELECT avg(l_quantity) FROM lineitem)"))
+    return _union([f"SELECT {_s(n)} AS checkName, ROUND(CAST(metricName AS DOUBLE), 6) AS value, coalesce(metricName > 1, false) AS status FROM ({t}) v"
+                   for n, t in texts])
+
+
 # --------------------------------------------------------------------------- contract
 _QUERIES: dict[str, tuple[Callable, Callable | None]] = {
     "row_counts": (q_row_counts, o_row_counts),
@@ -1588,6 +1621,7 @@ _QUERIES: dict[str, tuple[Callable, Callable | None]] = {
     "unreadable_source_verdicts": (q_unreadable_source_verdicts, o_unreadable_source_verdicts),
     "dataframe_validator": (q_dataframe_validator, o_dataframe_validator),
     "clashing_keys": (q_clashing_keys, o_clashing_keys),
+    "folded_sql_checks": (q_folded_sql_checks, o_folded_sql_checks),
 }
 
 

@@ -10,8 +10,9 @@ verdict DataFrame is the result.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -153,9 +154,20 @@ def evaluate(
     named = metrics_of(plans)
     compute = compute or (compute_metrics_isolated if isolate_runtime_errors else compute_metrics)
     metrics = compute(df, named, max_metrics_per_pass)
+    if isolate_runtime_errors:  # the metrics are computed: a check says why its metric failed
+        failed = {r.key: r.error for r in metrics.where("error IS NOT NULL").select("key", "error").collect()}
+        plans = [replace(p, error=p.error or _own_error(p, failed)) for p in plans]
     return metrics, verdicts_of(metrics, named, plans, with_strategy, isolate_runtime_errors)
 
 
+def _own_error(p: CheckPlan, failed: dict[str, str]) -> str | None:
+    """The error of the first failed metric that the check's value names."""
+    keys = [nm.key for nm in p.metrics if nm.key in failed]
+    if not callable(p.value):
+        keys = [k for k in keys if quote(k) in p.value or re.search(rf"(?<![\w`]){re.escape(k)}(?![\w`])", p.value)]
+    return failed[keys[0]] if keys else None
+
+
 def verdicts_of(metrics: DataFrame, named: list[NamedMetric], plans: list[CheckPlan], with_strategy: bool = False,
                 isolate_runtime_errors: bool = False) -> DataFrame:
     """One verdict row per plan (see :func:`evaluate`) over a metrics table that holds ``named``, wherever its

@@ -59,15 +59,15 @@ class Report:
 
 
 def plan_checks(df: DataFrame, types=None, as_of=None, expression_config: dict | None = None, validator_config: dict | None = None,
-                sql_config: dict | None = None, strategies=STRATEGIES) -> tuple[list[CheckPlan], list[tuple]]:
-    """The checks of every requested strategy as plans over metrics, and the user's SQL texts."""
+                sql_config: dict | None = None, strategies=STRATEGIES, fold: bool = True) -> tuple[list[CheckPlan], list[tuple]]:
+    """The checks of every requested strategy as plans over metrics, and the user's SQL texts that are none."""
     plans, texts = [], []
     if EXPRESSION in strategies:
         plans += plan_expression_checks(df, expression_config, types, as_of)
     if VALIDATOR in strategies:
         plans += plan_validator_checks(df, validator_config, types, as_of)
     if SQL in strategies:
-        built_in, texts = plan_sql_checks(df, sql_config, types, as_of)
+        built_in, texts = plan_sql_checks(df, sql_config, types, as_of, fold)
         plans += built_in
     return plans, texts
 
@@ -106,7 +106,7 @@ def check_report(
     """
     if stage_input:
         df = stage(df)
-    plans, texts = plan_checks(df, types, as_of, expression_config, validator_config, sql_config, strategies)
+    plans, texts = plan_checks(df, types, as_of, expression_config, validator_config, sql_config, strategies, fold=ansi_sql is None)
     metrics, verdicts = evaluate(df, plans, max_metrics_per_pass, with_strategy=True,
                                  isolate_runtime_errors=isolate_runtime_errors, compute=compute)
     return report_of(metrics, verdicts, run_templates(df, texts, isolate_runtime_errors, ansi_sql) if texts else None, strategies)

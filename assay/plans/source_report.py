@@ -50,7 +50,7 @@ def failed_report(spark: SparkSession, error: str, types=None, as_of=None, expre
                   strategies=STRATEGIES, schema=None) -> Report:
     """Every check that the declared columns call for, failed with ``error``."""
     df = _declared(spark, types, schema)
-    plans, texts = plan_checks(df, types, as_of, expression_config, validator_config, sql_config, strategies)
+    plans, texts = plan_checks(df, types, as_of, expression_config, validator_config, sql_config, strategies, fold=False)
     named = metrics_of(plans)
     for p in plans:
         p.error = error

@@ -23,10 +23,10 @@ from assay.operators.metrics import DATA_ERRORS, NamedMetric, _analysable, _buil
 from assay.operators.schema import COLUMN_PLACEHOLDER, declared_columns, matching_columns
 from assay.plans.catalogue import COMPILED_SQL, SQL_CONFIG, definition_metric
 from assay.plans.evaluate import VERDICT_SCHEMA, CheckPlan, evaluate
+from assay.plans.fold import METRIC_COLUMN, folded_metric, folds_into
 from assay.plans.validator_checks import definition_key
 
 STRATEGY = "sql"
-METRIC_COLUMN = "metricName"
 # Spark's SQL parser rejects overly complex statements; very wide tables expand
 # to thousands of templates, so they are parsed in statements of this many.
 TEMPLATES_PER_STATEMENT = 100
@@ -69,9 +69,9 @@ def _expanded(df: DataFrame, config: dict | None, types) -> list[tuple]:
     return out
 
 
-def plan_sql_checks(df: DataFrame, config: dict | None = None, types=None, as_of=None) -> tuple[list[CheckPlan], list[tuple]]:
-    """The checks with a built-in template as plans over fused metrics, and the others as
-    ``(checkName, SQL with {table}, operator, threshold)``."""
+def plan_sql_checks(df: DataFrame, config: dict | None = None, types=None, as_of=None, fold: bool = True) -> tuple[list[CheckPlan], list[tuple]]:
+    """The checks with a built-in template, and (``fold``) the user's texts that are one aggregate over the
+    table, as plans over fused metrics; the others as ``(checkName, SQL with {table}, operator, threshold)``."""
     columns = declared_columns(df, types)
     plans, texts = [], []
     for name, entry, cols, col in _expanded(df, config, types):
@@ -88,9 +88,29 @@ def plan_sql_checks(df: DataFrame, config: dict | None = None, types=None, as_of
                  for a, m in used.items()]
         bound = " ".join(quote(definition_key(used[w])) if w in used else w for w in value.split())
         plans.append(CheckPlan(name, named, f"CAST(({bound}) AS INT)" if check.indicator else bound, op, thr, STRATEGY))
+    if fold and texts:
+        folded, texts = _folded(df, texts)
+        plans += folded
     return plans, texts
 
 
+def _folded(df: DataFrame, texts: list[tuple]) -> tuple[list[CheckPlan], list[tuple]]:
+    """The texts that fold into the fused pass as plans, and the rest (see :mod:`assay.plans.fold`)."""
+    spark, plans, rest = df.sparkSession, [], []
+    view = register_view(df)
+    try:
+        for name, sql, op, thr in texts:
+            metric = folded_metric(spark, sql.replace("{table}", view), view)
+            if metric is None or not folds_into(df, metric):
+                rest.append((name, sql, op, thr))
+                continue
+            key = definition_key(metric)
+            plans.append(CheckPlan(name, [NamedMetric(METRIC_COLUMN, "*", key, metric)], quote(key), op, thr, STRATEGY))
+    finally:
+        spark.catalog.dropTempView(view.strip("`"))
+    return plans, rest
+
+
 def _check_sql(name: str, sql: str, op: str, thr: float) -> str:
     """One verdict row for one template: exactly one result row is required."""
     v = "first(try_cast(metricName AS DOUBLE))"
@@ -169,11 +189,12 @@ def run_sql_checks(df: DataFrame, config: dict | None = None, types=None, as_of=
                    ansi: bool | None = None) -> DataFrame:
     """Verdicts ``(checkName, value, status, error)`` of SQL-template checks.
 
-    Entries with a built-in template are computed from fused metrics; the others become ``UNION ALL``
-    statements (up to ``TEMPLATES_PER_STATEMENT`` each) unioned into one DataFrame: one action.
-    ``ansi=False`` analyses them without ANSI rules, as texts written for older Spark versions expect.
+    Entries with a built-in template, and texts that are one aggregate over the table, are computed from
+    fused metrics; the others become ``UNION ALL`` statements (up to ``TEMPLATES_PER_STATEMENT`` each)
+    unioned into one DataFrame: one action.  ``ansi=False`` analyses the texts without ANSI rules, as texts
+    written for older Spark versions expect; they then run as written.
     """
-    plans, texts = plan_sql_checks(df, config, types, as_of)
+    plans, texts = plan_sql_checks(df, config, types, as_of, fold=ansi is None)
     out = run_templates(df, texts, isolate_runtime_errors, ansi) if texts or not plans else None
     if plans:
         built_in = evaluate(df, plans, isolate_runtime_errors=isolate_runtime_errors)[1]

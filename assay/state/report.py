@@ -85,10 +85,10 @@ def _state_report(spark, source, state, fmt, types, as_of, expression_config, va
                   options) -> StateReport:
     df = read_table(spark, source, fmt, **options)
     given = (expression_config, validator_config, sql_config, strategies)
-    plans, texts = plan_checks(df, types, as_of, *given)
+    plans, texts = plan_checks(df, types, as_of, *given, fold=False)
     named = metrics_of(plans)
     # The same metrics with days counted from a fixed date: plans differ in nothing else.
-    fixed = metrics_of(plan_checks(df, types, EPOCH, *given)[0])
+    fixed = metrics_of(plan_checks(df, types, EPOCH, *given, fold=False)[0])
     kept = [(nm, replace(nm, metric=f.metric)) for nm, f in zip(named, fixed)]
     stored = [(nm, f) for nm, f in kept if _mergeable(f, df)]
     update = (store := TableState(spark, state, buckets)).refresh(source, [f for _, f in stored], fmt, **options)
