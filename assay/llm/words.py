@@ -29,12 +29,13 @@ BLOCK_SCHEMA = "block long, ids array<bigint>, sizes binary, places binary"
 WORD_SCHEMA = "part int, block long, places binary, words binary"
 
 
-def sliced(batches, column: str = "text", limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Record batches of at most ``limit`` bytes of ``column`` (or one row), nulls made empty."""
+def sliced(batches, column: str = "text", limit: int = BLOCK_BYTES, keep_nulls: bool = False) -> Iterator[pa.RecordBatch]:
+    """Record batches of at most ``limit`` bytes of ``column`` (or one row), nulls made empty unless kept."""
     for batch in batches:
         at = batch.schema.get_field_index(column)
-        batch = batch.set_column(at, column, pc.fill_null(batch.column(at), ""))
-        ends = np.cumsum(pc.binary_length(batch.column(at)).to_numpy(), dtype=np.int64)
+        if not keep_nulls:
+            batch = batch.set_column(at, column, pc.fill_null(batch.column(at), ""))
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(), dtype=np.int64)
         start = 0
         while start < batch.num_rows:
             before = ends[start - 1] if start else 0
@@ -73,6 +74,29 @@ def unpacked_counts(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<i8").ravel()
 
 
+def packed_hashes(hashes: np.ndarray, parts: int) -> bytes:
+    """Hashes that all leave the same remainder by ``parts``: their quotients as byte planes, compressed."""
+    planes = (hashes // np.uint64(parts)).astype("<u8").view(np.uint8).reshape(-1, 8).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def unpacked_hashes(data: bytes) -> np.ndarray:
+    """The quotients: as distinct as the hashes, among those of one remainder."""
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<u8").ravel()
+
+
+def packed_floats(values: np.ndarray) -> bytes:
+    """32-bit floats as byte planes, compressed: neighbours share their signs and exponents."""
+    planes = values.astype("<f4").ravel().view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def unpacked_floats(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<f4").ravel()
+
+
 def packed_words(words: list[str]) -> bytes:
     """Words, which hold no line end, compressed."""
     return zstandard.ZstdCompressor(level=1).compress("\n".join(words).encode())
@@ -118,7 +142,7 @@ def word_rows(docs: DataFrame, parts: int, lower: bool = False, classes: int = 0
     ``parts`` parts: one row per block and part, with the words and their places in the block.
     ``classes`` adds, for each class from 1 to ``classes``, how often each word stands in the documents
     whose column ``class`` is that number (other documents are not counted).  ``pairs`` adds rows of
-    ``kind`` 2 (the others: 1) for the block's distinct :func:`word_pairs`, dealt by their hash: hashes in
+    ``kind`` 2 (the others: 1) for the block's distinct :func:`word_pairs`, dealt by their hash: packed hashes in
     ``words``, numbers in ``places``, and in ``counts`` how often each stands in documents of a class."""
     def run(batches):
         for batch in sliced(batches):
@@ -153,7 +177,7 @@ def word_rows(docs: DataFrame, parts: int, lower: bool = False, classes: int = 0
                 some = [order[cuts[p]:cuts[p + 1]] for p in used]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(used, pa.int32()), pa.array([key] * len(used), pa.int64()),
-                     pa.array([packed_numbers(o) for o in some], pa.binary()), pa.array([found[o].tobytes() for o in some], pa.binary()),
+                     pa.array([packed_numbers(o) for o in some], pa.binary()), pa.array([packed_hashes(found[o], parts) for o in some], pa.binary()),
                      pa.array([packed_numbers(times[o]) for o in some], pa.binary()), pa.array([2] * len(used), pa.int32())], names)
 
     return docs.mapInArrow(run, WORD_SCHEMA + ", counts binary" * bool(classes or pairs) + ", kind int" * pairs)
