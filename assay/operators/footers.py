@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from assay.functions.predicates import is_null, quote
 from assay.operators.metrics import DEFAULT_MAX_METRICS_PER_PASS, METRICS_SCHEMA, Metric, NamedMetric, compute_metrics
+from assay.session import job_label
 
 FORMATS = ("parquet", "orc")
 #: Types whose footer statistics are exact and compare as the metric does.
@@ -93,7 +94,8 @@ def footer_metrics(spark: SparkSession, source: str, named: list[NamedMetric], f
             if not pushed(one):
                 return
             try:
-                found.update(zip([n for n, _ in some], one.first()))
+                with job_label(spark, f"assay: {len(some)} aggregates out of the footers of {source}"):
+                    found.update(zip([n for n, _ in some], one.first()))
             except (PySparkException, Py4JJavaError) as exc:
                 if "aggregatePushdown" not in str(exc):
                     raise

@@ -39,6 +39,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from assay.session import job_label
+
 # Aggregates computed in the shared single pass.
 SCAN_AGGS = ("size", "count", "min", "max", "sum", "avg", "stddev_pop", "aggregate")
 # Aggregates over a frequency table (one group-by per key set and filter).
@@ -384,7 +386,8 @@ def compute_metrics_isolated(
 
     def attempt(group: list[NamedMetric]) -> list[tuple]:
         try:
-            rows = compute_metrics(df, group, max_metrics_per_pass).collect()
+            with job_label(spark, f"assay: {len(group)} metrics"):
+                rows = compute_metrics(df, group, max_metrics_per_pass).collect()
             return [tuple(r) for r in rows]
         except DATA_ERRORS as exc:  # a run-time failure inside the fused pass
             if len(group) == 1:

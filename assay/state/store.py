@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assay.operators.metrics import METRICS_SCHEMA, Metric, NamedMetric, _build_or_error, _explode_rows, _row_sql, union_all
+from assay.session import job_label
 from assay.sources.io import read_table
 from assay.state.files import leaf_folders, read_folders
 from assay.state.frequency import added, counted, counters, ddl_of, frequency_id, opened, write_bucketed
@@ -147,7 +148,8 @@ class TableState:
         for missing, batches in lacking.items():
             metrics, df = [asked[k] for k in missing], read(sorted(batches))
             data, name = f"scan/run={uuid.uuid4().hex}", _named(sorted(missing))
-            scan_states(df, metrics, self._pivots(df, metrics, keep), True).write.parquet(f"{self.path}/{data}")
+            with job_label(self.spark, f"assay: states of {len(metrics)} metrics over {len(batches)} folders"):
+                scan_states(df, metrics, self._pivots(df, metrics, keep), True).write.parquet(f"{self.path}/{data}")
             sets[name] = set(missing)
             keep += [("scan", name, b, now[b], data, None) for b in batches]
         used = {r[1] for r in keep}
@@ -183,11 +185,12 @@ class TableState:
                 keep.append(("failed", table, None, None, None, error))
                 continue
             data, ddl = f"frequency/{table}/{uuid.uuid4().hex}", ddl_of(new)
-            if grows:
-                with opened(self.spark, f"{self.path}/{old[4]}", ddl, self.buckets) as kept:
-                    write_bucketed(added(kept, new, self.buckets), f"{self.path}/{data}", self.buckets)
-            else:
-                write_bucketed(added(None, new, self.buckets), f"{self.path}/{data}", self.buckets)
+            with job_label(self.spark, f"assay: frequencies of {', '.join(keys)} over {len(fresh)} folders"):
+                if grows:
+                    with opened(self.spark, f"{self.path}/{old[4]}", ddl, self.buckets) as kept:
+                        write_bucketed(added(kept, new, self.buckets), f"{self.path}/{data}", self.buckets)
+                else:
+                    write_bucketed(added(None, new, self.buckets), f"{self.path}/{data}", self.buckets)
             members = {b: now[b] for b in (set(holds) if grows else set()) | set(fresh)}
             group = _named(f"{b} {m}" for b, m in sorted(members.items()))
             groups[group] = members
