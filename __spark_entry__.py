@@ -1241,6 +1241,37 @@ def q_declared_schema_file(spark, sf):
     return v.select("checkName", F.round("value", 6).alias("value"), "status")
 
 
+def q_declared_schema_hocon(spark, sf):
+    """As declared_schema_file, with the sidecar and a check configuration in HOCON."""
+    import tempfile
+
+    from assay.operators.schema import load_declared_schema
+    from assay.plans.catalogue import load_config
+
+    sidecar = "number { columnType = Double }\nschema = [ { columnName = ck, columnType = Int } // a key\n  ${number} { columnName = price } ]\n"
+    checks = """
+        # shares of rows, in percent
+        base { operator = "<", types = [Int, Double] }
+        metrics = [
+          { metricName = rows, definitionName = count rows, metricType = Dataset }
+          { metricName = zeros, definitionName = count zeros, metricType = Column, types = ${base.types} }
+        ]
+        checks = [ ${base} { checkName = "zeros of ${column}", expression = "100 * zeros_${column} / rows", threshold = 50 } ]
+    """
+    with tempfile.NamedTemporaryFile("w", suffix=".conf") as f, tempfile.NamedTemporaryFile("w", suffix=".conf") as g:  # read on the driver only
+        f.write(sidecar), g.write(checks)
+        f.flush(), g.flush()
+        types, config = load_declared_schema(f.name), load_config(g.name)
+    v = run_expression_checks(load(spark, sf, "stringly_orders"), config, types=types)
+    return v.select("checkName", F.round("value", 6).alias("value"), "status")
+
+
+def o_declared_schema_hocon():
+    share = "100.0 * count(*) FILTER (WHERE TRY_CAST({c} AS DOUBLE) = 0) / count(*)"
+    return _union([f"SELECT {_s('zeros of ' + c)} AS checkName, ROUND({share.format(c=c)}, 6) AS value, {share.format(c=c)} < 50 AS status "
+                   f"FROM {_src('stringly_orders')} t" for c in ("ck", "price")])
+
+
 def o_declared_schema_file():
     src, rows = _src("stringly_orders"), f"(SELECT count(*) FROM {_src('stringly_orders')} s)"
     values = [(NAME_ROWS, rows, ">", 0), (NAME_DUPLICATE_ROWS, f"{rows} - {_distinctness('stringly_orders', ['ck', 'price'])}", "=", 0),
@@ -1609,6 +1640,7 @@ _QUERIES: dict[str, tuple[Callable, Callable | None]] = {
     "bad_config_isolated": (q_bad_config_isolated, o_bad_config_isolated),
     "dataset_distinct": (q_dataset_distinct, o_dataset_distinct),
     "declared_schema_file": (q_declared_schema_file, o_declared_schema_file),
+    "declared_schema_hocon": (q_declared_schema_hocon, o_declared_schema_hocon),
     "comparison_sink_roundtrip": (q_comparison_sink_roundtrip, o_aligned_verdicts),
     "custom_validator": (q_custom_validator, o_custom_validator),
     "custom_sql_check": (q_custom_sql_check, o_custom_sql_check),

@@ -8,12 +8,13 @@ All of this is driver-side metadata work; no Spark job runs here.
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from assay.sources.hocon import load
+
 # Declared type labels, plus the wildcard that matches every column.
 INT, DOUBLE, STRING, DATE, OTHER = "Int", "Double", "String", "Date", "Other"
 ANY = "any"
@@ -61,9 +62,8 @@ def declared_columns(df: DataFrame, overrides: dict[str, str] | list | None = No
 
 
 def load_declared_schema(path: str) -> list[dict]:
-    """Read a sidecar ``{"schema": [{"columnName": .., "columnType": ..}]}`` JSON file."""
-    with open(path, encoding="utf-8") as fh:
-        return json.load(fh)["schema"]
+    """Read a sidecar ``{"schema": [{"columnName": .., "columnType": ..}]}``, a JSON or HOCON file."""
+    return load(path)["schema"]
 
 
 def matching_columns(columns: list[DeclaredColumn], types: list[str]) -> list[DeclaredColumn]:

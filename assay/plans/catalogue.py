@@ -9,7 +9,6 @@ unchanged via :func:`load_config`.
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass, field
 
 from assay.functions.predicates import (
@@ -24,12 +23,12 @@ from assay.functions.predicates import (
 from assay.functions.thresholds import ConfigError
 from assay.operators.metrics import Metric
 from assay.operators.schema import DeclaredColumn
+from assay.sources.hocon import load
 
 
 def load_config(path: str) -> dict:
-    """Read a JSON check configuration file."""
-    with open(path, encoding="utf-8") as fh:
-        return json.load(fh)
+    """Read a check configuration file (JSON or HOCON)."""
+    return load(path)
 
 
 # --- definition names -> metric definitions --------------------------------
