@@ -12,15 +12,16 @@ sample, and on written variants of them (no country sign, other separators).
 from __future__ import annotations
 
 import ast
+import functools
 import re
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
-from assay.llm.common import sampled
 from assay.llm.words import sliced
 
 # The kinds, in order, and the rules' patterns.
@@ -35,6 +36,7 @@ SIGNAL = "[0-9@]"
 #: Units (runs of letters, of digits, of blanks, or single characters) in a segment at most, and regions
 #: per kind to train on at most.
 MAX_UNITS = 16
+KNOWN_CHARS = 64  # segments up to this length are looked up in a table of those just seen
 TRAINING_REGIONS = 80
 
 SPAN_SCHEMA = "id long, spans array<struct<kind:string,start:long,end:long,rule:boolean>>"
@@ -78,7 +80,9 @@ def rule_spans(text: str) -> list[tuple[int, int, int]]:
 
 # ------------------------------------------------------------------ the field
 UNIT = re.compile(r"[0-9]+|[^\W\d_]+|\s+|.", re.DOTALL)
-REGION = re.compile(r"\S*[0-9@]\S*(?:[ \t\xa0]{1,2}\S*[0-9@]\S*)*")
+WORD = re.compile(r"\S+")
+MARK = re.compile("[0-9@]")
+GAPS = frozenset(a + b for a in " \t\xa0" for b in ("", *" \t\xa0"))
 NAMES = ("bias", "at", "local", "domain", "tld", "plus", "open", "area", "octets", "fours", "luhn", "no luhn", "letters",
          "other signs", "digits 7-9", "digits 10-11", "digits 12-13", "digits 14-16", "digits 17-19", "one group", "two groups",
          "three groups", "four groups", "more groups", "blanks", "hyphens", "dots", "mixed", "inside left", "inside right",
@@ -90,7 +94,7 @@ def units_of(region: str) -> list[tuple[int, int]]:
     return [m.span() for m in UNIT.finditer(region)]
 
 
-def segments(region: str, units: list[tuple[int, int]]) -> list[tuple[int, int, list[int]]]:
+def segments(region: str, units: list[tuple[int, int]]) -> list[tuple[int, int, tuple[int, ...]]]:
     """Candidate segments ``(first unit, unit after, features)``: those that hold one at-sign, or 4 to 19
     digits and no at-sign, and neither start nor end with a blank."""
     out = []
@@ -106,18 +110,20 @@ def segments(region: str, units: list[tuple[int, int]]) -> list[tuple[int, int,
             if ats > 1 or digits > 40:
                 break
             if not blank[j] and (ats or 4 <= digits <= 19):
-                out.append((i, j + 1, _features(region, units[i][0], units[j][1], digits, ats)))
+                a, b = units[i][0], units[j][1]
+                features = _features if b - a <= KNOWN_CHARS else _features.__wrapped__
+                out.append((i, j + 1, features(region[max(0, a - 4):a], region[a:b], region[b:b + 4], digits, ats)))
     return out
 
 
-def _features(region: str, a: int, b: int, digits: int, ats: int) -> list[int]:
-    s = region[a:b]
+@functools.lru_cache(maxsize=1 << 16)
+def _features(before: str, s: str, after: str, digits: int, ats: int) -> tuple[int, ...]:
+    """The features of the segment ``s`` with the four characters on either side of it."""
     on = ["bias"]
-    before, after = region[a - 1:a], region[b:b + 1]
-    on += ["inside left"] * before.isalnum() + ["inside right"] * after.isalnum()
-    left, right = region[:a].rstrip(" -.()+"), region[b:].lstrip(" -.()")
-    on += ["number left"] * (left[-1:] in "0123456789" and left != "" and a - len(left) <= 3)
-    on += ["number right"] * (right[:1] in "0123456789" and right != "" and len(region) - b - len(right) <= 3)
+    on += ["inside left"] * before[-1:].isalnum() + ["inside right"] * after[:1].isalnum()
+    left, right = before.rstrip(" -.()+"), after.lstrip(" -.()")  # at most three signs between
+    on += ["number left"] * (left[-1:] in "0123456789" and left != "")
+    on += ["number right"] * (right[:1] in "0123456789" and right != "")
     if ats:
         local, _, domain = s.partition("@")
         on.append("at")
@@ -139,7 +145,7 @@ def _features(region: str, a: int, b: int, digits: int, ats: int) -> list[int]:
         kinds = [n for n, c in (("blanks", " "), ("hyphens", "-"), ("dots", ".")) if c in signs]
         on += kinds + ["mixed"] * (len(kinds) > 1)
     on += ["ends in a digit"] * (s[-1] in "0123456789")
-    return [NUMBER[n] for n in on]
+    return tuple(NUMBER[n] for n in on)
 
 
 class Field:
@@ -153,7 +159,11 @@ class Field:
     def _scored(self, region: str):
         units = units_of(region)
         found = segments(region, units)
-        return units, found, [self.weights[:, f].sum(axis=1) for _, _, f in found]
+        known: dict[tuple, np.ndarray] = {}
+        for _, _, f in found:
+            if f not in known:
+                known[f] = self.weights[:, list(f)].sum(axis=1)
+        return units, found, [known[f] for _, _, f in found]
 
     def decode(self, region: str) -> list[tuple[int, int, int]]:
         """The best labelling's entities ``(start, kind, end)``."""
@@ -233,7 +243,7 @@ class Field:
                 before, at = 0, at + 1
             value += self.follow[before, kind + 1] + scores[k][kind]
             t[before, kind + 1] += 1
-            g[kind, f] += 1
+            g[kind, list(f)] += 1
             before, at = kind + 1, j
         while at < n:
             value += self.follow[before, 0]
@@ -259,7 +269,14 @@ def variants(region: str, truth: list[tuple[int, int, int]]) -> list[tuple[str,
 
 def regions(text: str) -> list[tuple[int, str]]:
     """The stretches of words with digits or at-signs, one or two blanks apart, with their places."""
-    return [(m.start(), m[0]) for m in REGION.finditer(text)]
+    out: list[list[int]] = []
+    for m in WORD.finditer(text):
+        if MARK.search(text, m.start(), m.end()):
+            if out and text[out[-1][1]:m.start()] in GAPS:
+                out[-1][1] = m.end()
+            else:
+                out.append([m.start(), m.end()])
+    return [(a, text[a:b]) for a, b in out]
 
 
 def _examples(text: str) -> list[tuple[str, list[tuple[int, int, int]]]]:
@@ -273,28 +290,35 @@ def _examples(text: str) -> list[tuple[str, list[tuple[int, int, int]]]]:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 12) -> Field:
-    """A field fitted on at most ``TRAINING_REGIONS`` regions per kind (and as many without a span), from
-    a bounded sample of the documents; without examples it adds nothing."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sample, _ = sampled(rows, "id")
+    """A field fitted on at most ``TRAINING_REGIONS`` different regions per kind (and as many without a
+    span): those with the smallest hashes among all documents, however these are laid out; without
+    examples it adds nothing."""
+    rows = docs.select(F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
+        seen: dict[int, dict[tuple, int]] = {k: {} for k in range(-1, len(KINDS))}
+
+        def least(kind):
+            return sorted((h, r, t) for (r, t), h in seen[kind].items())[:TRAINING_REGIONS]
+
         for batch in sliced(batches):
-            seen: dict[int, set] = {k: set() for k in range(-1, len(KINDS))}
             hit = pc.match_substring_regex(batch.column("text"), SIGNAL)
             for text in batch.column("text").filter(hit).to_pylist():
                 for region, truth in _examples(text):
-                    kind = truth[0][1] if truth else -1
-                    if len(seen[kind]) < TRAINING_REGIONS:
-                        seen[kind].add((region, repr(truth)))
-            flat = sorted((k, r, t) for k, s in seen.items() for r, t in s)
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _, _ in flat], pa.int32()), pa.array([r for _, r, _ in flat], pa.string()),
-                                              pa.array([t for _, _, t in flat], pa.string())], ["kind", "region", "truth"])
-
-    found = sample.mapInArrow(run, "kind int, region string, truth string").distinct()
-    chosen = []
-    for kind in range(-1, len(KINDS)):
-        chosen += found.where(F.col("kind") == kind).orderBy(F.xxhash64("region"), "region").limit(TRAINING_REGIONS).collect()
+                    kind, key = truth[0][1] if truth else -1, (region, repr(truth))
+                    if key not in seen[kind]:
+                        seen[kind][key] = xxh64_intdigest("\n".join(key)) >> 1
+                        if len(seen[kind]) > 50 * TRAINING_REGIONS:
+                            seen[kind] = {(r, t): h for h, r, t in least(kind)}
+        flat = [(k, *found) for k in seen for found in least(k)]
+        columns = list(zip(*flat)) or [()] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.string(), pa.string()))],
+                                         ["kind", "hash", "region", "truth"])
+
+    found = rows.mapInArrow(run, "kind int, hash long, region string, truth string").distinct()
+    first = Window.partitionBy("kind").orderBy("hash", "region", "truth")  # a few rows of every task
+    chosen = (found.withColumn("place", F.row_number().over(first)).where(F.col("place") <= TRAINING_REGIONS)
+              .orderBy("kind", "place").collect())
     examples = [(r.region, [tuple(t) for t in ast.literal_eval(r.truth)]) for r in chosen]
     return fit(examples, rounds)
 
@@ -364,11 +388,15 @@ def find_spans(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col:
 
 def redact(docs: DataFrame, field: Field, text_col: str = "text") -> DataFrame:
     """``docs`` with every span of ``text_col`` replaced by its kind in angle brackets (of overlapping
-    spans, the one that starts first, and of those the longest); null texts stay null."""
+    spans, the one that starts first, and of those the longest).
+
+    Edge cases: null texts stay null, null and repeated ids and repeated rows stay as they are (every row
+    is returned once); an empty table gives an empty table; other columns pass through, whatever their names.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches, text_col, keep_nulls=True):
             at = batch.schema.get_field_index(text_col)
             texts = batch.column(at)
             hits = pc.fill_null(pc.match_substring_regex(texts, SIGNAL), False).to_pylist()

@@ -1,6 +1,8 @@
 import random
 import re
+import time
 
+import numpy as np
 import pytest
 
 from assay.llm.pii import KINDS, Field, all_spans, find_spans, fit, luhn, redact, redacted, regions, rule_spans, train
@@ -122,3 +124,25 @@ def test_edge_cases(spark, rows, field):
     nothing = train(df.limit(0))
     assert all_spans("call (784) 555-8120", nothing) == [] and redacted("no data", nothing) == "no data"
     assert fit([]).decode("123-456-7890") == []
+
+
+def test_regions_are_the_pattern_they_stand_for():
+    pattern = re.compile(r"\S*[0-9@]\S*(?:[ \t\xa0]{1,2}\S*[0-9@]\S*)*")
+    rng = random.Random(1)
+    for _ in range(5000):
+        text = "".join(rng.choice("ab1@ \t\xa0\n.-  ") for _ in range(rng.randint(0, 40)))
+        assert regions(text) == [(m.start(), m[0]) for m in pattern.finditer(text)]
+
+
+@pytest.mark.parametrize("text", ["a" * 1_000_000 + " 1", "1" * 1_000_000, "a1" * 10_000, "1 " * 10_000, "x@" * 10_000])
+def test_the_field_is_linear_on_long_runs(text):
+    """Quadratic time would take hours here."""
+    field, start = Field(), time.time()
+    all_spans(text, field)
+    assert time.time() - start < 60
+
+
+def test_training_does_not_depend_on_the_layout(spark, table):
+    docs = table("documents").select("doc_id", "text")
+    fields = [train(docs.repartition(n, "doc_id") if n > 1 else docs.coalesce(1), rounds=1) for n in (1, 50)]
+    assert np.array_equal(fields[0].weights, fields[1].weights) and np.array_equal(fields[0].follow, fields[1].follow)
