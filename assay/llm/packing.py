@@ -77,7 +77,8 @@ def curve_points(texts: pa.Array) -> np.ndarray:
 @functools.lru_cache(maxsize=4)
 def fast_encoder(data: bytes):
     """Encodes as the tokenizers library does with the byte-level BPE file ``data``: through the same
-    vocabulary as ranks, or through the library itself where a text holds a special token's string."""
+    vocabulary as ranks, or through the library itself where a text holds a special token's string or a run
+    of blanks that is too long for the other's pattern."""
     import tiktoken
 
     spec = json.loads(data)
@@ -90,9 +91,12 @@ def fast_encoder(data: bytes):
     quick = tiktoken.Encoding("byte-bpe", pat_str=SPLIT_PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(text: str) -> np.ndarray:
-        if any(s in text for s in special):
-            return np.array(loaded(data).encode(text, add_special_tokens=False).ids, dtype=np.int64)
-        return quick.encode_to_numpy(text, disallowed_special=())
+        if not any(s in text for s in special):
+            try:
+                return quick.encode_to_numpy(text, disallowed_special=())
+            except ValueError:  # a run of about a million blanks: more than the pattern's stack holds
+                pass
+        return np.array(loaded(data).encode(text, add_special_tokens=False).ids, dtype=np.int64)
 
     return encode
 

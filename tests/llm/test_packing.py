@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 from assay.llm.bpe import read_tokenizer
@@ -87,3 +88,11 @@ def test_encoder_matches_the_library():
     for _ in range(3000):
         s = "".join(rng.choice(pool if rng.random() < 0.4 else " 'aBs\n\t1.,t") for _ in range(rng.randint(0, 40)))
         assert encode(s).tolist() == library.encode(s, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("blank", [" ", "\n", "\t"])
+def test_two_million_blanks_encode_as_the_library_does(blank):
+    data = read_tokenizer(PATH)
+    text = "before" + blank * 2_000_000 + "after"
+    want = Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
+    assert fast_encoder(data)(text).tolist() == want
