@@ -20,7 +20,7 @@ from assay.llm.pii import KINDS, find_spans, train
 from assay.llm.simhash import simhash_groups
 from assay.llm.spelling import corpus_words, variant_groups
 from assay.llm.toxicity import fit, score
-from assay.llm.warc import read_archive, write_archive
+from assay.llm.warc import archive_sql, read_archive, write_archive
 from assay.llm.whitening import whiten_embeddings
 
 
@@ -122,5 +122,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_kd_topk": top_k_sql(),
+    "op7_warc": archive_sql(),
     "op10_line_dedup": line_dedup_sql(),
 }

@@ -239,3 +239,18 @@ def fetch_records(index: DataFrame, path: str, ids: DataFrame) -> DataFrame:
                                                  [n for n, _ in fields])
 
     return hits.mapInArrow(read, RECORD_SCHEMA)
+
+
+def archive_sql() -> str:
+    """What :func:`read_archive` gives for the table ``pages``, in DuckDB SQL: a SHA-1 in base 32 is eight
+    times five hex digits, each of four letters."""
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+    return f"""
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+digests AS (SELECT page_id, payload, sha1(payload) AS hex, max(page_id) OVER (PARTITION BY payload) AS first_id FROM payloads)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+       list_aggregate(list_transform(range(32), lambda i: substr('{letters}', CAST(
+         (CAST('0x' || substr(hex, CAST(i // 4 * 5 + 1 AS INTEGER), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS INTEGER) + 1, 1)), 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM digests"""
