@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +36,10 @@ from assay.state.scan import MERGEABLE, STATE_SCHEMA, merged, metric_key, scan_s
 MANIFEST_SCHEMA = "kind string, name string, batch string, print string, data string, detail string"
 
 
+#: Frequency tables that are brought up to date at once.
+TABLES_AT_ONCE = 4
+
+
 @dataclass
 class Update:
     """What an update did: folders (or batches) read, folders whose state was there, folders that are gone."""
@@ -163,7 +168,7 @@ class TableState:
         for _, name, batch, mark, *_ in of_kind("group"):
             groups.setdefault(name, {})[batch] = mark
         before = {r[1]: r for r in of_kind("table")}
-        keep, read_now = [r for r in of_kind("table") if r[1] not in asked and groups[r[2]].items() <= now.items()], set()
+        keep, read_now, writes = [r for r in of_kind("table") if r[1] not in asked and groups[r[2]].items() <= now.items()], set(), []
         for table, (keys, where) in asked.items():
             old = before.get(table)
             holds = groups[old[2]] if old else {}
@@ -185,20 +190,25 @@ class TableState:
                 keep.append(("failed", table, None, None, None, error))
                 continue
             data, ddl = f"frequency/{table}/{uuid.uuid4().hex}", ddl_of(new)
-            with job_label(self.spark, f"assay: frequencies of {', '.join(keys)} over {len(fresh)} folders"):
-                if grows:
-                    with opened(self.spark, f"{self.path}/{old[4]}", ddl, self.buckets) as kept:
-                        write_bucketed(added(kept, new, self.buckets), f"{self.path}/{data}", self.buckets)
-                else:
-                    write_bucketed(added(None, new, self.buckets), f"{self.path}/{data}", self.buckets)
+            label = f"assay: frequencies of {', '.join(keys)} over {len(fresh)} folders"
+            writes.append((label, new, f"{self.path}/{old[4]}" if grows else None, f"{self.path}/{data}"))
             members = {b: now[b] for b in (set(holds) if grows else set()) | set(fresh)}
             group = _named(f"{b} {m}" for b, m in sorted(members.items()))
             groups[group] = members
             keep.append(("table", table, group, None, data, ddl))
             read_now |= set(fresh)
+        with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:  # each is a Spark job of its own; small ones share the cluster
+            list(pool.map(lambda w: self._write_table(*w), writes))
         used = {r[2] for r in keep if r[0] == "table"}
         return keep + [("group", g, b, m, None, None) for g in sorted(used) for b, m in sorted(groups[g].items())], read_now
 
+    def _write_table(self, label: str, new: DataFrame, old: str | None, path: str) -> None:
+        with job_label(self.spark, label):
+            if old is None:
+                return write_bucketed(added(None, new, self.buckets), path, self.buckets)
+            with opened(self.spark, old, ddl_of(new), self.buckets) as kept:
+                write_bucketed(added(kept, new, self.buckets), path, self.buckets)
+
     def _pivots(self, df: DataFrame, metrics: list[Metric], keep: list[tuple]) -> dict[str, float]:
         """Where squares are measured from: the value that the store already has, else any value of the new rows."""
         want = {metric_key(m): m for m in metrics if m.agg == "stddev_pop"}
@@ -216,15 +226,29 @@ class TableState:
     # ---- results ------------------------------------------------------------
     def metrics(self, named: list[NamedMetric]) -> DataFrame:
         """``metric, column, key, value, error`` (as ``compute_metrics``) out of the states; reads no source row.
-        A definition that the store does not hold has the error "no state"."""
+        A definition that the store does not hold, or not for all its folders, has an error that says so."""
         spark, pieces, literal = self.spark, [], []
         entries = self.manifest()
-        rows = entries.where("kind NOT IN ('scan', 'group')").collect()
-        runs = sorted(r.data for r in entries.where("kind = 'scan'").select("data").distinct().collect())
-        held = {r.detail for r in rows if r.kind == "set"}
+        rows = entries.collect()
+        runs = sorted({r.data for r in rows if r.kind == "scan"})
+        folders = {r.batch for r in rows if r.kind in ("scan", "group")}
+        members: dict[str, set[str]] = {}  # the folders of a set of definitions, of a group
+        for r in rows:
+            if r.kind in ("scan", "group"):
+                members.setdefault(r.name, set()).add(r.batch)
+        covered: dict[str, set[str]] = {}
+        for r in rows:
+            if r.kind == "set":
+                covered.setdefault(r.detail, set()).update(members.get(r.name, ()))
+
+        def lacks(have: set[str] | None) -> str | None:
+            if have is None:
+                return "no state"
+            return None if have >= folders else f"the state lacks {len(folders - have)} of {len(folders)} folders: refresh it with this metric"
+
         scan = [nm for nm in named if nm.metric.kind in ("scan", "failed")]
-        literal += [(nm, "no state") for nm in scan if metric_key(nm.metric) not in held]
-        scan = [nm for nm in scan if metric_key(nm.metric) in held]
+        literal += [(nm, e) for nm in scan if (e := lacks(covered.get(metric_key(nm.metric))))]
+        scan = [nm for nm in scan if not lacks(covered.get(metric_key(nm.metric)))]
         if scan:
             states = (spark.read.schema(STATE_SCHEMA).parquet(*[f"{self.path}/{r}" for r in runs])
                       .withColumn("data", F.regexp_extract("_metadata.file_path", "(scan/run=[0-9a-f]+)/", 1)))
@@ -244,8 +268,9 @@ class TableState:
             if nm.metric.kind == "frequency":
                 table = frequency_id(nm.metric.target, nm.metric.where)
                 entry = at.get(table)
-                if entry is None or entry.kind == "failed":
-                    literal.append((nm, entry.detail if entry else "no state"))
+                error = entry.detail if entry is not None and entry.kind == "failed" else lacks(members.get(entry.batch) if entry else None)
+                if error:
+                    literal.append((nm, error))
                 else:
                     tables.setdefault(table, []).append(nm)
         for table, nms in tables.items():

@@ -191,3 +191,18 @@ def test_state_report_equals_the_full_report(spark, table, tmp_path):
         assert len(got.update.read) == (1 if as_of == "2024-02-01" else 0)
     own = state_report(spark, source, state, strategies=("expression",), expression_config=config, buckets=3)
     assert own.verdicts.first().status and own.update.read == []  # a text that depends on the day is never kept
+
+
+def test_a_state_that_lacks_folders_says_so(spark, table, tmp_path):
+    """A definition that was not asked for when a folder came has no value until it is refreshed."""
+    source, state = str(tmp_path / "t"), TableState(spark, str(tmp_path / "s"), buckets=2)
+    first, late = named([("size", (), None), ("distinct", ("b",), None)]), named([("max", ("b",), None), ("distinct", ("c",), None)])
+    late = [NamedMetric(nm.name, nm.column, f"late {nm.key}", nm.metric) for nm in late]
+    write(table, source, [0])
+    state.refresh(source, first + late)
+    write(table, source, [1])
+    state.refresh(source, first)
+    got = {r.key: (r.value, r.error) for r in state.metrics(first + late).collect()}
+    assert got["0"][1] is None and got["1"][1] is None and all("lacks 1 of 2" in got[k][1] and got[k][0] is None for k in ("late 0", "late 1"))
+    state.refresh(source, late)
+    assert {r.error for r in state.metrics(first + late).collect()} == {None}
