@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assay.llm.common import connected_components, join_counted, materialize, packed
+from assay.llm.words import sliced
 
 #: Shards over this many fingerprints are sharded again by the bits on which they do not agree yet.
 SHARD_LIMIT = 4096
@@ -46,7 +47,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def run(batches):
         from xxhash import xxh64_intdigest
 
-        for batch in batches:
+        for batch in sliced(batches, keep_nulls=True):
             fps = np.array([_words_fingerprint(t, shingle, xxh64_intdigest) for t in batch.column("text").to_pylist()], dtype="<u8")
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("hash"), pa.array(fps.view(np.int64))], ["id", "hash", "fp"])
 
@@ -209,7 +210,11 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2) -> DataFrame:
     """Of each component of :func:`simhash_groups` one row of ``docs``, with all its columns: a row with
-    the component's smallest id (of several texts with that id, the one with the smallest hash)."""
+    the component's smallest id (of several texts with that id, the one with the smallest hash).
+
+    Edge cases: as :func:`simhash_groups`; of rows that repeat both id and text one stays; a component of
+    null ids alone keeps a row with a null id; an empty table gives an empty table.
+    """
     found = components(docs, id_col, text_col, shingle, max_bits)
     keepers = (found.where(F.col("id").eqNullSafe(F.col("least"))).groupBy("component")
                .agg(F.min("hash").alias("hash"), F.first("least").alias("id"))

@@ -216,12 +216,17 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def reject(docs: DataFrame, model: Model, text_col: str = "text", limit: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` whose P(grade >= 1) is at most ``limit``; all columns, nulls included."""
+    """The rows of ``docs`` whose P(grade >= 1) is at most ``limit``.
+
+    Edge cases: a null text counts as empty (and stays null); null and repeated ids and repeated rows are
+    decided each by its own text; a tie with the limit stays; an empty table gives an empty table; other
+    columns pass through, whatever their names.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         m = shared.value
-        for batch in batches:
+        for batch in sliced(batches, text_col, keep_nulls=True):
             doc, feature, _ = _document_features(pc.fill_null(batch.column(batch.schema.get_field_index(text_col)), ""), m.features)
             above = m.probabilities(np.bincount(doc, weights=m.weights[feature], minlength=batch.num_rows))
             yield batch.filter(pa.array(above[:, 0] <= limit))
