@@ -28,32 +28,40 @@ def _sized(docs: DataFrame) -> DataFrame:
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are likelier toxic than not go (null ids: decided like any other)."""
+    """Documents that are likelier toxic than not go.  A null text counts as empty; null ids, repeated ids and
+    repeated rows are decided each by its own text; a tie (one half) stays; an empty table gives an empty
+    table; columns beside those of documents are dropped."""
     ship(spark)
     model = toxic.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxic.reject(_columns(docs), model)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cross-site boilerplate lines go, but for one copy; every document stays."""
+    """Cross-site boilerplate lines go, but for one copy (in the document with the smallest id); every document,
+    null text, null id and repeated row stays.  An empty table gives an empty table; columns beside those of
+    documents are dropped."""
     return _sized(lines.line_dedup(_columns(docs)))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents with linked SimHash fingerprints, the row with the smallest id stays."""
+    """Of each group of documents with linked SimHash fingerprints, one row with the smallest id stays (of rows
+    that share it, one).  Null texts count as texts without words, and link like them; an empty table gives
+    an empty table; columns beside those of documents are dropped."""
     ship(spark)
     return _columns(simhash.keep_one(_columns(docs), shingle=3, max_bits=2))
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is replaced by its kind; every document stays."""
+    """Personal data is replaced by its kind; every document, null text, null id and repeated row stays.  An
+    empty table gives an empty table; columns beside those of documents are dropped."""
     ship(spark)
     docs = _columns(docs)
     return _sized(pii.redact(docs, pii.train(docs)))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The kept texts as token sequences of 1024, in pieces."""
+    """The kept texts as token sequences of 1024, in pieces.  A null text counts as empty (one token, the end);
+    null and repeated ids are documents each; an empty table gives no pieces."""
     ship(spark)
     tokenizer = read_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
     return packing.pack_documents(docs, tokenizer, length=1024, end_id=0)
