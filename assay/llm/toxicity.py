@@ -33,7 +33,7 @@ MAX_FEATURES = 4096
 GRADES = 4
 
 #: Bytes of text whose features are counted at a time (every distinct word has several).
-COUNTED_BYTES = 1 << 22
+COUNTED_BYTES = 1 << 21
 STEMS = (4, 5, 6, 7)
 
 SCORE_SCHEMA = "id long, severity double, grade int, p_toxic double"
