@@ -1421,13 +1421,23 @@ def o_incremental_report():
     return _union([_verdict_sql("dirty_customer", s) for s in ("sql", "expression", "validator")])
 
 
+#: Rows at most, on average, that a task of a partitioning holds (about 22 bytes each in the shuffle).
+ROWS_PER_PART = 3_000_000
+
+
+def _part_counts(rows: int) -> tuple[int, int, int]:
+    """Three different numbers of parts: 1, 8 and 64, or as many more as keep each part bounded."""
+    least = rows // ROWS_PER_PART + 1
+    return least, max(8, 2 * least), max(64, 4 * least)
+
+
 def q_order_independent_sums(spark, sf):
     """Exact sums over three partitionings of the rows: the same doubles, bit for bit."""
     li = load(spark, sf, "lineitem")
     prices = {"l_extendedprice": "l_extendedprice", "l_tax": "l_tax", "discounted": "l_extendedprice * (1 - l_discount)"}
     sums = [(F.lit(c), F.expr(exact_sum(e))) for c, e in prices.items()]
     once = None
-    for parts in (1, 8, 64):
+    for parts in _part_counts(li.count()):
         one = li.repartition(parts, "l_orderkey", "l_linenumber").select(F.array(*[F.struct(c.alias("column"), v.alias("value")) for c, v in sums]).alias("s"))
         once = one if once is None else once.unionByName(one)
     rows = once.selectExpr("inline(s)")
