@@ -28,6 +28,9 @@ DIMS, BITS = 4, 8
 # Fixed value: the pattern by which the byte-level tokenizer splits a text.
 SPLIT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: Bytes of text that a worker keys, and that it encodes, at once: what it holds beside a batch of its input.
+KEYED_BYTES, ENCODED_BYTES = 1 << 21, 1 << 20
+
 PIECE_SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
                 "offset long, ids array<int>")
 
@@ -127,7 +130,7 @@ def pack_documents(docs: DataFrame, tokenizer: bytes, id_col: str = "doc_id", te
     def pack(batches):
         encode = fast_encoder(shared.value)
         bucket, sequence, held = None, 0, []  # held: (id, start, ids, tokens of the document) after the last full sequence
-        for batch in sliced(batches):
+        for batch in sliced(batches, limit=ENCODED_BYTES):
             for b, i, text in zip(batch.column("bucket").to_pylist(), batch.column("id").to_pylist(),
                                   batch.column("text").to_pylist()):
                 if b != bucket:
@@ -148,7 +151,7 @@ def pack_documents(docs: DataFrame, tokenizer: bytes, id_col: str = "doc_id", te
 def _keyed(bounds: np.ndarray | None):
     """Adds a sort key (Hilbert key, then a hash of the id) and the range that it falls into."""
     def run(batches):
-        for batch in sliced(batches):
+        for batch in sliced(batches, limit=KEYED_BYTES):
             curve = hilbert_key(curve_points(batch.column("text")), BITS)
             ties = np.array([xxh64_intdigest(repr(i)) >> 33 for i in batch.column("id").to_pylist()], dtype=np.int64)
             key = (curve << 31) | ties
